@@ -7,18 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, packing
+from . import bpe, hilbert, packing, simhash, suffix_dedup
 from .common import read_table
 
 #: Parameters that the queries and the pipeline use.
 VOCAB_PATH = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, N_SHARDS = 4096, 1, 16
+REPEAT_SPAN = 400
+SHINGLE_WORDS, MAX_BITS = 4, 4
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(read_table(spark, sf_dir, "documents"), VOCAB_PATH)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_digest(read_table(spark, sf_dir, "documents"), REPEAT_SPAN)
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(read_table(spark, sf_dir, "documents"), N_SHARDS)
 
@@ -27,12 +33,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), VOCAB_PATH, CAPACITY, END_ID)
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_round_trip,
+        op2_suffix_dedup,
         op3_hilbert_shards,
         op9_best_fit_packing,
+        op10_simhash_near_dedup,
     )
 }
 
