@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, packing, simhash, suffix_dedup
+from . import bpe, hilbert, packing, quality, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 #: Parameters that the queries and the pipeline use.
@@ -29,6 +29,14 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(read_table(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), VOCAB_PATH, CAPACITY, END_ID)
 
@@ -43,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe_round_trip,
         op2_suffix_dedup,
         op3_hilbert_shards,
+        op5_quality_classifier,
+        op6_toxicity,
         op9_best_fit_packing,
         op10_simhash_near_dedup,
     )
