@@ -219,6 +219,26 @@ def code_components(codes: DataFrame, radius: int) -> DataFrame:
     return found.select(F.col("node").alias("code"), "root")
 
 
+def _code_table(prints: DataFrame, radius: int) -> DataFrame:
+    """(code, root): the component of every code in ``prints``."""
+    codes = materialize(prints.select("code").distinct())
+    return codes.join(code_components(codes, radius), "code", "left").select("code", F.coalesce("root", "code").alias("root"))
+
+
+def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4) -> DataFrame:
+    """One row of each near-duplicate group, with all its columns.
+
+    The row with the smallest doc_id stays (ids that are null come last); of
+    rows with the same id, the first as written. Null and empty texts form one
+    group. Only (row, id, code) are grouped; texts move once, in the last join.
+    """
+    rows = materialize(docs.withColumns({"__code": simhash(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
+    prints = rows.select(F.col("__code").alias("code"), F.col("__row").alias("row"), "doc_id")
+    rooted = prints.join(_code_table(prints, radius), "code")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("__row")), "__row", "left_semi").drop("__code", "__row")
+
+
 def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document.
 

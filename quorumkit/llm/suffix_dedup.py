@@ -379,3 +379,13 @@ def repeats_digest(docs: DataFrame, span: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay."""
     out = remove_repeats(docs.select("doc_id", "text"), span)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def kept_text(kept: Column) -> Column:
+    """Bytes as text; bytes of a character that was cut in part are left out."""
+
+    @F.arrow_udf("string")
+    def decode(data: pa.Array) -> pa.Array:
+        return pa.array([None if d.as_py() is None else d.as_py().decode("utf-8", "ignore") for d in data], pa.string())
+
+    return decode(kept)
