@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, packing, quality, simhash, suffix_dedup, toxicity
+from . import ann, bpe, hilbert, packing, quality, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 #: Parameters that the queries and the pipeline use.
@@ -15,6 +15,7 @@ VOCAB_PATH = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, N_SHARDS = 4096, 1, 16
 REPEAT_SPAN = 400
 SHINGLE_WORDS, MAX_BITS = 4, 4
+NEAREST, QUERY_EVERY = 5, 50
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), NEAREST, QUERY_EVERY)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), VOCAB_PATH, CAPACITY, END_ID)
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_hilbert_shards,
         op5_quality_classifier,
         op6_toxicity,
+        op7_multi_index_hashing,
         op9_best_fit_packing,
         op10_simhash_near_dedup,
     )
