@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, bpe, hilbert, packing, quality, simhash, suffix_dedup, toxicity
+from . import ann, bpe, chroma, hilbert, licenses, packing, quality, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 #: Parameters that the queries and the pipeline use.
@@ -30,6 +31,10 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(read_table(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -42,6 +47,12 @@ def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), NEAREST, QUERY_EVERY)
 
 
+def op8_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of every whole text are taken as 8-bit samples of a recording."""
+    docs = read_table(spark, sf_dir, "documents")
+    return chroma.search_recordings(docs.select(F.col("doc_id").alias("rec_id"), F.col("text").cast("binary").alias("media")), NEAREST, QUERY_EVERY)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), VOCAB_PATH, CAPACITY, END_ID)
 
@@ -56,9 +67,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe_round_trip,
         op2_suffix_dedup,
         op3_hilbert_shards,
+        op4_license_scan,
         op5_quality_classifier,
         op6_toxicity,
         op7_multi_index_hashing,
+        op8_chroma_fingerprints,
         op9_best_fit_packing,
         op10_simhash_near_dedup,
     )
