@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: Words longer than this are merged with a heap instead of a scan.
 LONG_WORD = 64
 #: Entries that a worker's word cache holds before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 _SHIFT, _MASK, _NONE = 20, (1 << 20) - 1, 1 << 60
 #: Separators for str.split() that the vocabulary's rules do not count as white space.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -101,7 +101,12 @@ class WordBpe:
 
     def pieces(self, text: str) -> list[str]:
         """Pre-split pieces of a text without special tokens."""
-        return _PIECES.findall(text.replace("Σ", "σ").lower())
+        text = text.replace("Σ", "σ").lower()
+        if text.isalpha():  # most words: letters alone, or with one mark at the end
+            return [text]
+        if text[-1:] in (",", ".") and text[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return _PIECES.findall(text)
 
     def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text cut at special tokens, which keep their ids."""
