@@ -130,7 +130,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     rows = materialize(rows)
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(31)), "vec_id").limit(SAMPLE_ROWS).toPandas()["v"]
+    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(31)), "vec_id").limit(SAMPLE_ROWS).select("v").toArrow().to_pandas()["v"]
     width = int(sample.map(len).mode().iloc[0]) if len(sample) else 1
     rows = rows.where(F.size("v") == width)
     codes = learn_codes(np.array([x for x in sample if len(x) == width], float).reshape(-1, width), k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +46,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+_WORKER: dict[Hashable, object] = {}
+
+
+def worker_object(key: Hashable, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task.
+
+    A worker keeps one at a time: asking for another key drops the former, so
+    the stages of a pipeline do not add up their caches.
+    """
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]

@@ -20,7 +20,7 @@ from .common import materialize
 from .logit import fit_logistic
 
 #: Labelled rows that the document classifier is fitted on, at most; the first in hash order.
-MAX_LABELLED = 40_000
+MAX_LABELLED = 20_000
 #: Documents below this score are rejected.
 THRESHOLD = 0.5
 #: Share of a site's shift that a document's odds take over.
@@ -82,7 +82,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             x = [text_shape(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column("y")], names=["x", "y"])
 
-    got = rows.select("text", "y").mapInArrow(shape, "x array<double>, y int").toPandas()
+    got = rows.select("text", "y").mapInArrow(shape, "x array<double>, y int").toArrow().to_pandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, N_SHAPE)
     x = np.concatenate([x, *((x > c).astype(float) for c in _CUTS)], axis=1)
     return fit_logistic(x, got["y"].to_numpy(float), ridge=3e-4)
