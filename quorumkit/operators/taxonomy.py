@@ -34,6 +34,8 @@ def lineage(nodes: DataFrame, wanted: DataFrame, depth: int = 1 << STEPS) -> Dat
     """(tax_id, lineage map rank -> id) of the wanted ids; of equal ranks the one nearest the root holds.
 
     A recursive query from the wanted ids only. The root itself is left out.
+    Spark ends such a query at ``spark.sql.cteRecursionRowLimit`` rows (ids
+    times depth); ``ancestor_at_rank`` has no such limit.
     """
     return wanted.sparkSession.sql(
         """

@@ -273,13 +273,16 @@ def _genus_map(spark, d):
     return taxonomy.ancestor_at_rank(I.nodes(spark, d), "genus").select(F.col("tax_id").cast("string").alias("taxid"), F.col("ancestor").cast("string").alias("mapped"))
 
 
-@query(f"WITH {_NODES} SELECT n.tax_id, CASE WHEN n.rank = 'genus' THEN n.tax_id ELSE n.parent END AS ancestor FROM nodes n WHERE n.rank IN ('species', 'genus')")
+_UP = """up(tax_id, anc, depth) AS (SELECT tax_id, tax_id, 0 FROM nodes UNION ALL SELECT u.tax_id, n.parent, u.depth + 1 FROM up u JOIN nodes n ON u.anc = n.tax_id WHERE n.parent <> n.tax_id)"""
+
+
+@query(f"WITH RECURSIVE {_NODES}, {_UP} SELECT u.tax_id, arg_min(u.anc, u.depth) AS ancestor FROM up u JOIN nodes n ON u.anc = n.tax_id WHERE n.rank = 'genus' GROUP BY u.tax_id")
 def ancestor_at_rank(spark, d):
     return taxonomy.ancestor_at_rank(I.nodes(spark, d), "genus")
 
 
 @query(
-    f"""WITH RECURSIVE {_NODES}, up(tax_id, anc, depth) AS (SELECT tax_id, tax_id, 0 FROM nodes UNION ALL SELECT u.tax_id, n.parent, u.depth + 1 FROM up u JOIN nodes n ON u.anc = n.tax_id WHERE n.parent <> n.tax_id)
+    f"""WITH RECURSIVE {_NODES}, {_UP}
     SELECT u.tax_id, max(CASE WHEN rank = 'species' THEN anc END) AS species, max(CASE WHEN rank = 'genus' THEN anc END) AS genus FROM up u JOIN nodes n ON u.anc = n.tax_id WHERE n.tax_id <> 1 GROUP BY u.tax_id"""
 )
 def lineages(spark, d):
@@ -308,10 +311,10 @@ def label_names(spark, d):
     return taxonomy.label_names(I.votes(spark, d).select(F.col("label").alias("taxid")), nation, region)
 
 
-@query("SELECT cast(100 + n_nationkey AS varchar) || '|' || replace(n_name, '|', '/') AS value FROM nation")
+@query("SELECT cast(c_custkey AS varchar) || '|' || replace(c_name, '|', '/') AS value FROM customer WHERE c_custkey <> 0")
 def name_map_lines(spark, d):
-    nation = I.table(spark, d, "nation").select((F.col("n_nationkey") + 100).cast("string").alias("taxid"), F.col("n_name").alias("name"))
-    return K.map_lines(nation, "taxid", "name")
+    names = I.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("taxid"), F.col("c_name").alias("name"))
+    return K.map_lines(names, "taxid", "name")
 
 
 # abundance ------------------------------------------------------------------
@@ -423,7 +426,8 @@ def split_by_source(spark, d):
 
 @query()
 def sample_design(spark, d):
-    return allocate.sample_design(spark, 10, 1000, _genomes(spark, d))
+    seen = A.available_labels(_abundance(spark, d), _genomes(spark, d))
+    return allocate.sample_design(spark, 10, 1000, seen.select("taxid"))
 
 
 # sequences ------------------------------------------------------------------

@@ -28,6 +28,7 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_cu
 NODES = """
 SELECT cast(100 + n_nationkey AS bigint) AS tax_id, cast(10 + n_regionkey AS bigint) AS parent, 'species' AS rank FROM {nation}
 UNION ALL SELECT cast(10 + r_regionkey AS bigint), cast(1 AS bigint), 'genus' FROM {region}
+UNION ALL SELECT cast(1000 + p_partkey AS bigint), cast(100 + p_partkey % 25 AS bigint), 'strain' FROM {part}
 UNION ALL SELECT cast(1 AS bigint), cast(1 AS bigint), 'no rank'
 """
 
