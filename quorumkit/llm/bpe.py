@@ -21,10 +21,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_object
+
 #: Words longer than this are merged with a heap instead of a scan.
 LONG_WORD = 64
 #: Entries that a worker's word cache holds before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 350_000
 _SHIFT, _MASK, _NONE = 20, (1 << 20) - 1, 1 << 60
 #: Separators for str.split() that the vocabulary's rules do not count as white space.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -162,14 +164,9 @@ class WordCache(dict):
             yield from map(self.__getitem__, words)
 
 
-_CACHES: dict[tuple[str, str], WordCache] = {}
-
-
 def worker_cache(path: str, kind: str, render: Callable[[tuple[int, ...]], object]) -> WordCache:
-    """One cache for each Python worker and kind of rendering."""
-    if (path, kind) not in _CACHES:
-        _CACHES[path, kind] = WordCache(WordBpe(path), render)
-    return _CACHES[path, kind]
+    """The cache of a Python worker for one vocabulary and kind of rendering."""
+    return worker_object(("bpe", path, kind), lambda: WordCache(WordBpe(path), render))
 
 
 def bpe_encode(text: Column | str, vocab_path: str) -> Column:

@@ -40,7 +40,7 @@ SPREAD = 128
 #: Strings in a cell of the second level; divides SPREAD.
 CELL = 16
 #: Bytes that a task fingerprints at once; longer texts are taken in overlapping stretches of this length.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 _SMALL = 2048
 _U = np.uint64
 _BASES = (_U(0x9E3779B97F4A7C15), _U(0xD1342543DE82EF95))  # odd, so they have inverses modulo 2**64
