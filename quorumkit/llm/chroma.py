@@ -23,7 +23,7 @@ RATE, FRAME, HOP = 8000, 256, 64
 WIDTH = 16
 #: Least common frames and greatest share of unequal bits of an alignment.
 MIN_OVERLAP, MAX_ERROR = 8, 0.35
-#: Equal integers in a block beyond which a query integer's hits are counted in slices.
+#: Equal integers of a query and a block that are counted at once.
 HIT_SLICE = 1 << 20
 QUERY_BLOCK, RECORD_BLOCK = 32_768, 16_384
 
@@ -108,36 +108,36 @@ def alignments(query: np.ndarray, values: np.ndarray, records: np.ndarray, place
     prints hold them record by record. Gives (record, offset of the query in it,
     votes, overlap, bit error rate).
     """
-    own, where = np.unique(query, return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    own_count = np.bincount(where, minlength=len(own))
-    own_begin = np.cumsum(own_count) - own_count
-    low, high = np.searchsorted(values, own), np.searchsorted(values, own, side="right")
-    votes: dict[int, int] = {}
-    span = 1 << 32
-    for v in np.flatnonzero(high > low):
-        mine = order[own_begin[v] : own_begin[v] + own_count[v]]
-        step = max(1, HIT_SLICE // len(mine))
-        for a in range(low[v], high[v], step):
-            rows = slice(a, min(high[v], a + step))
-            key = records[rows, None] * span + (places[rows, None] - mine[None, :] + (1 << 31))
-            keys, n = np.unique(key, return_counts=True)
-            for k, c in zip(keys.tolist(), n.tolist()):
-                votes[k] = votes.get(k, 0) + c
-    best: dict[int, tuple[int, int]] = {}
-    for k, c in votes.items():
-        record, offset = k // span, k % span - (1 << 31)
-        if record not in best or (c, -abs(offset), -offset) > (best[record][0], -abs(best[record][1]), -best[record][1]):
-            best[record] = (c, offset)
-    out = []
-    for record, (c, offset) in best.items():
-        other = prints[begins[record] : begins[record + 1]]
-        a, b = max(0, offset), min(len(other), offset + len(query))
-        if b - a >= MIN_OVERLAP:
-            error = float(np.bitwise_count(other[a:b] ^ query[a - offset : b - offset]).sum()) / (32 * (b - a))
-            if error <= MAX_ERROR:
-                out.append((record, offset, c, b - a, error))
-    return out
+    low, high = np.searchsorted(values, query), np.searchsorted(values, query, side="right")
+    n, span, half = high - low, 1 << 32, 1 << 31
+    if not n.any():
+        return []
+    # hits in slices of bounded size; a slice takes at least one integer of the query
+    cuts = np.unique(np.searchsorted(np.cumsum(n), np.arange(0, n.sum(), HIT_SLICE), side="right"))
+    keys, votes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for a, b in zip(cuts, np.append(cuts[1:], len(query))):
+        count = n[a:b]
+        mine = np.repeat(np.arange(a, b), count)
+        rows = np.repeat(low[a:b] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        found, times = np.unique(records[rows] * span + (places[rows] - mine + half), return_counts=True)
+        keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+        votes = np.bincount(at, weights=np.concatenate([votes, times]), minlength=len(keys)).astype(np.int64)
+    record, offset = keys // span, keys % span - half
+    order = np.lexsort((offset, np.abs(offset), -votes, record))
+    first = order[np.flatnonzero(np.concatenate([[True], record[order][1:] != record[order][:-1]]))]
+    record, offset, votes = record[first], offset[first], votes[first]
+    start = np.maximum(0, offset)
+    overlap = np.minimum(begins[record + 1] - begins[record], offset + len(query)) - start
+    use = overlap >= MIN_OVERLAP
+    record, offset, votes, start, overlap = (x[use] for x in (record, offset, votes, start, overlap))
+    if not len(record):
+        return []
+    ends = np.cumsum(overlap)
+    step = np.arange(ends[-1]) - np.repeat(ends - overlap, overlap)
+    theirs = prints[np.repeat(begins[record] + start, overlap) + step]
+    error = np.add.reduceat(np.bitwise_count(theirs ^ query[np.repeat(start - offset, overlap) + step]).astype(np.int64), ends - overlap) / (32 * overlap)
+    good = error <= MAX_ERROR
+    return list(zip(*(x[good].tolist() for x in (record, offset, votes, overlap, error))))
 
 
 def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
@@ -160,7 +160,7 @@ def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> Dat
     of_class = materialize(of_class.select(F.col("rec_id").alias("class_id"), "print", "class_size", "query_id"))
     total, n_queries = of_class.agg(F.count(F.lit(1)), F.count("query_id")).first()
     n_query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    n_record_blocks = max(1, min(shuffle_partitions(rows.sparkSession), -(-total // 1024)), -(-total // RECORD_BLOCK))
+    n_record_blocks = max(1, min(shuffle_partitions(rows.sparkSession), -(-total // 8192)), -(-total // RECORD_BLOCK))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = of_class.where(F.col("query_id").isNotNull()).select("class_id", "print", block("class_id", n_query_blocks).alias("qb"), every_block(n_record_blocks).alias("rb"))
