@@ -10,6 +10,8 @@ how well.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -21,13 +23,14 @@ from .common import materialize, shuffle_partitions
 RATE, FRAME, HOP = 8000, 256, 64
 #: Frames that a filter may look at.
 WIDTH = 16
-#: Least common frames and greatest share of unequal bits of an alignment.
+#: Least common frames (all frames of a shorter print) and greatest share of unequal bits of an alignment.
 MIN_OVERLAP, MAX_ERROR = 8, 0.35
 #: Equal integers of a query and a block that are counted at once.
 HIT_SLICE = 1 << 20
 QUERY_BLOCK, RECORD_BLOCK = 32_768, 16_384
 
 
+@lru_cache
 def pitch_classes() -> np.ndarray:
     """Pitch class (0 to 11, A first) of each spectrum bin; -1 below 100 Hz."""
     hz = np.fft.rfftfreq(FRAME, 1 / RATE)
@@ -41,35 +44,47 @@ def filters() -> list[tuple[int, int, int, int]]:
     return [(kind, 3 * step, (12, 6, 9, 3)[step] if 3 * step + (12, 6, 9, 3)[step] <= 12 else 12 - 3 * step, (16, 12, 8, 4)[(kind + step) % 4]) for kind in range(4) for step in range(4)]
 
 
+@lru_cache
+def _fold() -> tuple[np.ndarray, np.ndarray]:
+    """Window of a frame, and which spectrum bin falls into which pitch class."""
+    return np.hanning(FRAME), (pitch_classes()[:, None] == np.arange(12)).astype(np.float64)
+
+
 def chroma_frames(samples: np.ndarray) -> np.ndarray:
     """(frames, 12) pitch-class energies of unit length; silent frames are zero."""
     n = 1 + (len(samples) - FRAME) // HOP
     if n < 1:
         return np.zeros((0, 12))
+    window, fold = _fold()
     signal = samples.astype(np.float64) - 128
-    frames = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP] * np.hanning(FRAME)
+    frames = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP] * window
     power = np.abs(np.fft.rfft(frames, axis=1)) ** 2
-    fold = (pitch_classes()[:, None] == np.arange(12)).astype(np.float64)
     energy = power @ fold
     length = np.sqrt((energy**2).sum(1, keepdims=True))
     return np.where(length > 1e-6, energy / np.maximum(length, 1e-6), 0.0)
 
 
+def padded(samples: np.ndarray) -> np.ndarray:
+    """Short recordings with silence after them: at least MIN_OVERLAP integers, or one for each HOP samples begun."""
+    n = min(MIN_OVERLAP, -(-len(samples) // HOP))
+    missing = FRAME + (WIDTH + n - 2) * HOP - len(samples)
+    return np.concatenate([samples, np.full(missing, 128, np.uint8)]) if n and missing > 0 else samples
+
+
 def fingerprint(samples: np.ndarray) -> np.ndarray:
-    """One 32-bit integer for each run of WIDTH frames; shorter recordings have none."""
-    chroma = chroma_frames(samples)
+    """One 32-bit integer for each run of WIDTH frames of the padded recording; an empty one has none."""
+    chroma = chroma_frames(padded(samples))
     n = len(chroma) - WIDTH + 1
     if n < 1:
         return np.zeros(0, np.uint32)
-    image = np.zeros((len(chroma) + 1, 13))
-    image[1:, 1:] = chroma.cumsum(0).cumsum(1)
-    at = np.arange(n)
+    image = np.zeros((13, len(chroma) + 1))
+    image[1:, 1:] = chroma.cumsum(0).cumsum(1).T
 
     def area(left: int, right: int, low: int, high: int) -> np.ndarray:
-        return image[at + right, high] - image[at + left, high] - image[at + right, low] + image[at + left, low]
+        return image[high, right : right + n] - image[high, left : left + n] - image[low, right : right + n] + image[low, left : left + n]
 
-    out = np.zeros(n, np.uint32)
-    for kind, low, height, width in filters():
+    sides = np.empty((2, 16, n))
+    for i, (kind, low, height, width) in enumerate(filters()):
         mid, high, half, third = low + height // 2, low + height, width // 2, max(1, width // 3)
         if kind == 0:  # upper against lower pitch classes
             a, b = area(0, width, mid, high), area(0, width, low, mid)
@@ -80,14 +95,15 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
         else:  # middle against both sides
             a = area(third, width - third, low, high)
             b = area(0, third, low, high) + area(width - third, width, low, high)
-        value = np.log((1 + a) / (1 + b))
-        level = (value > -0.15).astype(np.uint32) + (value > 0) + (value > 0.15)
-        out = (out << np.uint32(2)) | (level ^ (level >> np.uint32(1)))  # neighbouring levels differ in one bit
-    return out
+        sides[:, i] = a, b
+    value = np.log((1 + sides[0]) / (1 + sides[1]))
+    level = (value > -0.15).astype(np.uint32) + (value > 0) + (value > 0.15)
+    level ^= level >> np.uint32(1)  # neighbouring levels differ in one bit
+    return np.bitwise_or.reduce(level << np.arange(30, -1, -2, dtype=np.uint32)[:, None], axis=0)
 
 
 def fingerprints(media: Column) -> Column:
-    """array<int> of each recording; null and recordings under FRAME + 15 * HOP samples give an empty array."""
+    """array<int> of each recording; null and empty recordings give an empty array."""
 
     @F.arrow_udf("array<int>")
     def run(data: pa.Array) -> pa.Array:
@@ -102,7 +118,7 @@ def fingerprints(media: Column) -> Column:
 
 
 def alignments(query: np.ndarray, values: np.ndarray, records: np.ndarray, places: np.ndarray, begins: np.ndarray, prints: np.ndarray) -> list[tuple[int, int, int, int, float]]:
-    """Best alignment of a query with each record of a block that shares an integer.
+    """Best long enough alignment of a query with each record of a block that shares an integer.
 
     values (sorted), records and places list the block's integers; begins and
     prints hold them record by record. Gives (record, offset of the query in it,
@@ -123,15 +139,16 @@ def alignments(query: np.ndarray, values: np.ndarray, records: np.ndarray, place
         keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
         votes = np.bincount(at, weights=np.concatenate([votes, times]), minlength=len(keys)).astype(np.int64)
     record, offset = keys // span, keys % span - half
+    length = begins[record + 1] - begins[record]
+    use = np.minimum(length, offset + len(query)) - np.maximum(0, offset) >= np.minimum(MIN_OVERLAP, np.minimum(length, len(query)))
+    record, offset, votes = record[use], offset[use], votes[use]
+    if not len(record):
+        return []
     order = np.lexsort((offset, np.abs(offset), -votes, record))
     first = order[np.flatnonzero(np.concatenate([[True], record[order][1:] != record[order][:-1]]))]
     record, offset, votes = record[first], offset[first], votes[first]
     start = np.maximum(0, offset)
     overlap = np.minimum(begins[record + 1] - begins[record], offset + len(query)) - start
-    use = overlap >= MIN_OVERLAP
-    record, offset, votes, start, overlap = (x[use] for x in (record, offset, votes, start, overlap))
-    if not len(record):
-        return []
     ends = np.cumsum(overlap)
     step = np.arange(ends[-1]) - np.repeat(ends - overlap, overlap)
     theirs = prints[np.repeat(begins[record] + start, overlap) + step]
@@ -149,8 +166,8 @@ def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> Dat
     is its first match at offset 0 whenever the class has another member.
     Returns query_id, rank, match_id (a class), class_size, frame_offset, votes,
     overlap and bit_error, best first: fewest bit errors, longest overlap,
-    smallest match_id. Recordings that are null or too short for a fingerprint,
-    and rows without an id, take no part.
+    smallest match_id. Recordings that are null or empty, and rows without an id,
+    take no part.
     """
     prints = recordings.where(F.col("rec_id").isNotNull()).select("rec_id", fingerprints(F.col("media")).alias("print")).where(F.size("print") > 0)
     prints = prints.withColumns({"h1": F.xxhash64("print"), "h2": F.hash("print")})

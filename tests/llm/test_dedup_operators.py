@@ -233,6 +233,23 @@ def test_chroma_alignment(spark):
     assert chroma.search_recordings(spark.createDataFrame([], "rec_id long, media binary")).count() == 0
 
 
+def test_short_recordings_are_found(spark):
+    rng = np.random.default_rng(12)
+    make = lambda n: rng.integers(32, 123, n, dtype=np.uint8).tobytes()
+    rows, sizes = [], [2, 40, 100, 300, 449, 700, 1215, 1216, 1500, 1663, 1664, 5000]
+    for i, n in enumerate(sizes):
+        song = make(n)
+        rows += [(50 * i, song), (50 * i + 1, song), (50 * i + 2, song[: n // 2] + b"#" + song[n // 2 + 1 :])]
+    long = make(4000)
+    rows += [(5000, long[64 * 10 : 64 * 10 + 1500]), (5001, long)]
+    got = {(r["query_id"], r["rank"]): r for r in chroma.search_recordings(spark.createDataFrame(rows, "rec_id long, media binary"), 5, 50).collect()}
+    for i, n in enumerate(sizes):
+        assert got[50 * i, 1]["match_id"] == 50 * i and got[50 * i, 1]["frame_offset"] == 0 and got[50 * i, 1]["class_size"] >= 2
+    near = {(r["query_id"], r["match_id"]) for r in got.values()}
+    assert all((50 * i, 50 * i + 2) in near for i, n in enumerate(sizes) if n >= 700)
+    assert (5000, 5001) in near
+
+
 def test_alignment_counts_against_brute_force():
     rng = np.random.default_rng(11)
     prints = rng.integers(0, 5, 60).astype(np.uint32)
