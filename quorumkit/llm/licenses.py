@@ -8,6 +8,10 @@ own inherit that of the nearest directory above them.
 
 from __future__ import annotations
 
+import os
+import re
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +39,43 @@ TEMPLATES: list[tuple[str, str]] = [
 #: A sentence is a header if it holds one of these.
 SIGNALS = r"licen[sc]|copyright|public domain|\bcc0\b|all rights reserved"
 HEADER_COSINE, FILE_COSINE = 0.75, 0.6
+#: A whole text is a licence's full text or header block from here; long templates share their common words with any prose.
+BODY_COSINE = 0.8
 _WORD = "[a-z0-9]+"
+_TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+_GNU_BLOCK = """This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License as published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version.
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {2}General Public License for more details.
+You should have received a copy of the GNU {2}General Public License along with this {0}{4}"""
+_LINK = ". If not, see <https://www.gnu.org/licenses/>."
+_STREET = "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+#: Header blocks of several lines.
+BLOCKS: list[tuple[str, str]] = [
+    ("AGPL-3.0", _GNU_BLOCK.format("program", ":", "Affero ", 3, _LINK)),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("GPL-2.0", _GNU_BLOCK.format("program", ";", "", 2, _STREET)),
+    ("GPL-3.0", _GNU_BLOCK.format("program", ":", "", 3, _LINK)),
+    ("LGPL-3.0", _GNU_BLOCK.format("library", ":", "Lesser ", 3, _LINK)),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+]
+
+
+@lru_cache
+def bodies() -> tuple[tuple[str, str], ...]:
+    """(license, text) of full licences and header blocks; a licence may have several.
+
+    The Affero licence is that of the GPL under its own name, and the two-clause
+    BSD licence that of three clauses without the third.
+    """
+    out = {}
+    for name in sorted(os.listdir(_TEXTS)):
+        with open(os.path.join(_TEXTS, name), encoding="utf-8") as f:
+            out[name.removesuffix(".txt")] = f.read()
+    out["AGPL-3.0"] = out["GPL-3.0"].replace("GNU General Public License", "GNU Affero General Public License")
+    bsd = out["BSD-3-Clause"]
+    out["BSD-2-Clause"] = bsd[: bsd.index("Neither the name")] + bsd[bsd.index("THIS SOFTWARE IS") :]
+    return (*sorted(out.items()), *BLOCKS)
 
 
 def _words(text: Column) -> Column:
@@ -43,7 +83,7 @@ def _words(text: Column) -> Column:
 
 
 def template_terms(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """(license, word, tf) of each template."""
+    """(license, word, tf) of each template, whose names differ."""
     rows = F.array(*(F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in templates))
     texts = spark.range(1).select(F.explode(rows).alias("t")).select("t.license", F.explode(_words(F.col("t.text"))).alias("word"))
     return texts.groupBy("license", "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -51,9 +91,9 @@ def template_terms(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
 
 def inverse_frequencies(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(word, idf) of the templates' words over all texts: ln((1 + N) / (1 + n)) + 1."""
-    seen = texts.select(F.array_intersect(F.array(*map(F.lit, vocabulary)), F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " ")).alias("w"))
+    seen = texts.select(F.array_intersect(F.split(F.lit(" ".join(vocabulary)), " "), F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " ")).alias("w"))
     counts = seen.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    words = texts.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, vocabulary))).alias("word"))
+    words = texts.sparkSession.range(1).select(F.explode(F.split(F.lit(" ".join(vocabulary)), " ")).alias("word"))
     total = texts.count()
     return words.join(F.broadcast(counts), "word", "left").select("word", (F.log((1.0 + total) / (1.0 + F.coalesce("n", F.lit(0)))) + 1).alias("idf"))
 
@@ -84,11 +124,16 @@ def ancestors(folder: Column) -> Column:
     return F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
 
 
+def _vocabulary(templates) -> list[str]:
+    return sorted({w for _, t in templates for w in re.findall(_WORD, t.lower())})
+
+
 def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """file_key, folder, license, score, origin and from_folder of every file.
 
     files: file_key, folder ('a/b/c') and text. origin is 'own' for a header or
-    a whole text above the threshold, 'inherited' for the licence of the nearest
+    a whole text above the threshold (notices, full texts and header blocks of
+    licences), 'inherited' for the licence of the nearest
     folder at or above the file's that has a licence file, else null. Of several
     licences the one with the greatest cosine holds, then the first by name.
     Null or empty texts have no licence of their own; rows with equal keys are
@@ -96,12 +141,16 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     """
     spark = files.sparkSession
     files = files.select("file_key", F.coalesce("folder", F.lit("")).alias("folder"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    vocabulary = sorted({w for _, t in templates for w in "".join(c if c.isalnum() else " " for c in t.lower()).split()})
-    terms, idf = template_terms(spark, templates), materialize(inverse_frequencies(files, vocabulary))
+    vocabulary = _vocabulary(templates)
+    full = [(f"{name}#{i}", text) for i, (name, text) in enumerate(bodies())]
+    counted = materialize(inverse_frequencies(files, sorted({*vocabulary, *_vocabulary(full)})))
+    terms, idf = template_terms(spark, templates), counted.where(F.col("word").isin(vocabulary))
     speaking = materialize(files.where(F.lower("text").rlike(SIGNALS)))
     sentences = speaking.select("file_key", F.posexplode(F.filter(F.split("text", r"\n+|(?<=[.!?])\s+"), lambda x: F.lower(x).rlike(SIGNALS))).alias("at", "text"))
     headers = _best_template(sentences, terms, idf, ["file_key", "at"]).where(F.col("cosine") >= HEADER_COSINE)
     whole = _best_template(speaking.select("file_key", "text"), terms, idf, ["file_key"]).where(F.col("cosine") >= FILE_COSINE)
+    body = _best_template(speaking.select("file_key", "text"), template_terms(spark, full), counted, ["file_key"]).where(F.col("cosine") >= BODY_COSINE)
+    whole = materialize(whole.unionByName(body.withColumn("license", F.substring_index("license", "#", 1))))
     best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license")))
     own = headers.select("file_key", "license", "cosine").unionByName(whole).groupBy("file_key").agg(best.alias("b")).select("file_key", F.col("b.license").alias("own"), (-F.col("b.c")).alias("own_score"))
     own = materialize(own)
@@ -130,7 +179,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
 
 
 def documents_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
-    """DuckDB SQL for ``scan_documents``."""
+    """DuckDB SQL for ``scan_documents``; it knows the notices only, not the full texts and header blocks."""
     values = ", ".join(f"('{name}', '{text}')" for name, text in templates)
     words = "regexp_extract_all(lower({0}), '[a-z0-9]+')"
     return f"""

@@ -282,6 +282,29 @@ def test_license_scan_and_inheritance(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "file_key long, folder string, text string")).count() == 0
 
 
+MIT_BODY = """Copyright (c) 2024 Some Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_licence_files_of_full_texts_govern_their_folders(spark):
+    texts = {}
+    for i, (name, text) in enumerate(licenses.bodies()):
+        texts[i] = (name, text if i % 2 else "Copyright 2023, 2024 The Authors of Something\n\n" + text)
+    texts[len(texts)] = ("MIT", MIT_BODY)
+    prose = "In this essay the author writes on the history of copyright and of the license of printers, and on what the public has to say of it. " * 20
+    rows = [(2 * i, f"d{i}", text) for i, (_, text) in texts.items()] + [(2 * i + 1, f"d{i}/src", "plain code without any word on it") for i in texts]
+    rows += [(1000, "essay", prose), (1001, "essay/x", "plain code")]
+    out = {r["file_key"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "file_key long, folder string, text string")).collect()}
+    for i, (name, _) in texts.items():
+        assert (out[2 * i + 1]["license"], out[2 * i + 1]["origin"], out[2 * i + 1]["from_folder"]) == (name, "inherited", f"d{i}"), name
+    assert out[1000]["license"] is None and out[1001]["license"] is None
+
+
 def test_license_scores_against_python(spark, data):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
