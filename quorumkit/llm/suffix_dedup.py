@@ -254,10 +254,10 @@ def _compare(level: int, span: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             return
         table = pa.Table.from_batches(got)
         del got
-        tokens = [table.column(f"t{i + 1}").to_numpy().view(np.uint64) for i in range(n_tokens)]
+        tokens = [table.column(f"t{i + 1}").to_numpy() for i in range(n_tokens)]  # signed, as the buckets are ranged
         k1, k2, pos = (table.column(c).to_numpy() for c in ("k1", "k2", "pos"))
         order = multikey_quicksort(tokens)
-        tokens, k1, k2, pos = [t[order] for t in tokens], k1[order], k2[order], pos[order]
+        tokens, k1, k2, pos = [t[order].view(np.uint64) for t in tokens], k1[order], k2[order], pos[order]
         n, part = len(order), TaskContext.get().partitionId()
         same_core = np.logical_and.reduce([t[1:] == t[:-1] for t in tokens[:n_core]])
         same = np.logical_and.reduce([same_core, *(t[1:] == t[:-1] for t in tokens[n_core:])])

@@ -160,6 +160,15 @@ def test_passage_removal_of_nothing(spark):
     assert [r["n_removed"] for r in suffix_dedup.repeats_digest(one).collect()] == [0]
 
 
+def test_repeats_across_the_ends_of_the_bucket_around_zero(spark):
+    for lead in range(4):
+        values = [-100] * lead + [v for v in (-7, -5, -3, -2, 2, 4, 6, 8) for _ in range(2)] + [100] * 3
+        rows = [(v, 0, i, 0, i) for i, v in enumerate(values)]
+        marks, _ = suffix_dedup._level(spark.createDataFrame(rows, "t1 long, t2 long, k1 long, k2 int, pos int"), 3, 400)
+        n = Counter(values)
+        assert {r["pos"] for r in marks.collect()} == {i for i, v in enumerate(values) if n[v] > 1}
+
+
 def test_multikey_order():
     rng = np.random.default_rng(5)
     tokens = [rng.integers(0, 4, 9000).astype(np.uint64), rng.integers(0, 9, 9000).astype(np.uint64), rng.integers(0, 1 << 60, 9000).astype(np.uint64)]
