@@ -1,11 +1,15 @@
 """Byte-pair encoding and decoding with a published vocabulary file.
 
-Words are merged with a contiguous rank array: the part boundaries of one word
-and the rank of each adjacent pair stand side by side, the smallest rank is
-found by scanning, its boundary is deleted and the two neighbouring ranks are
-looked up again. Words are short, so the scan beats any heap; a run of letters
-or symbols longer than ``LONG_WORD`` goes through the same merges with a heap,
-because a quadratic scan would not end on a 100 kB "word".
+Words are merged with contiguous rank arrays: the part boundaries of a word and
+the rank of each adjacent pair stand side by side, the smallest rank is found
+by scanning, its boundary is deleted and the two neighbouring ranks are looked
+up again. All short words of a slice of text go through these steps together,
+one row of a matrix each, and each distinct word once. A run of letters or
+symbols longer than ``LONG_WORD`` bytes goes through the same merges with a
+heap, because a quadratic scan would not end on a 100 kB "word".
+
+Nothing is kept from slice to slice, so memory depends on ``SLICE_BYTES`` and
+the longest text alone.
 """
 
 from __future__ import annotations
@@ -13,25 +17,53 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import worker_object
 
-#: Words longer than this are merged with a heap instead of a scan.
+#: Words of more bytes than this are merged with a heap instead of a scan.
 LONG_WORD = 64
-#: Entries that a worker's word cache holds before it starts anew.
-CACHE_WORDS = 350_000
+#: Bytes of text that are encoded at once; a longer text is a slice of its own.
+SLICE_BYTES = 8 << 20
+#: Widths of the matrices that words are merged in; a word takes the least that holds it.
+_WIDTHS = (*range(1, 17), 20, 24, 32, 48, LONG_WORD)
 _SHIFT, _MASK, _NONE = 20, (1 << 20) - 1, 1 << 60
-#: Separators for str.split() that the vocabulary's rules do not count as white space.
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0  -     　\p{L}\p{N}]+")
-_SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
+#: White space of the vocabulary's rules.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
+#: Letters and numbers that Unicode 16 added and Python 3.13 does not know yet, as ranges.
+UNICODE_16_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+UNICODE_16_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+#: Capitals whose small letters Python 3.13 does not know yet (first, last, first small letter).
+NEW_CAPITALS = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x0264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5),
+    (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x019B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+]
+#: What is a piece of its own behind an apostrophe.
+ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
+_RAW_SPACE = sorted((s for c in SPACE if len(s := c.encode()) > 1), key=len)
+
+
+@lru_cache
+def _classes() -> np.ndarray:
+    """Class of each code point: 0 white space, 1 letter, 2 number, 3 any other."""
+    initials = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x110000)], np.uint8)
+    for number, ranges in ((1, UNICODE_16_LETTERS), (2, UNICODE_16_NUMBERS)):
+        for low, high in ranges:
+            initials[low : high + 1] = number
+    initials[list(map(ord, SPACE))] = 0
+    return initials
 
 
 def byte_alphabet() -> list[str]:
@@ -41,6 +73,31 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class Ragged:
+    """Rows of different lengths in one array: row i is values[ends[i - 1] : ends[i]]."""
+
+    def __init__(self, values: np.ndarray, lengths: np.ndarray):
+        self.values, self.lengths, self.ends = values, lengths, np.cumsum(lengths)
+
+    def take(self, rows: np.ndarray) -> "Ragged":
+        lengths = self.lengths[rows]
+        shift = (self.ends - self.lengths)[rows] - (np.cumsum(lengths) - lengths)
+        return Ragged(self.values[np.repeat(shift, lengths) + np.arange(lengths.sum())], lengths)
+
+    def groups(self, sizes: np.ndarray) -> "Ragged":
+        """The same values, with runs of ``sizes`` rows joined into one."""
+        ends = np.concatenate([[0], self.ends])[np.cumsum(sizes)]
+        return Ragged(self.values, np.diff(ends, prepend=0))
+
+
+def _raw(words: pa.Array) -> Ragged:
+    """The bytes of a string array without nulls."""
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return Ragged(data, np.diff(ends))
+
+
 class WordBpe:
     """Encoder and decoder for a vocabulary of lower-case words with an end-of-word suffix."""
 
@@ -49,43 +106,104 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
-        self.vocab: dict[str, int] = dict(model["vocab"])
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        #: (left id, right id) in one number -> rank and merged id in one number, so the least value is the least rank.
-        self.ranks: dict[int, int] = {self.vocab[a] << _SHIFT | self.vocab[b]: r << _SHIFT | self.vocab[a + b] for r, (a, b) in enumerate(pairs)}
+        vocab: dict[str, int] = dict(model["vocab"])
+        pairs = [(vocab[a], vocab[b], vocab[a + b]) for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.vocab.update(self.special)
-        self.token = [""] * (max(self.vocab.values()) + 1)
-        for text, i in self.vocab.items():
+        vocab.update(self.special)
+        self.token = [""] * (max(vocab.values()) + 1)
+        for text, i in vocab.items():
             self.token[i] = text
-        self.digits = [str(i) for i in range(len(self.token))]
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self._first = [self.vocab[c] for c in byte_alphabet()]
-        self._last = [self.vocab[c + self.suffix] for c in byte_alphabet()]
-
-    def merge(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-split, lower-case word."""
-        data = word.encode("utf-8")
-        parts = [self._first[b] for b in data]
-        parts[-1] = self._last[data[-1]]
-        if len(parts) > LONG_WORD:
-            return tuple(self._merge_long(parts))
-        rank = self.ranks.get
-        ranks = [rank(a << _SHIFT | b, _NONE) for a, b in zip(parts, parts[1:])]
-        while ranks and (least := min(ranks)) < _NONE:
-            at = ranks.index(least)
-            parts[at] = new = least & _MASK
-            del parts[at + 1], ranks[at]
-            if at:
-                ranks[at - 1] = rank(parts[at - 1] << _SHIFT | new, _NONE)
-            if at < len(ranks):
-                ranks[at] = rank(new << _SHIFT | parts[at + 1], _NONE)
-        return tuple(parts)
+        self._first = np.array([vocab[c] for c in byte_alphabet()], np.int64)
+        self._last = np.array([vocab[c + self.suffix] for c in byte_alphabet()], np.int64)
+        #: Sorted pairs of ids, and for each its rank and the merged id in one number, so the least value is the least rank.
+        a, b, made = np.array(pairs, np.int64).reshape(-1, 3).T
+        key = a << _SHIFT | b
+        order = np.argsort(key)
+        self.keys, self.ranks = np.append(key[order], _NONE), np.append((np.arange(len(key)) << _SHIFT | made)[order], _NONE)
+        self._spelled = _raw(pa.array([t + " " for t in self.token]))
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and merged id of each adjacent pair, or a number above all."""
+        key = left << _SHIFT | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.ranks[at], _NONE)
+
+    def merge(self, words: pa.Array) -> Ragged:
+        """Ids of pre-split, lower-case words."""
+        raw = _raw(words)
+        begins = raw.ends - raw.lengths
+        out, lengths = [], np.zeros(len(words), np.int64)
+        low = 0
+        for width in _WIDTHS:
+            rows = np.flatnonzero((raw.lengths > low) & (raw.lengths <= width))
+            for at in range(0, len(rows), 1 << 17):
+                out.append(self._merge_rows(raw.values, begins[rows[at : at + (1 << 17)]], raw.lengths[rows[at : at + (1 << 17)]], width, rows[at : at + (1 << 17)]))
+            low = width
+        for row in np.flatnonzero(raw.lengths > LONG_WORD).tolist():
+            data = raw.values[begins[row] : raw.ends[row]]
+            parts = self._first[data]
+            parts[-1] = self._last[data[-1]]
+            got = np.array(self._merge_long(parts.tolist()), np.int32)
+            out.append([(np.array([row]), got, np.array([len(got)]))])
+        done = [x for group in out for x in group]
+        for rows, _, n in done:
+            lengths[rows] = n
+        ends = np.cumsum(lengths)
+        ids = np.zeros(ends[-1] if len(ends) else 0, np.int32)
+        for rows, values, n in done:
+            ids[np.repeat(ends[rows] - n - (np.cumsum(n) - n), n) + np.arange(len(values))] = values
+        return Ragged(ids, lengths)
+
+    def _merge_rows(self, data: np.ndarray, begins: np.ndarray, lengths: np.ndarray, width: int, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Words of up to ``width`` bytes, one in each row: (rows, their ids, numbers of ids)."""
+        place = np.arange(width)
+        within = place < lengths[:, None]
+        parts = np.where(within, self._first[data[np.where(within, begins[:, None] + place, 0)]], -1)
+        parts[np.arange(len(rows)), lengths - 1] = self._last[data[begins + lengths - 1]]
+        pair = within[:, 1:]
+        ranks = np.full(pair.shape, _NONE)
+        ranks[pair] = self.rank(parts[:, :-1][pair], parts[:, 1:][pair])
+        done = []
+        while len(rows):
+            w = parts.shape[1]
+            if w == 1:
+                done.append((rows, parts.ravel().astype(np.int32), np.ones(len(rows), np.int64)))
+                break
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(rows)), at]
+            ended = least == _NONE
+            if ended.any():
+                some = parts[ended]
+                real = some >= 0
+                done.append((rows[ended], some[real].astype(np.int32), real.sum(1)))
+                rows, parts, ranks, at, least = (x[~ended] for x in (rows, parts, ranks, at, least))
+            n = np.arange(len(rows))
+            new = least & _MASK
+            parts[n, at] = new
+            keep = np.ones((len(rows), w), bool)  # the boundary behind the left part goes
+            keep[n, at + 1] = False
+            parts = parts[keep].reshape(len(rows), w - 1)
+            keep = np.ones((len(rows), w - 1), bool)
+            keep[n, at] = False
+            ranks = ranks[keep].reshape(len(rows), w - 2)
+            for has, left, right in ((at > 0, at - 1, at), (at < w - 2, at, at + 1)):
+                i = n[has]
+                right_part = parts[i, right[has]]
+                ranks[i, left[has]] = np.where(right_part < 0, _NONE, self.rank(parts[i, left[has]], right_part))
+        return done
 
     def _merge_long(self, parts: list[int]) -> list[int]:
-        rank, n = self.ranks.get, len(parts)
+        n, values = len(parts), np.array(parts)
+        first = self.rank(values[:-1], values[1:]).tolist()
+
+        def rank(left: int, right: int) -> int:
+            key = left << _SHIFT | right
+            at = int(np.searchsorted(self.keys, key))
+            return int(self.ranks[at]) if self.keys[at] == key else _NONE
+
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i] << _SHIFT | parts[i + 1])) is not None]
+        heap = [(r, i, parts[i], parts[i + 1]) for i, r in enumerate(first) if r < _NONE]
         heapq.heapify(heap)
         while heap:
             least, i, left, right = heapq.heappop(heap)
@@ -97,76 +215,134 @@ class WordBpe:
             if after[i] < n:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := rank(parts[a] << _SHIFT | parts[b])) is not None:
+                if a >= 0 and b < n and (r := rank(parts[a], parts[b])) < _NONE:
                     heapq.heappush(heap, (r, a, parts[a], parts[b]))
         return [p for p in parts if p >= 0]
 
-    def pieces(self, text: str) -> list[str]:
-        """Pre-split pieces of a text without special tokens."""
-        text = text.replace("Σ", "σ").lower()
-        if text.isalpha():  # most words: letters alone, or with one mark at the end
-            return [text]
-        if text[-1:] in (",", ".") and text[:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return _PIECES.findall(text)
-
-    def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
-        """The text cut at special tokens, which keep their ids."""
-        if self._special is None or "<" not in text:
-            yield text, None
-            return
-        for i, part in enumerate(self._special.split(text)):
-            if part:
-                yield part, self.special[part] if i % 2 else None
-
-    def decode(self, ids) -> str:
-        return " ".join(map(self.token.__getitem__, ids))
-
-
-class WordCache(dict):
-    """White-space-separated word -> what ``render`` makes of its ids.
-
-    The cache only saves time; it is emptied when full, so memory is bounded.
+    def encode(self, texts: pa.Array) -> Ragged:
+        """Ids of each text; a null text has none. Special tokens keep their ids."""
+        texts = texts.fill_null("")
+        marked = np.zeros(len(texts), bool)
+        for t in self.special:
+            marked |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            done = [self._encode_slice(part) for part in slices(texts)]
+            return Ragged(np.concatenate([np.zeros(0, np.int32), *(d.values for d in done)]), np.concatenate([np.zeros(0, np.int64), *(d.lengths for d in done)]))
+        # each text between special tokens is encoded alone; a special token is a row of one id
+        parts, at, sizes = [], [], []
+        for text, cut in zip(texts.to_pylist(), marked.tolist()):
+            here = self._special.split(text) if cut else [text]
+            for i, part in enumerate(here):
+                at.append(-1 - self.special[part] if i % 2 else len(parts))
+                if i % 2 == 0:
+                    parts.append(part)
+            sizes.append(len(here))
+        done = [self._encode_slice(part) for part in slices(pa.array(parts, pa.string()))]
+        values = np.concatenate([*(d.values for d in done), np.arange(len(self.token), dtype=np.int32)])
+        lengths = np.concatenate([*(d.lengths for d in done), np.ones(len(self.token), np.int64)])
+        rows = np.array(at, np.int64)
+        return Ragged(values, lengths).take(np.where(rows < 0, len(parts) - 1 - rows, rows)).groups(np.array(sizes, np.int64))
+
+    def _encode_slice(self, texts: pa.Array) -> Ragged:
+        raw = _raw(texts)
+        if (raw.values >= 128).any():  # else the texts are in NFC
+            raw = _raw(pa.array([t if unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string()))
+        words, number = _split(raw)
+        del raw
+        if not len(words):
+            return Ragged(np.zeros(0, np.int32), np.zeros(len(texts), np.int64))
+        coded = words.dictionary_encode()
+        del words
+        # the pieces of each distinct word, and the ids of each distinct piece
+        pieces, sizes = _pieces(coded.dictionary)
+        pieces = pieces.dictionary_encode()
+        of_word = self.merge(pieces.dictionary).take(pieces.indices.to_numpy()).groups(sizes)
+        return of_word.take(coded.indices.to_numpy()).groups(number)
+
+    def decode(self, ids: Ragged) -> pa.Array:
+        """The tokens of each row, joined by one space, as a vocabulary file without a decoder asks."""
+        spelled = self._spelled.take(ids.values).groups(ids.lengths)
+        ends = spelled.ends - np.minimum(np.cumsum(ids.lengths > 0), np.arange(1, len(ids.lengths) + 1))
+        keep = np.ones(len(spelled.values), bool)
+        keep[spelled.ends[spelled.lengths > 0] - 1] = False  # the space behind the last token
+        return pa.StringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(spelled.values[keep]))
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``SLICE_BYTES`` together."""
+    size = np.cumsum([0 if n is None else n for n in pc.binary_length(texts).to_pylist()])
+    start = 0
+    while start < len(texts):
+        reach = (size[start - 1] if start else 0) + SLICE_BYTES
+        end = max(start + 1, int(np.searchsorted(size, reach, "right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
+def _split(raw: Ragged) -> tuple[pa.Array, np.ndarray]:
+    """The white-space-separated words of texts, and how many each text has."""
+    data = raw.values
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    for s in _RAW_SPACE:
+        at = np.flatnonzero(data[: len(data) - len(s) + 1] == s[0])
+        for i, b in enumerate(s[1:], 1):
+            at = at[data[at + i] == b]
+        for i in range(len(s)):
+            space[at + i] = True
+    # a word begins where a byte that is no space follows a space or the end of a text
+    before = np.concatenate([[True], space[:-1]])
+    first = (raw.ends - raw.lengths)[raw.lengths > 0]
+    before[first] = True
+    starts = np.flatnonzero(~space & before)
+    letters = np.concatenate([[0], np.cumsum(~space)])
+    number = np.diff(np.searchsorted(starts, np.concatenate([[0], raw.ends])))
+    offsets = np.append(letters[starts], letters[-1]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[~space])), number
+
+
+def _pieces(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-case pieces of words, and how many each word has.
+
+    A piece is a run of letters, one number, a run of other characters, or an
+    apostrophe at the start of a piece with one of ``ENDINGS``.
     """
-
-    def __init__(self, bpe: WordBpe, render: Callable[[tuple[int, ...]], object] = lambda ids: ids):
-        super().__init__()
-        self.bpe, self.render = bpe, render
-        self._merged: dict[str, tuple[int, ...]] = {}
-
-    def __missing__(self, word: str):
-        got: list[int] = []
-        for piece in self.bpe.pieces(word):
-            ids = self._merged.get(piece)
-            if ids is None:
-                ids = self.bpe.merge(piece)
-                if len(piece) <= LONG_WORD:
-                    if len(self._merged) >= CACHE_WORDS:
-                        self._merged.clear()
-                    self._merged[piece] = ids
-            got += ids
-        out = self.render(tuple(got))
-        if len(word) <= LONG_WORD:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = out
-        return out
-
-    def values_of(self, text: str) -> Iterator:
-        """Rendered ids, word by word, of a whole text."""
-        for part, special in self.bpe.segments(text):
-            if special is not None:
-                yield self.render((special,))
-                continue
-            if not unicodedata.is_normalized("NFC", part):
-                part = unicodedata.normalize("NFC", part)
-            words = _SPACES.split(part) if _ODD_SPACE.search(part) else part.split()
-            yield from map(self.__getitem__, words)
-
-
-def worker_cache(path: str, kind: str, render: Callable[[tuple[int, ...]], object]) -> WordCache:
-    """The cache of a Python worker for one vocabulary and kind of rendering."""
-    return worker_object(("bpe", path, kind), lambda: WordCache(WordBpe(path), render))
+    lower = "\n".join(words.to_pylist()).replace("Σ", "σ").lower() + "\n"
+    points = np.frombuffer(lower.encode("utf-32-le"), np.uint32)
+    late = np.flatnonzero(points >= NEW_CAPITALS[0][0])
+    if len(late):
+        points = points.copy()
+        for low, high, small in NEW_CAPITALS:
+            hit = late[(points[late] >= low) & (points[late] <= high)]
+            points[hit] += np.uint32((small - low) % (1 << 32))
+        lower = points.tobytes().decode("utf-32-le")
+    kind = _classes()[points]
+    kind[points == 10] = 0
+    start = (kind != np.concatenate([[0], kind[:-1]])) | (kind == 2)
+    marks = np.flatnonzero((points == ord("'")) & start)
+    for ending in ENDINGS:
+        at = marks[marks + len(ending) < len(points)]
+        for i, c in enumerate(ending, 1):
+            at = at[points[at + i] == ord(c)]
+        start[at + 1] = False
+        start[at + 1 + len(ending)] = True
+    start &= kind > 0
+    size = 1 + (points >= 0x80).astype(np.int32) + (points >= 0x800) + (points >= 0x10000)
+    size[kind == 0] = 0
+    place = np.cumsum(size, dtype=np.int32) - size
+    begins = np.flatnonzero(start)
+    data = np.frombuffer(lower.encode(), np.uint8)
+    offsets = np.append(place[begins], place[-1]).astype(np.int32)
+    number = np.diff(np.searchsorted(begins, np.flatnonzero(points == 10)), prepend=0)
+    return pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data[data != 10])), number
+
+
+def worker_bpe(path: str) -> WordBpe:
+    """The coder of a Python worker for one vocabulary."""
+    return worker_object(("bpe", path), lambda: WordBpe(path))
+
+
+def _lists(ids: Ragged) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ids.ends]), pa.int32()), pa.array(ids.values, pa.int32()))
 
 
 def bpe_encode(text: Column | str, vocab_path: str) -> Column:
@@ -177,14 +353,7 @@ def bpe_encode(text: Column | str, vocab_path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        cache, flat, ends = worker_cache(vocab_path, "ids", lambda ids: ids), [], [0]
-        out = []
-        for t in texts:
-            flat = list(chain.from_iterable(cache.values_of(t.as_py() or "")))
-            out.append(pa.array(flat, pa.int32()))
-            ends.append(ends[-1] + len(flat))
-        values = pa.concat_arrays(out) if out else pa.array([], pa.int32())
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        return _lists(worker_bpe(vocab_path).encode(texts))
 
     return encode(text)
 
@@ -197,8 +366,8 @@ def bpe_decode(ids: Column | str, vocab_path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(arrays: pa.Array) -> pa.Array:
-        bpe = worker_cache(vocab_path, "ids", lambda ids: ids).bpe
-        return pa.array([bpe.decode(a.as_py() or ()) for a in arrays], pa.string())
+        lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return worker_bpe(vocab_path).decode(Ragged(pc.list_flatten(arrays).to_numpy(zero_copy_only=False), lengths))
 
     return decode(ids)
 
@@ -212,15 +381,12 @@ def bpe_round_trip(df: DataFrame, vocab_path: str, text: str = "text", ids: str
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def both(texts: pa.Array) -> pa.Array:
-        cache = worker_cache(vocab_path, "ids", lambda ids: ids)
-        chunks, ends, back = [], [0], []
-        for t in texts:
-            got = list(chain.from_iterable(cache.values_of(t.as_py() or "")))
-            chunks.append(pa.array(got, pa.int32()))
-            ends.append(ends[-1] + len(got))
-            back.append(cache.bpe.decode(got))
-        values = pa.concat_arrays(chunks) if chunks else pa.array([], pa.int32())
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(back, pa.string())], names=["ids", "decoded"])
+        bpe = worker_bpe(vocab_path)
+        chunks = []
+        for part in slices(texts):
+            got = bpe.encode(part)
+            chunks.append(pa.StructArray.from_arrays([_lists(got), bpe.decode(got)], names=["ids", "decoded"]))
+        return pa.concat_arrays(chunks) if chunks else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())]))
 
     got = F.col("__bpe")
     return df.withColumn("__bpe", both(F.col(text).cast("string"))).withColumns({ids: got["ids"], decoded: got["decoded"]}).drop("__bpe")

@@ -12,8 +12,6 @@ between tasks, never the tokens.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import worker_cache
+from .bpe import Ragged, slices, worker_bpe
 from .common import materialize
 
 #: Pieces in one group, which one task packs; about 3 MB of lengths.
@@ -30,9 +28,29 @@ GROUP_PIECES = 40_000
 GIVE_UP = 16
 #: Rounds of exchange. The pool shrinks by more than a hundred in each.
 ROUNDS = 6
+_PIECE = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 _PLAN = "k long, m long, length long, bin long, offset long, certified boolean, given boolean"
 
 
+def _cut_pieces(ids: Ragged, capacity: int, end_id: int, with_ids: bool) -> pa.Array:
+    """The pieces of each row of ids followed by ``end_id``, as lists of _PIECE."""
+    total = ids.lengths + 1
+    ends = np.cumsum(total)
+    values = np.full(ends[-1] if len(ends) else 0, end_id, "<u4")
+    own = np.ones(len(values), bool)
+    own[ends - 1] = False
+    values[own] = ids.values
+    count = -(-total // capacity)
+    piece = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    start = piece * capacity
+    length = np.minimum(np.repeat(total, count) - start, capacity)
+    at = np.repeat(ends - total, count) + start
+    parts = [memoryview(values[a : a + n]).cast("B") for a, n in zip(at.tolist(), length.tolist())]
+    columns = [pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+    columns.append(pa.array([bytes(x) for x in parts], pa.binary()) if with_ids else pa.nulls(len(parts), pa.binary()))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.StructArray.from_arrays(columns, fields=list(_PIECE)))
+
+
 def token_pieces(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """Cut each document's ids (plus ``end_id``) into pieces of at most ``capacity``.
 
@@ -43,21 +61,9 @@ def token_pieces(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id:
 
     @F.arrow_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long,ids:binary>>")
     def cut(texts: pa.Array) -> pa.Array:
-        cache = worker_cache(vocab_path, "le32", lambda ids: np.array(ids, "<u4").tobytes())
-        end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
-        piece, start, length, crc, ids, ends = [], [], [], [], [], [0]
-        for t in texts:
-            raw = b"".join(chain(cache.values_of(t.as_py() or ""), (end,)))
-            for p, at in enumerate(range(0, len(raw), step)):
-                part = raw[at : at + step]
-                piece.append(p)
-                start.append(at // 4)
-                length.append(len(part) // 4)
-                crc.append(zlib.crc32(part))
-                ids.append(part if with_ids else None)
-            ends.append(len(piece))
-        rows = pa.StructArray.from_arrays([pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(ids, pa.binary())], names=["piece", "start", "length", "ids_crc32", "ids"])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+        coder = worker_bpe(vocab_path)
+        chunks = [_cut_pieces(coder.encode(part), capacity, end_id, with_ids) for part in slices(texts)]
+        return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(_PIECE))
 
     out = docs.select("doc_id", F.explode(cut(F.col("text").cast("string"))).alias("p"))
     return out.select("doc_id", *(f"p.{c}" for c in ("piece", "start", "length", "ids_crc32", "ids")[: 5 if with_ids else 4]))
@@ -158,9 +164,3 @@ def best_fit_pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """Pieces of all documents with their sequence and place there."""
     return best_fit_pack(token_pieces(docs, vocab_path, capacity, end_id), capacity)
-
-
-def bins_of(plan: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame]]:
-    """Helper for readers of a small packed table: sequence by sequence, in order."""
-    for seq, rows in plan.sort_values(["sequence_id", "offset"]).groupby("sequence_id"):
-        yield seq, rows

@@ -3,10 +3,10 @@
 import hashlib
 import random
 import zlib
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -53,19 +53,36 @@ def test_bpe_separate_directions(spark):
 def test_long_words_merge_as_short_ones():
     coder = bpe.WordBpe(VOCAB)
     rng = random.Random(2)
-    for _ in range(200):
-        word = "".join(rng.choice("theringaton") for _ in range(rng.randint(2, bpe.LONG_WORD)))
-        parts = [coder._first[b] for b in word.encode()]
+    words = ["".join(rng.choice("theringaton") for _ in range(rng.randint(2, bpe.LONG_WORD))) for _ in range(200)]
+    got = coder.merge(pa.array(words))
+    for word, ids in zip(words, np.split(got.values, got.ends[:-1])):
+        parts = coder._first[list(word.encode())]
         parts[-1] = coder._last[word.encode()[-1]]
-        assert tuple(coder._merge_long(parts)) == coder.merge(word)
+        assert coder._merge_long(parts.tolist()) == ids.tolist()
 
 
-def test_word_cache_starts_anew_when_full(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
-    cache = bpe.WordCache(bpe.WordBpe(VOCAB))
-    text = "one two three four five six seven one two"
-    assert list(chain.from_iterable(cache.values_of(text))) == library().encode(text, add_special_tokens=False).ids
-    assert len(cache) <= 3
+def encoded(coder, texts):
+    got = coder.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(got.values, got.ends[:-1])], coder.decode(got).to_pylist()
+
+
+def test_every_code_point_is_as_in_the_library():
+    coder, t = bpe.WordBpe(VOCAB), library()
+    texts = [f"b{chr(c)}b {chr(c) * 2}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(texts), 100_000):
+        part = texts[at : at + 100_000]
+        assert encoded(coder, part)[0] == [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("size", [8 << 20, 300])
+def test_random_texts_in_slices_of_any_size(monkeypatch, size):
+    monkeypatch.setattr(bpe, "SLICE_BYTES", size)
+    rng, coder, t = random.Random(size), bpe.WordBpe(VOCAB), library()
+    letters = "abcdefgh '’.,!?0123 ÉéßΣσİ日本\u3000\xa0\ń<|>S'tT're"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(3000)] + [rng.choice(ODD) + "<|endoftext|>" + rng.choice(ODD) for _ in range(200)]
+    ids, back = encoded(coder, texts)
+    expected = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert ids == expected and back == [t.decode(e, skip_special_tokens=False) for e in expected]
 
 
 def test_bounds_and_best_fit():
