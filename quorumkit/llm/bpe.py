@@ -8,7 +8,7 @@ one row of a matrix each, and each distinct word once. A run of letters or
 symbols longer than ``LONG_WORD`` bytes goes through the same merges with a
 heap, because a quadratic scan would not end on a 100 kB "word".
 
-Nothing is kept from slice to slice, so memory depends on ``SLICE_BYTES`` and
+Nothing is kept from slice to slice, so memory depends on ``ragged.SLICE_BYTES`` and
 the longest text alone.
 """
 
@@ -17,7 +17,6 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,16 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import worker_object
+from .ragged import SPACE, Ragged, raw_bytes, slices, split_words
 
 #: Words of more bytes than this are merged with a heap instead of a scan.
 LONG_WORD = 64
-#: Bytes of text that are encoded at once; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
 #: Widths of the matrices that words are merged in; a word takes the least that holds it.
 _WIDTHS = (*range(1, 17), 20, 24, 32, 48, LONG_WORD)
 _SHIFT, _MASK, _NONE = 20, (1 << 20) - 1, 1 << 60
-#: White space of the vocabulary's rules.
-SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: Letters and numbers that Unicode 16 added and Python 3.13 does not know yet, as ranges.
 UNICODE_16_LETTERS = [
     (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
@@ -52,7 +48,6 @@ NEW_CAPITALS = [
 ]
 #: What is a piece of its own behind an apostrophe.
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
-_RAW_SPACE = sorted((s for c in SPACE if len(s := c.encode()) > 1), key=len)
 
 
 @lru_cache
@@ -73,31 +68,6 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-class Ragged:
-    """Rows of different lengths in one array: row i is values[ends[i - 1] : ends[i]]."""
-
-    def __init__(self, values: np.ndarray, lengths: np.ndarray):
-        self.values, self.lengths, self.ends = values, lengths, np.cumsum(lengths)
-
-    def take(self, rows: np.ndarray) -> "Ragged":
-        lengths = self.lengths[rows]
-        shift = (self.ends - self.lengths)[rows] - (np.cumsum(lengths) - lengths)
-        return Ragged(self.values[np.repeat(shift, lengths) + np.arange(lengths.sum())], lengths)
-
-    def groups(self, sizes: np.ndarray) -> "Ragged":
-        """The same values, with runs of ``sizes`` rows joined into one."""
-        ends = np.concatenate([[0], self.ends])[np.cumsum(sizes)]
-        return Ragged(self.values, np.diff(ends, prepend=0))
-
-
-def _raw(words: pa.Array) -> Ragged:
-    """The bytes of a string array without nulls."""
-    _, ends, data = words.buffers()
-    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
-    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
-    return Ragged(data, np.diff(ends))
-
-
 class WordBpe:
     """Encoder and decoder for a vocabulary of lower-case words with an end-of-word suffix."""
 
@@ -121,7 +91,7 @@ class WordBpe:
         key = a << _SHIFT | b
         order = np.argsort(key)
         self.keys, self.ranks = np.append(key[order], _NONE), np.append((np.arange(len(key)) << _SHIFT | made)[order], _NONE)
-        self._spelled = _raw(pa.array([t + " " for t in self.token]))
+        self._spelled = raw_bytes(pa.array([t + " " for t in self.token]))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank and merged id of each adjacent pair, or a number above all."""
@@ -131,7 +101,7 @@ class WordBpe:
 
     def merge(self, words: pa.Array) -> Ragged:
         """Ids of pre-split, lower-case words."""
-        raw = _raw(words)
+        raw = raw_bytes(words)
         begins = raw.ends - raw.lengths
         out, lengths = [], np.zeros(len(words), np.int64)
         low = 0
@@ -244,10 +214,10 @@ class WordBpe:
         return Ragged(values, lengths).take(np.where(rows < 0, len(parts) - 1 - rows, rows)).groups(np.array(sizes, np.int64))
 
     def _encode_slice(self, texts: pa.Array) -> Ragged:
-        raw = _raw(texts)
+        raw = raw_bytes(texts)
         if (raw.values >= 128).any():  # else the texts are in NFC
-            raw = _raw(pa.array([t if unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string()))
-        words, number = _split(raw)
+            raw = raw_bytes(pa.array([t if unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string()))
+        words, number = split_words(raw)
         del raw
         if not len(words):
             return Ragged(np.zeros(0, np.int32), np.zeros(len(texts), np.int64))
@@ -268,38 +238,6 @@ class WordBpe:
         return pa.StringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(spelled.values[keep]))
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Runs of texts of about ``SLICE_BYTES`` together."""
-    size = np.cumsum([0 if n is None else n for n in pc.binary_length(texts).to_pylist()])
-    start = 0
-    while start < len(texts):
-        reach = (size[start - 1] if start else 0) + SLICE_BYTES
-        end = max(start + 1, int(np.searchsorted(size, reach, "right")))
-        yield texts.slice(start, end - start)
-        start = end
-
-
-def _split(raw: Ragged) -> tuple[pa.Array, np.ndarray]:
-    """The white-space-separated words of texts, and how many each text has."""
-    data = raw.values
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    for s in _RAW_SPACE:
-        at = np.flatnonzero(data[: len(data) - len(s) + 1] == s[0])
-        for i, b in enumerate(s[1:], 1):
-            at = at[data[at + i] == b]
-        for i in range(len(s)):
-            space[at + i] = True
-    # a word begins where a byte that is no space follows a space or the end of a text
-    before = np.concatenate([[True], space[:-1]])
-    first = (raw.ends - raw.lengths)[raw.lengths > 0]
-    before[first] = True
-    starts = np.flatnonzero(~space & before)
-    letters = np.concatenate([[0], np.cumsum(~space)])
-    number = np.diff(np.searchsorted(starts, np.concatenate([[0], raw.ends])))
-    offsets = np.append(letters[starts], letters[-1]).astype(np.int32)
-    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[~space])), number
-
-
 def _pieces(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The lower-case pieces of words, and how many each word has.
 

@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Ragged, slices, worker_bpe
+from .bpe import worker_bpe
 from .common import materialize
+from .ragged import Ragged, slices
 
 #: Pieces in one group, which one task packs; about 3 MB of lengths.
 GROUP_PIECES = 40_000

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quorumkit.llm import bpe, packing, quality, toxicity
+from quorumkit.llm import bpe, packing, quality, ragged, toxicity
 from quorumkit.llm.logit import fit_logistic
 
 VOCAB = public_tokenizers.path("word_bpe_49k.json")
@@ -76,7 +77,7 @@ def test_every_code_point_is_as_in_the_library():
 
 @pytest.mark.parametrize("size", [8 << 20, 300])
 def test_random_texts_in_slices_of_any_size(monkeypatch, size):
-    monkeypatch.setattr(bpe, "SLICE_BYTES", size)
+    monkeypatch.setattr(ragged, "SLICE_BYTES", size)
     rng, coder, t = random.Random(size), bpe.WordBpe(VOCAB), library()
     letters = "abcdefgh '’.,!?0123 ÉéßΣσİ日本\u3000\xa0\ń<|>S'tT're"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(3000)] + [rng.choice(ODD) + "<|endoftext|>" + rng.choice(ODD) for _ in range(200)]
@@ -155,6 +156,49 @@ def test_toxicity_on_held_out_rows(spark):
         assert zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2
 
 
+def test_class_models_against_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "WORD_DISCOUNT", 0.5)
+    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 1.0)
+    monkeypatch.setattr(toxicity, "SHARED", 1.2)
+    rng = random.Random(8)
+    texts = [(" ".join(rng.choice("the of cat dog You fool, idiot runs".split() if y else "the of cat dog runs home now".split()) for _ in range(rng.randint(1, 9))), y) for y in (0, 1) for _ in range(60)]
+    df = spark.createDataFrame([*texts, ("never labelled words", None)], "text string, y int")
+    model = toxicity.estimate(df, df.where("y IS NOT NULL"), 0.3)
+    split = lambda t: [toxicity.bare(w) for w in t.split()]
+    df_all = Counter(w for t, _ in [*texts, ("never labelled words", None)] for w in set(split(t)))
+    mass = sum(df_all.values()) + 0.5 * (len(df_all) + 1)
+    shared = {w: (n + 0.5) / mass for w, n in df_all.items()}
+    vocabulary = [*df_all, "<any other>"]
+    shared["<any other>"] = 0.5 / mass
+    c = [Counter(w for t, k in texts if k == y for w in set(split(t))) for y in (0, 1)]
+    pairs = [Counter(p for t, k in texts if k == y for p in set(zip(["<s>", *split(t)], split(t)))) for y in (0, 1)]
+    h = [Counter() for _ in range(2)]
+    for y in (0, 1):
+        for (a, _), n in pairs[y].items():
+            h[y][a] += n
+    weight = [0.7 / 60, 0.3 / 60]
+
+    def own(y, w):
+        total = sum(c[y].values())
+        return max(c[y][w] - 0.5 - 1.2 * total * shared[w], 0) / total
+
+    def pair_own(y, a, b):
+        together = sum(pairs[k][a, b] * weight[k] for k in (0, 1)) / (sum(h[k][a] * weight[k] for k in (0, 1)) or 1)
+        return max(pairs[y][a, b] - 1 - 1.2 * h[y][a] * together, 0) / max(h[y][a], 1)
+
+    def p(y, a, b):
+        first = own(y, b) + (1 - sum(own(y, w) for w in vocabulary)) * shared[b]
+        return pair_own(y, a, b) + (1 - sum(pair_own(y, a, w) for w in vocabulary)) * first
+
+    for y in (0, 1):
+        for a in ("<s>", "the", "fool", "home"):
+            assert sum(p(y, a, b) for b in vocabulary) == pytest.approx(1)
+    assert len(model.pairs) and len(model.words)
+    for t in ("The cat, you fool! idiot", "home now", "unheard of words fool", ""):
+        expected = [np.log(p(1, a, b) / p(0, a, b)) for a, b in zip(["<s>", *split(t)], [w if w in df_all else "<any other>" for w in split(t)])]
+        assert model.scorer().means(pa.array([t]))[0] == pytest.approx(np.mean(expected) if expected else 0)
+
+
 def test_toxicity_edge_cases(spark):
     d = docs(spark, [(i, "you idiot moron" if i % 3 == 0 else "a fine day outside", None) for i in range(60)] + [(None, None, None), (1, "", None)])
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(None, 1), (7, None)], "doc_id long, toxic int")
@@ -174,6 +218,18 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert np.mean(clean) > 0.98 and np.mean(junk) < 0.05
 
 
+def test_quality_of_odd_rows_and_clashing_columns(spark):
+    rows = [(1, None, "p"), (2, "", "q"), (2, "", "q"), (None, "a plain sentence of some words", "r"), (5, "#### $$$$ " * 50, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, path_p string")
+    for c in ("host", "path", "own", "row", "h", "q", "host_p", "global_p", "quality_score"):
+        d = d.withColumn(c, F.lit(f"own {c}"))
+    labels = spark.createDataFrame([(5, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    out = quality.with_quality(d, labels, F.col("path_p"), F.col("host"))
+    assert out.columns == d.columns and [r["path_p"] for r in out.orderBy("path_p").collect()] == [None, "p", "q", "q", "r"]
+    assert out.where("own <> 'own own' OR host <> 'own host' OR quality_score NOT BETWEEN 0 AND 1").count() == 0
+    assert quality.with_quality(d.limit(0), labels.limit(0), F.col("path_p"), F.col("host")).count() == 0
+
+
 def test_site_posteriors_shrink_sparse_sites(spark):
     rows = [("big", "big/a", 0.9)] * 400 + [("big", "big/b", 0.1)] * 400 + [("bad", "bad/x", 0.02)] * 300 + [("tiny", "tiny/x", 0.0)] + [(None, None, 0.5)]
     out = {(r["host"], r["path"]): r for r in quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, p double")).collect()}
