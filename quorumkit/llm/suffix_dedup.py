@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize, shuffle_partitions, text_or_empty
 
-#: Strings that share a sampling point are at most so many.
+#: Strings that share a sampling point are at most so many; fewer if spans are short.
 SPREAD = 128
-#: Strings in a cell of the second level; divides SPREAD.
+#: Strings in a cell of the second level.
 CELL = 16
 #: Bytes that a task fingerprints at once; longer texts are taken in overlapping stretches of this length.
 STRETCH = 1 << 18
@@ -49,6 +49,11 @@ _OUT = "kind int, part int, t1 long, t2 long, k1 long, k2 int, pos int, len int"
 _MARK, _NEXT, _FIRST, _LAST = range(4)
 
 
+def spread_of(span: int) -> int:
+    """Strings of ``span`` bytes that share a sampling point at most: a multiple of CELL, half a span at most."""
+    return min(SPREAD, span // 2 // CELL * CELL)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -114,13 +119,14 @@ def _stretches(texts: list[bytes], span: int) -> Iterator[tuple[list[tuple[int,
 
     A long text comes in stretches that overlap enough for every wide stretch.
     """
+    spread = spread_of(span)
     items, data, size = [], [], 0
     for i, text in enumerate(texts):
         windows = len(text) - span + 1
         for first in range(0, max(0, windows), STRETCH):
             last = min(windows, first + STRETCH)
-            left = max(0, first - SPREAD)
-            part = text[left : last + span + SPREAD]
+            left = max(0, first - spread)
+            part = text[left : last + span + spread]
             items.append((i, left, first - left, last - left))
             data.append(part)
             size += len(part)
@@ -133,7 +139,8 @@ def _stretches(texts: list[bytes], span: int) -> Iterator[tuple[list[tuple[int,
 
 def _suffixes(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """First level: the sampled suffixes of each text."""
-    core, wide = span - SPREAD + 1, span + SPREAD - 1
+    spread = spread_of(span)
+    core, wide = span - spread + 1, span + spread - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +154,7 @@ def _suffixes(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 meta = np.array([x for x, _ in items])
                 prints = Prints(data)
                 at = np.arange(len(data) - core + 1)
-                point = sampling_points(prints.of(at, core), SPREAD)
+                point = sampling_points(prints.of(at, core), spread)
                 # window starts of each item, then their points, once each
                 count = meta[:, 3] - meta[:, 2]
                 item = np.repeat(np.arange(len(items)), count)
@@ -163,7 +170,7 @@ def _suffixes(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 for t, p in zip(text.tolist(), pos.tolist()):
                     if len(texts[t]) > STRETCH:
                         last_of[t] = p
-                low = chosen - (SPREAD - 1)
+                low = chosen - (spread - 1)
                 fits = (low >= begins[item]) & (low + wide <= begins[item] + lengths[item])
                 alone = _mix(k1[text].view(np.uint64) ^ _mix(k2[text].astype(np.uint64) * _BASES[1] + pos.astype(np.uint64)))
                 hull = np.where(fits, _mix(prints.of(np.where(fits, low, 0), np.where(fits, wide, 0))), alone)
@@ -177,7 +184,7 @@ def _suffixes(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 def _cells(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Second level: cells of the strings around the points that went on."""
-    core, side = span - CELL + 1, CELL - 1
+    core, side, spread = span - CELL + 1, CELL - 1, spread_of(span)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +192,7 @@ def _cells(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             out: list[list[np.ndarray]] = []
             for k1, k2, data, points in rows:
                 text = np.frombuffer(data.as_py(), np.uint8)
-                starts = (np.array(points.as_py())[:, None] - np.arange(0, SPREAD, CELL)).ravel()
+                starts = (np.array(points.as_py())[:, None] - np.arange(0, spread, CELL)).ravel()
                 starts = np.unique(starts[(starts >= 0) & (starts + core <= len(text))])
                 left, right = np.minimum(side, starts), np.minimum(side, len(text) - starts - core)
                 use = left + right >= side
@@ -240,6 +247,7 @@ def _compare(level: int, span: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     group at either end of the bucket may go on elsewhere and always passes to
     the next level.
     """
+    spread = spread_of(span)
     n_tokens, n_core = {1: (2, 1), 2: (6, 2), 3: (2, 2)}[level]
 
     def batch(kind, part, t1, t2, k1, k2, pos, length) -> pa.RecordBatch:
@@ -267,7 +275,7 @@ def _compare(level: int, span: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         twin[1:] |= same
         twin[:-1] |= same
         if level == 1:
-            start, length = pos - (SPREAD - 1), np.full(n, span + SPREAD - 1)
+            start, length = pos - (spread - 1), np.full(n, span + spread - 1)
         elif level == 2:
             left, right = (tokens[2] >> _U(56)).astype(np.int32), ((tokens[2] >> _U(48)) & _U(255)).astype(np.int32)
             start, length = pos - left, left + right + span - CELL + 1
@@ -321,8 +329,8 @@ def _keyed(docs: DataFrame, text: Column) -> DataFrame:
 
 def repeated_marks(docs: DataFrame, span: int = 400) -> DataFrame:
     """(k1, k2, marks): for each document, stretches (pos, len) whose every byte is repeated."""
-    if span < 2 * SPREAD:
-        raise ValueError(f"span must be at least {2 * SPREAD}")
+    if span < 2 * CELL:
+        raise ValueError(f"span must be at least {2 * CELL}")
     keyed = _keyed(docs.select("doc_id", "text"), text_or_empty()).select("k1", "k2", "data").where(F.octet_length("data") >= span)
     rows = keyed.mapInArrow(_suffixes(span), "t1 long, t2 long, k1 long, k2 int, pos int")
     marks1, points = _level(rows, 1, span)
@@ -345,7 +353,8 @@ def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
     work = ("n_bytes", "n_removed", "removed_spans", "kept")
     base = docs.drop(*work)
     text = text_or_empty()
-    keyed = _keyed(base, text)
+    rows = base.select(F.struct(*(F.col(f"`{c}`") for c in base.columns)).alias("row"), "doc_id", text.alias("text"))
+    keyed = _keyed(rows, F.col("text")).select("row", "k1", "k2", "data")
     marks = repeated_marks(base, span)
     again = _keyed(base.select("doc_id", "text"), text).where(F.octet_length("data") >= span).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("again")).where("again > 1")
     extra = marks.join(again, ["k1", "k2"], "full_outer")
@@ -370,15 +379,23 @@ def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
             kept.append(b"".join([*left, raw[at:]]))
         return pa.StructArray.from_arrays([pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())], names=["spans", "kept"])
 
-    joined = keyed.join(extra, ["k1", "k2"], "left").withColumn("__cut", cut("data", "marks", "again"))
+    joined = keyed.join(extra, ["k1", "k2"], "left").withColumn("cut", cut("data", "marks", "again"))
     n = F.octet_length("data").cast("long")
-    return joined.select(*base.columns, n.alias("n_bytes"), (n - F.octet_length(F.col("__cut.kept"))).cast("long").alias("n_removed"), F.col("__cut.spans").alias("removed_spans"), F.col("__cut.kept").alias("kept"))
+    return joined.select("row.*", n.alias("n_bytes"), (n - F.octet_length("cut.kept")).cast("long").alias("n_removed"), F.col("cut.spans").alias("removed_spans"), F.col("cut.kept").alias("kept"))
 
 
 def repeats_digest(docs: DataFrame, span: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay."""
+    """doc_id, n_bytes, n_removed, n_spans, the SHA-256 of the bytes that stay, their number, and whether any was removed."""
     out = remove_repeats(docs.select("doc_id", "text"), span)
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        (F.col("n_removed") > 0).alias("has_repeats"),
+    )
 
 
 def kept_text(kept: Column) -> Column:

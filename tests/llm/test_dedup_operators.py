@@ -127,6 +127,18 @@ def brute_removal(texts, span):
         yield len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()
 
 
+def brute_rest(texts, span):
+    """The text that stays of each; characters that are cut in part go as a whole."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + span] for b in raw for i in range(len(b) - span + 1))
+    for b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - span + 1):
+            if seen[b[i : i + span]] > 1:
+                gone[i : i + span] = b"\x01" * span
+        yield bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore")
+
+
 @pytest.mark.parametrize("stretch", [1 << 18, 700])
 def test_passage_removal_against_brute_force(spark, monkeypatch, stretch):
     monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
@@ -149,8 +161,13 @@ def test_passage_removal_against_brute_force(spark, monkeypatch, stretch):
     texts += [None, "", "a" * 1500, "ab" * 700, "heer " * 300, make(399), passages[0][:400], passages[0][:401], "x" + passages[0][:400], texts[3], make(3000)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, passages[1] * 2), (3, texts[3])]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit("clash"))
-    expected = Counter((r[0], *b) for r, b in zip(rows, brute_removal([r[1] for r in rows], 400)))
-    assert Counter(map(tuple, suffix_dedup.repeats_digest(df, 400).collect())) == expected
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    for span in (400, 200, 90):
+        expected = Counter((r[0], *b) for r, b in zip(rows, brute_removal([r[1] for r in rows], span)))
+        assert Counter(map(tuple, suffix_dedup.repeats_digest(df, span).select(columns).collect())) == expected
+    clash = df.withColumns({c: F.lit(f"own {c}") for c in ("k1", "k2", "data", "marks", "again", "cut", "row", "pos")})
+    out = suffix_dedup.remove_repeats(clash, 400)
+    assert out.columns[2:-4] == clash.drop("kept").columns[2:] and {tuple(r) for r in out.select(*out.columns[2:-4]).distinct().collect()} == {tuple(f"own {c}" for c in out.columns[2:-4])}
 
 
 def test_passage_removal_of_nothing(spark):
