@@ -130,28 +130,30 @@ def site_posteriors(rows: DataFrame) -> DataFrame:
     return joined.select("host", "path", "host_p", path_p.alias("path_p"), m.alias("global_p"))
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, name: str = "quality_score", fit_on: DataFrame | None = None) -> DataFrame:
-    """Add quality_score (0 to 1) of each document; all columns stay.
-
-    host and path are columns of docs. Null and empty texts are scored like any
-    other (by their shape); rows of unknown site have a site of their own.
+def with_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, name: str = "quality_score", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """Add quality_score (0 to 1) of each document.
+
+    host and path are columns of docs. The columns named by ``keep`` stay (all,
+    if none are named; one named like the score is replaced). Null and empty
+    texts are scored like any other (by their shape), repeated rows alike; rows
+    of unknown site have a site of their own; no rows give no rows. The
+    classifier runs once: what it found is written with the kept columns.
     """
-    weights = fit_classifier(docs if fit_on is None else fit_on, labels)
-    scored = docs.withColumns({"__host": host.cast("string"), "__path": path.cast("string"), "__own": evidence(F.col("text"), weights)})
-    narrow = scored.select(F.col("__host").alias("host"), F.col("__path").alias("path"), (1 / (1 + F.exp(-F.col("__own")))).alias("p"))
-    sites = materialize(site_posteriors(narrow)).withColumnsRenamed({"host": "__h", "path": "__q"})
+    weights = fit_classifier(docs, labels)
+    kept = [c for c in (docs.columns if keep is None else keep) if c != name]
+    row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row")
+    scored = materialize(docs.select(row, host.cast("string").alias("host"), path.cast("string").alias("path"), evidence(F.col("text"), weights).alias("own")))
+    sites = materialize(site_posteriors(scored.select("host", "path", (1 / (1 + F.exp(-F.col("own")))).alias("p")))).withColumnsRenamed({"host": "h", "path": "q"})
     small = sites.count() <= MAX_BROADCAST_SITES
-    same = F.col("__host").eqNullSafe(F.col("__h")) & F.col("__path").eqNullSafe(F.col("__q"))
+    same = F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q"))
     joined = scored.join(F.broadcast(sites) if small else sites, same, "left")
     shift = F.coalesce(_logit(F.col("path_p")) - _logit(F.col("global_p")), F.lit(0.0))
-    total = F.col("__own") + SITE_WEIGHT * shift
-    out = joined.withColumn(name, 1 / (1 + F.exp(-total)))
-    return out.drop("__host", "__path", "__own", "__h", "__q", "host_p", "path_p", "global_p")
+    total = F.col("own") + SITE_WEIGHT * shift
+    return joined.select("row.*", (1 / (1 + F.exp(-total))).alias(name))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, quality_score and keep for every document; host is source, path is source and language."""
-    own = docs.select("doc_id", "text", "lang", "source")
-    out = with_quality(own, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+    out = with_quality(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"), keep=("doc_id",))
     return out.select("doc_id", "quality_score", (F.col("quality_score") >= THRESHOLD).alias("keep"))
 
