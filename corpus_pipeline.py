@@ -16,6 +16,8 @@ from quorumkit.llm.common import materialize, read_table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Word shingles of the near-duplicate stage, and the bits in which near duplicates may differ.
 STAGE_SHINGLE_WORDS, STAGE_MAX_BITS = 5, 4
+#: Bytes of a repeated passage, so short that a passage of over 50 words of about four letters is one.
+STAGE_SPAN = 200
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A character that is cut in part goes as a whole.
     """
-    cut = suffix_dedup.remove_repeats(docs, queries.REPEAT_SPAN)
+    cut = suffix_dedup.remove_repeats(docs, STAGE_SPAN)
     text = F.when(F.col("n_removed") > 0, suffix_dedup.kept_text(F.col("kept"))).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("__text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("__text", text).select("doc_id", F.col("__text").alias("text"), "lang", "source", n_chars.alias("n_chars"))

@@ -1,10 +1,10 @@
 """The pipeline's stages, one after the other, against what each must keep."""
 
 import corpus_pipeline
-from quorumkit.llm import packing, queries, simhash, suffix_dedup
+from quorumkit.llm import queries
 from quorumkit.llm.common import materialize
 
-from .test_dedup_operators import brute_components, brute_removal, reference_print
+from .test_dedup_operators import brute_components, brute_rest, reference_print
 
 BASE = "/root/testdata/sf0.001"
 
@@ -32,13 +32,27 @@ def test_stages_in_order(spark):
     assert sorted(ids(single)) == sorted(first.values())
 
     rows = single.select("doc_id", "text").collect()
-    removed = {r["doc_id"]: b[0] - b[1] for r, b in zip(rows, brute_removal([r["text"] for r in rows], queries.REPEAT_SPAN))}
-    for r in cut.collect():
-        assert removed[r["doc_id"]] - 60 <= len((r["text"] or "").encode()) <= removed[r["doc_id"]]
+    expected = {r["doc_id"]: t for r, t in zip(rows, brute_rest([r["text"] for r in rows], corpus_pipeline.STAGE_SPAN))}
+    got = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert {i: t or "" for i, t in got.items()} == expected
     pieces = packed.collect()
     assert set(r["doc_id"] for r in pieces) == set(ids(cut)) and max(r["offset"] + r["length"] for r in pieces) <= queries.CAPACITY
 
 
 def test_names_and_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality classifier", "SimHash near-dedup", "suffix-array dedup", "best-fit packing"]
-    assert packing and simhash and suffix_dedup
+
+
+def test_stages_take_odd_rows_and_no_rows(spark, tmp_path):
+    passage = " ".join(f"word{i * 37 % 101}" for i in range(52))
+    rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, "some few plain words here", "en", "a", 25), (3, "some few plain words here", "en", "a", 25), (None, "others of no number at all", "en", None, 26)]
+    rows += [(10 + i, f"{chr(97 + i) * 5} begins and goes on to say that {passage} and then {chr(120 - i) * 6} ends as it has to.", "en", "a", 0) for i in range(3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(3, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, str(tmp_path)))
+            if name == "suffix-array dedup":
+                assert all(passage[5:-5] not in (r["text"] or "") for r in docs.collect())
+        assert (docs.count() > 0) == bool(data)
