@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_object
+from .common import release_memory, worker_object
 from .ragged import SPACE, Ragged, raw_bytes, slices, split_words
 
 #: Words of more bytes than this are merged with a heap instead of a scan.
@@ -324,6 +324,7 @@ def bpe_round_trip(df: DataFrame, vocab_path: str, text: str = "text", ids: str
         for part in slices(texts):
             got = bpe.encode(part)
             chunks.append(pa.StructArray.from_arrays([_lists(got), bpe.decode(got)], names=["ids", "decoded"]))
+        release_memory()
         return pa.concat_arrays(chunks) if chunks else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())]))
 
     got = F.col("__bpe")

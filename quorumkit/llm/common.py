@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Hashable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,11 @@ def worker_object(key: Hashable, make: Callable[[], object]):
         _WORKER.clear()
         _WORKER[key] = make()
     return _WORKER[key]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system after a batch; a Python worker lives on for the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

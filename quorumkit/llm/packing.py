@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import worker_bpe
-from .common import materialize
+from .common import materialize, release_memory
 from .ragged import Ragged, slices
 
 #: Pieces in one group, which one task packs; about 3 MB of lengths.
@@ -64,6 +64,7 @@ def token_pieces(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id:
     def cut(texts: pa.Array) -> pa.Array:
         coder = worker_bpe(vocab_path)
         chunks = [_cut_pieces(coder.encode(part), capacity, end_id, with_ids) for part in slices(texts)]
+        release_memory()
         return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(_PIECE))
 
     out = docs.select("doc_id", F.explode(cut(F.col("text").cast("string"))).alias("p"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release_memory
 from .logit import fit_logistic
 
 #: Labelled rows that the document classifier is fitted on, at most; the first in hash order.
@@ -93,7 +93,9 @@ def evidence(text: Column, weights: np.ndarray) -> Column:
 
     @F.arrow_udf("double")
     def log_odds(texts: pa.Array) -> pa.Array:
-        return pa.array(np.clip(_features(t.as_py() for t in texts) @ weights[:-1] + weights[-1], -12, 12))
+        out = pa.array(np.clip(_features(t.as_py() for t in texts) @ weights[:-1] + weights[-1], -12, 12))
+        release_memory()
+        return out
 
     return log_odds(F.coalesce(text.cast("string"), F.lit("")))
 

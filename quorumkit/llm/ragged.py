@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: White space (that of Unicode, without the separators U+001C to U+001F).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 _RAW_SPACE = sorted((s for c in SPACE if len(s := c.encode()) > 1), key=len)

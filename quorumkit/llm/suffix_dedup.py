@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, text_or_empty
+from .common import materialize, release_memory, shuffle_partitions, text_or_empty
 
 #: Strings that share a sampling point are at most so many; fewer if spans are short.
 SPREAD = 128
@@ -178,6 +178,7 @@ def _suffixes(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     [pa.array(_mix(prints.of(chosen, core)).view(np.int64)), pa.array(hull.view(np.int64)), pa.array(k1[text]), pa.array(k2[text]), pa.array(pos.astype(np.int32))],
                     names=["t1", "t2", "k1", "k2", "pos"],
                 )
+            release_memory()
 
     return run
 
@@ -214,6 +215,7 @@ def _cells(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             if out:
                 cols = [np.concatenate(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols[:6]] + [pa.array(c) for c in cols[6:]], names=[*(f"t{i}" for i in range(1, 7)), "k1", "k2", "pos"])
+            release_memory()
 
     return run
 
@@ -305,6 +307,7 @@ def _compare(level: int, span: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 i = rows[at : at + (1 << 16)]
                 for use, where, h1, h2 in _strings(span, tokens[0][i], tokens[1][i], np.stack([t[i] for t in tokens[2:]], 1), pos[i]):
                     yield batch(_NEXT, part, _mix(h1).view(np.int64), _mix(h2).view(np.int64), k1[i][use], k2[i][use], where, 0)
+        release_memory()
 
     return run
 
@@ -377,6 +380,7 @@ def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
                 at = end
             spans.append([{"start": s, "end": e} for s, e in merged])
             kept.append(b"".join([*left, raw[at:]]))
+        release_memory()
         return pa.StructArray.from_arrays([pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())], names=["spans", "kept"])
 
     joined = keyed.join(extra, ["k1", "k2"], "left").withColumn("cut", cut("data", "marks", "again"))
