@@ -40,12 +40,13 @@ def raw_bytes(words: pa.Array) -> Ragged:
     return Ragged(data, np.diff(ends))
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Runs of texts of about ``SLICE_BYTES`` together."""
+def slices(texts: pa.Array, most: int | None = None) -> Iterator[pa.Array]:
+    """Runs of texts of at most ``most`` bytes together (``SLICE_BYTES``, if not given), or of one longer text."""
+    most = most or SLICE_BYTES
     size = np.cumsum([0 if n is None else n for n in pc.binary_length(texts).to_pylist()])
     start = 0
     while start < len(texts):
-        reach = (size[start - 1] if start else 0) + SLICE_BYTES
+        reach = (size[start - 1] if start else 0) + most
         end = max(start + 1, int(np.searchsorted(size, reach, "right")))
         yield texts.slice(start, end - start)
         start = end

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import materialize, release_memory, shuffle_partitions
 from .components import connected_components
 
 #: Children of a node of the index.
@@ -61,6 +61,7 @@ def simhash(text: Column | str, shingle_words: int = 4) -> Column:
     @F.arrow_udf("long")
     def fingerprint(texts: pa.Array) -> pa.Array:
         out = np.fromiter((text_fingerprint(t.as_py(), shingle_words) for t in texts), np.uint64, len(texts))
+        release_memory()
         return pa.array(out.view(np.int64))
 
     return fingerprint(text)
