@@ -21,7 +21,8 @@ TRUE_PREFIXES = {"scer.fna": "4932", "ecoli.fna": "562", "hsap.fna": "9606", "ph
 RANK_ALIASES = {"sp": "species", "g": "genus", "genera": "genus", "fam": "family"}
 NO_RANK = ("", "none", "exact", "taxid", "raw", "false", "off")
 RANK_COLUMNS = {"genus": "genera_taxid"}
-META_TOOLS = ("samovar", "true", "length", "sample")
+#: What may follow ``taxid`` in a column name without being an annotator; callers may add names of their own tools.
+META_TOOLS = ("true", "length", "sample")
 
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -39,10 +40,9 @@ def true_label(seq: Column, pattern: str | None = None, prefixes: Mapping[str, s
 
 
 def canonical_label(value: Column) -> Column:
-    """Null-like texts give '0', a trailing '.0' goes, then the first run of digits, else the text."""
+    """Null-like texts give '0', others their first run of digits (so '123.0' gives '123'), else the text."""
     text = F.trim(value.cast("string"))
-    bare = F.regexp_replace(text, r"\.0$", "")
-    return F.when(text.isNull() | F.lower(text).isin(*NULL_LABELS), F.lit("0")).otherwise(F.coalesce(_found(bare, r"(\d+)"), bare))
+    return F.when(text.isNull() | F.lower(text).isin(*NULL_LABELS), F.lit("0")).otherwise(F.coalesce(_found(text, r"(\d+)"), text))
 
 
 def combiner_label(value: Column) -> Column:
@@ -81,16 +81,16 @@ def annotator_columns(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.startswith(("taxID_", "N_")) and "confidence" not in c.lower()]
 
 
-def regeneration_columns(columns: Sequence[str]) -> list[str]:
+def regeneration_columns(columns: Sequence[str], meta: Sequence[str] = META_TOOLS) -> list[str]:
     """``taxID*`` columns that hold votes: no truth, confidence or run data."""
-    return [c for c in columns if c.startswith("taxID") and not re.search(r"true|conf", c.lower()) and c.lower() not in META_TOOLS]
+    return [c for c in columns if c.startswith("taxID") and not re.search(r"true|conf", c.lower()) and c.lower() not in meta]
 
 
-def tool_name(column: str) -> str | None:
+def tool_name(column: str, meta: Sequence[str] = META_TOOLS) -> str | None:
     """Annotator in a column name such as taxID_kraken2_0; None for other columns."""
     name = column.lower()
     found = re.search(r"taxid[_./]*([a-z][a-z0-9]*)", name)
-    if "confidence" in name or not found or found[1] in META_TOOLS:
+    if "confidence" in name or not found or found[1] in meta:
         return None
     return found[1]
 

@@ -1,9 +1,16 @@
-"""Column functions over nucleotide and protein texts."""
+"""Column functions over nucleotide and protein texts.
+
+What looks at single characters or windows of them runs in Arrow batches on
+arrays of code points, one text at a time.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,80 +38,163 @@ def skew(s: Column, x: str, y: str) -> Column:
     return (_count(s, x) - _count(s, y)) / (_count(s, x) + _count(s, y) + F.lit(TINY))
 
 
-def _shares(s: Column) -> Column:
+def _points(text: str) -> np.ndarray:
+    """Code points of one text."""
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def _per_text(s: Column, kind: str, one: Callable[[np.ndarray], object]) -> Column:
+    """``one`` of the code points of each text, in Arrow batches; null stays null."""
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else one(_points(t)) for t in texts.to_pylist()], from_ddl(kind))
+
+    return run(s)
+
+
+def from_ddl(kind: str) -> pa.DataType:
+    return {"double": pa.float64(), "string": pa.string(), "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32())}[kind]
+
+
+def _shares(points: np.ndarray) -> np.ndarray:
     """Share of each distinct character."""
-    letters = F.array_distinct(F.filter(F.split(s, ""), lambda c: c != ""))
-    return F.transform(letters, lambda c: (F.length(s) - F.length(F.replace(s, c, F.lit("")))) / F.length(s).cast("double"))
+    return np.unique(points, return_counts=True)[1] / max(1, len(points))
+
+
+def _shannon(points: np.ndarray) -> float:
+    p = _shares(points)
+    return float(-(p * np.log2(p + TINY)).sum())
+
+
+def _renyi2(points: np.ndarray) -> float:
+    return float(-np.log2((_shares(points) ** 2).sum() + TINY))
+
+
+def _least(points: np.ndarray) -> float | None:
+    return float(-np.log2(_shares(points).max() + TINY)) if len(points) else None
 
 
 def shannon_entropy(s: Column) -> Column:
-    return F.aggregate(_shares(s), F.lit(0.0), lambda a, p: a - p * F.log2(p + TINY))
+    return _per_text(s, "double", _shannon)
 
 
 def renyi2_entropy(s: Column) -> Column:
-    return -F.log2(F.aggregate(_shares(s), F.lit(0.0), lambda a, p: a + p * p) + TINY)
+    return _per_text(s, "double", _renyi2)
 
 
 def min_entropy(s: Column) -> Column:
-    return -F.log2(F.array_max(_shares(s)) + TINY)
+    return _per_text(s, "double", _least)
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once per row, even inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _kmer_numbers(points: np.ndarray, k: int) -> np.ndarray:
+    """A number for each run of k characters; equal runs have equal numbers."""
+    distinct, number = np.unique(points, return_inverse=True)
+    out = number[: max(0, len(points) - k + 1)].astype(np.int64)
+    for i in range(1, k):
+        out = out * len(distinct) + number[i : len(out) + i]
+        if i < k - 1 and len(out) and int(out.max()) > (1 << 62) // (len(distinct) + 1):
+            out = np.unique(out, return_inverse=True)[1]
+    return out
 
 
-def _letters(s: Column) -> Column:
-    return F.filter(F.split(s, ""), lambda c: c != "")
+def _complexity(points: np.ndarray, k: int) -> float:
+    most = min(4**k, len(points) - k + 1)
+    return len(np.unique(_kmer_numbers(points, k))) / most if most > 0 else 0.0
 
 
-def _slices(s: Column, k: int, each) -> Column:
-    """``each`` of the runs of k letters, in order; arrays give them without a scan of the text."""
+def _repeats(points: np.ndarray, k: int, least: int) -> float:
+    if len(points) < k:
+        return 0.0
+    runs = np.sort(np.lib.stride_tricks.sliding_window_view(points, k), axis=1)
+    return float(((runs[:, 1:] != runs[:, :-1]).sum(1) + 1 < least).mean())
 
-    def run(letters: Column) -> Column:
-        n = F.size(letters) - k + 1
-        return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i <= n), lambda i: each(F.slice(letters, i, k)))
 
-    return _let(_letters(s), run)
+def _dust(points: np.ndarray) -> float:
+    if not len(points):
+        return 0.0
+    a, b, c = points[:-2], points[1:-1], points[2:]
+    equal = (a == b).astype(int) + (b == c) + (a == c)  # none, one or all three
+    return float(np.array([0, 2, 0, 6])[equal].sum() / len(points))
 
 
 def windows(s: Column, k: int) -> Column:
     """All substrings of length k, in order; empty for shorter texts."""
-    return _slices(s, k, lambda x: F.array_join(x, ""))
+
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else [t[i : i + k] for i in range(len(t) - k + 1)] for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return run(s)
 
 
 def linguistic_complexity(s: Column, k: int = 3) -> Column:
-    """Distinct k-mers over the most that there could be."""
-    most = F.least(F.lit(4**k), F.length(s) - k + 1)
-    return F.coalesce(_ratio(F.size(F.array_distinct(windows(s, k))), F.nullif(F.greatest(most, F.lit(0)), F.lit(0))), F.lit(0.0))
+    """Distinct k-mers over the most that there could be; 0 for shorter and null texts."""
+    return F.coalesce(_per_text(s, "double", lambda p: _complexity(p, k)), F.lit(0.0))
 
 
 def repeat_fraction(s: Column, k: int = 10, least: int = 5) -> Column:
     """Share of windows of k characters with fewer than ``least`` distinct ones."""
-    distinct = _slices(s, k, lambda x: F.size(F.array_distinct(x)))
-    share = _let(distinct, lambda w: _ratio(F.size(F.filter(w, lambda n: n < least)), F.nullif(F.size(w), F.lit(0))))
-    return F.coalesce(share, F.lit(0.0))
+    return F.coalesce(_per_text(s, "double", lambda p: _repeats(p, k, least)), F.lit(0.0))
 
 
 def dust_score(s: Column) -> Column:
     """Sum over 3-letter windows of v(v - 1) for each letter's count v there, over the length."""
-    def one(x: Column) -> Column:
-        n = F.size(F.array_distinct(x))
-        return F.when(n == 1, 6).when(n == 2, 2).otherwise(0)
+    return F.coalesce(_per_text(s, "double", _dust), F.lit(0.0))
+
+
+def text_statistics(s: Column, qual: Column) -> Column:
+    """All scalar features that look at single characters, in one pass over each text."""
+    fields = ("shannon", "renyi2", "min_entropy", "ling_complexity", "repeat_frac", "dust")
+
+    @F.arrow_udf("struct<" + ", ".join(f"{f}: double" for f in (*fields, "mean_qual")) + ">")
+    def run(texts: pa.Array, quals: pa.Array) -> pa.Array:
+        columns: list[list[float | None]] = [[] for _ in range(7)]
+        for t, q in zip(texts.to_pylist(), quals.to_pylist()):
+            p = None if t is None else _points(t)
+            row = [None] * 3 + [0.0] * 3 if p is None else [_shannon(p), _renyi2(p), _least(p), _complexity(p, 3), _repeats(p, 10, 5), _dust(p)]
+            for column, value in zip(columns, [*row, _mean_quality(_points(q)) if q else None]):
+                column.append(value)
+        return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], names=[*fields, "mean_qual"])
+
+    return run(s, qual)
 
-    return F.coalesce(_ratio(F.aggregate(_slices(s, 3, one), F.lit(0), lambda t, v: t + v), F.nullif(F.length(s), F.lit(0))), F.lit(0.0))
+
+def _mean_quality(points: np.ndarray) -> float | None:
+    return float(points.mean() - 33) if len(points) else None
 
 
 def mean_quality(q: Column) -> Column:
     """Mean Phred score of a quality text with offset 33."""
-    letters = F.filter(F.split(q, ""), lambda c: c != "")
-    return _ratio(F.aggregate(letters, F.lit(0), lambda a, c: a + F.ascii(c) - 33), F.length(q))
+    return _per_text(q, "double", _mean_quality)
 
 
 def kmer_vocabulary(k: int) -> list[str]:
     return ["".join(p) for p in product("ACGT", repeat=k)]
 
 
+def kmer_counts(s: Column, k: int) -> Column:
+    """How often each k-mer over ACGT occurs (in lexical order); others are left out. Null counts as empty."""
+    code = np.full(256, 4, np.int64)
+    for i, c in enumerate("ACGT"):
+        code[[ord(c), ord(c.lower())]] = i
+
+    @F.arrow_udf("array<int>")
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            base = code[np.frombuffer((t or "").encode("ascii", "replace"), np.uint8)]
+            n = max(0, len(base) - k + 1)
+            number, good = np.zeros(n, np.int64), np.ones(n, bool)
+            for i in range(k):
+                number = number * 4 + base[i : n + i]
+                good &= base[i : n + i] < 4
+            out.append(np.bincount(number[good], minlength=4**k).astype(np.int32))
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return run(s)
+
+
 def valid_kmers(s: Column, k: int) -> Column:
     """k-mers over ACGT only; others are left out and not counted."""
     return F.filter(windows(F.upper(s), k), lambda x: x.rlike("^[ACGT]+$"))
@@ -119,16 +209,25 @@ def translate(s: Column, unknown: str = "X") -> Column:
 
     A codon's place in the code table comes from the places of its bases in TCAG.
     """
-    bases = F.translate(F.upper(s), "UTCAG", "00123")
-    digit = lambda letters, i: F.get(letters, i).try_cast("int")
-
-    def run(letters: Column) -> Column:
-        n = F.floor(F.size(letters) / 3).cast("int")
-        number = lambda i: digit(letters, 3 * i) * 16 + digit(letters, 3 * i + 1) * 4 + digit(letters, 3 * i + 2)
-        letter = lambda i: F.coalesce(F.nullif(F.substr(F.lit(GENETIC_CODE), number(i) + 1, F.lit(1)), F.lit("")), F.lit(unknown))
-        return F.array_join(F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), letter), "")
-
-    return _let(_letters(bases), run)
+    place = np.full(256, 64, np.int64)
+    for i, letters in enumerate(("TtUu", "Cc", "Aa", "Gg")):
+        place[[ord(c) for c in letters]] = i
+    table = np.append(np.frombuffer(GENETIC_CODE.encode(), np.uint8), np.uint8(ord(unknown)))
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            if t is None:
+                out.append(None)
+                continue
+            base = place[np.frombuffer(t.encode("ascii", "replace"), np.uint8)]
+            n = len(base) // 3
+            number = np.minimum(base[0 : 3 * n : 3] * 16 + base[1 : 3 * n : 3] * 4 + base[2 : 3 * n : 3], 64)
+            out.append(table[number].tobytes().decode("ascii"))
+        return pa.array(out, pa.string())
+
+    return run(s)
 
 
 def parts(s: Column, percent: Column | float) -> Column:

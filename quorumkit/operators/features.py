@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer, StandardScaler, StringIndexer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, Normalizer, StandardScaler, StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumkit.functions.sequence import kmer_vocabulary, valid_kmers
+from quorumkit.functions import sequence as S
 
 
 def kmer_profiles(reads: DataFrame, k: int = 4, seq: str = "seq", name: str = "kmers") -> DataFrame:
     """Add the k-mer frequencies over ACGT as a vector in lexical order."""
-    model = CountVectorizerModel.from_vocabulary(kmer_vocabulary(k), inputCol="__k", outputCol="__c")
-    counted = model.transform(reads.withColumn("__k", valid_kmers(F.col(seq), k)))
-    return Normalizer(p=1.0, inputCol="__c", outputCol=name).transform(counted).drop("__k", "__c")
+    counts = reads.withColumn("__c", array_to_vector(S.kmer_counts(F.col(seq), k).cast("array<double>")))
+    return Normalizer(p=1.0, inputCol="__c", outputCol=name).transform(counts).drop("__c")
 
 
 def fit_composition(profiles: DataFrame, components: int = 5, clusters: int = 5, seed: int = 42) -> PipelineModel:

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumkit.sinks.shared import shared_dir
 from quorumkit.functions.labels import all_unclassified, label_number, tool_name
 
 TREES, ROUNDS, SEED = 100, 100, 42
@@ -76,9 +77,7 @@ def fit_boosted(rows: DataFrame, classes: int, rounds: int = ROUNDS) -> BoostedS
         return model
     work = rows.select("features", "label").withColumn("w", F.lit(1.0 / n))
     if not rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        rows.sparkSession.sparkContext.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
     for i in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=SEED).fit(work)
         miss = (F.col("prediction") != F.col("label")).cast("double")

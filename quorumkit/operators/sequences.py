@@ -13,21 +13,23 @@ SPACER = 500
 
 def read_features(reads: DataFrame, key: str = "read_id", seq: str = "seq", qual: str | None = "qual") -> DataFrame:
     """One row of scalar features per read. Empty reads have null shares and zero counts."""
+    has_quality = bool(qual) and qual in reads.columns
     s = F.upper(F.col(seq))
-    quality = S.mean_quality(F.col(qual)) if qual and qual in reads.columns else F.lit(None).cast("double")
-    return reads.select(
-        F.col(key).alias("read_id"),
+    own = reads.select(F.col(key).alias("read_id"), s.alias("s"), S.text_statistics(s, F.col(qual) if has_quality else F.lit(None).cast("string")).alias("x"))
+    s = F.col("s")
+    return own.select(
+        "read_id",
         F.length(s).alias("length"),
         S.gc_content(s).alias("gc"),
         S.skew(s, "G", "C").alias("gc_skew"),
         S.skew(s, "A", "T").alias("at_skew"),
-        S.shannon_entropy(s).alias("shannon"),
-        S.renyi2_entropy(s).alias("renyi2"),
-        S.min_entropy(s).alias("min_entropy"),
-        S.linguistic_complexity(s).alias("ling_complexity"),
-        S.repeat_fraction(s).alias("repeat_frac"),
-        S.dust_score(s).alias("dust"),
-        quality.alias("mean_qual"),
+        "x.shannon",
+        "x.renyi2",
+        "x.min_entropy",
+        "x.ling_complexity",
+        "x.repeat_frac",
+        "x.dust",
+        "x.mean_qual",
     )
 
 

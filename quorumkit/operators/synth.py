@@ -1,14 +1,16 @@
 """Synthetic abundance profiles: long abundance in, long abundance out.
 
-Randomness is drawn inside each (annotator, sample) group from a generator
-seeded by the seed and the group's name, so results do not depend on how Spark
+Randomness is drawn for each (annotator, sample) from a generator
+seeded by the seed and the names, so results do not depend on how Spark
 deals the groups out.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import pickle
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,17 +18,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumkit.operators import abundance as A
+from quorumkit.sinks.shared import materialize
 
-MODES = {"direct": "direct", "preserve": "direct", "bootstrap": "bootstrap", "vae": "vae", "fa": "vae", "glm": "glm", "samovar": "glm", "glm_python": "glm"}
+MODES = {"direct": "direct", "preserve": "direct", "bootstrap": "bootstrap", "vae": "vae", "fa": "vae", "glm": "glm", "glm_python": "glm"}
 DEFAULTS = {"threshold": 1e-5, "seed": 42, "latent": 4, "error": 0.15, "noise": 0.15, "min_cluster": 2, "max_cluster": 100}
 _SCHEMA = "annotator string, sample string, taxid string, n double"
 
 
-def normalize_mode(mode: str | None) -> str:
+def normalize_mode(mode: str | None, aliases: Mapping[str, str] | None = None) -> str:
+    """One of direct, bootstrap, vae and glm; ``aliases`` are further names a caller knows them by."""
+    known = MODES | dict(aliases or {})
     key = (mode or "direct").strip().lower().replace("-", "_")
-    if key not in MODES:
-        raise ValueError(f"unknown mode {mode!r}; one of {sorted(MODES)}")
-    return MODES[key]
+    if key not in known:
+        raise ValueError(f"unknown mode {mode!r}; one of {sorted(known)}")
+    return known[key]
 
 
 def settings(**own) -> dict:
@@ -64,36 +69,30 @@ def direct(abundance: DataFrame, n_reads: int | None = None, rescale: bool = Fal
     return finish(kept, n_reads, rescale)
 
 
-def _matrix(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.pivot_table(index="taxid", columns="sample", values="n", aggfunc="sum", fill_value=0.0).sort_index().sort_index(axis=1)
-
-
 def bootstrap(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None = None, rescale: bool = False, **own) -> DataFrame:
     """Noisy copies of observed samples: Dirichlet shares, then a multinomial draw.
 
-    One task draws one synthetic sample from the labels of its annotator. Extra
-    names draw their source from the observed samples.
+    Sources, totals and the Dirichlet's parameters are columns; a task only
+    draws one synthetic sample. Extra names draw their source from all.
     """
     s = settings(**own)
-    strength, seed = max(1.0, 1.0 / max(s["error"], 1e-6)), s["seed"]
-    names = synthetic_samples(abundance, n_samples)
-    listed = names.groupBy("annotator").agg(F.sort_array(F.collect_set("source")).alias("all"))
-    drawn = F.pmod(F.xxhash64("annotator", "name", F.lit(seed)), F.size("all")).cast("int")
-    chosen = names.join(listed, "annotator").select("annotator", "name", F.when(F.col("name") == F.col("source"), F.col("source")).otherwise(F.get("all", drawn)).alias("sample"))
-    rows = chosen.join(A.complete(abundance), ["annotator", "sample"]).select("annotator", "name", "taxid", "n")
-
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("taxid")
-        counts = np.maximum(pdf["n"].to_numpy(float), 0)
-        total = int(round(counts.sum()))
-        out = np.zeros(len(pdf))
-        if total > 0:
-            rng = _rng(seed, pdf["annotator"].iloc[0], pdf["name"].iloc[0])
-            p = rng.dirichlet(counts * strength / total + 0.05)
-            out = rng.multinomial(total, p / p.sum()).astype(float)
-        return pd.DataFrame({"annotator": pdf["annotator"], "sample": pdf["name"], "taxid": pdf["taxid"], "n": out})
-
-    synthetic = rows.groupBy("annotator", "name").applyInPandas(draw, _SCHEMA)
+    seed, strength = s["seed"], max(1.0, 1.0 / max(s["error"], 1e-6))
+    observed = A.complete(abundance).withColumn("n", F.greatest(F.col("n").cast("double"), F.lit(0.0)))
+    totals = observed.groupBy("annotator", "sample").agg(F.round(F.sum("n")).cast("long").alias("total"), F.sum("n").alias("mass"))
+    names = synthetic_samples(abundance, n_samples).withColumn("extra", F.col("name") != F.col("source"))
+    pool = names.groupBy("annotator").agg(F.sort_array(F.collect_set("source")).alias("pool"))
+    lot = F.pmod(F.xxhash64("annotator", "name", F.lit(seed)), F.size("pool")).cast("int")
+    origin = names.join(pool, "annotator").select("annotator", "name", F.when(F.col("extra"), F.get("pool", lot)).otherwise(F.col("source")).alias("sample"))
+    alpha = F.coalesce(F.try_divide(F.col("n") * strength, F.col("mass")), F.lit(0.0)) + 0.05
+    urns = origin.join(totals, ["annotator", "sample"]).join(observed, ["annotator", "sample"]).select("annotator", "name", "total", "taxid", alpha.alias("alpha"))
+
+    def draw(key: tuple, urn: pd.DataFrame) -> pd.DataFrame:
+        urn = urn.sort_values("taxid", ignore_index=True)
+        gamma = np.maximum(_rng(seed, *key).standard_gamma(urn["alpha"]), 1e-300)
+        counts = _rng(seed, *key, "counts").multinomial(urn["total"].iloc[0], gamma / gamma.sum())
+        return pd.DataFrame({"annotator": key[0], "sample": key[1], "taxid": urn["taxid"], "n": counts.astype(float)})
+
+    synthetic = urns.groupBy("annotator", "name").applyInPandas(draw, _SCHEMA)
     return finish(A.filter_labels(synthetic, s["threshold"], n_reads, rescale), n_reads, rescale)
 
 
@@ -117,21 +116,26 @@ def factor_analysis(x: np.ndarray, k: int, steps: int = 200, tol: float = 1e-3)
     return mean, load, scores
 
 
-def _generate(kept: DataFrame, names: DataFrame, make: Callable[[pd.DataFrame, str, np.random.Generator, int], np.ndarray], seed: int) -> DataFrame:
-    """One synthetic sample per task, from the (filtered) matrix of its annotator."""
+def _fit_and_draw(kept: DataFrame, names: DataFrame, fit: Callable[[np.ndarray], object], draw: Callable[[object, np.random.Generator, int], np.ndarray], seed: int) -> DataFrame:
+    """Fit one model for each annotator, then draw its synthetic samples, each by itself.
+
+    ``fit`` gets the (labels, samples) matrix of an annotator, labels and samples
+    in order; its result travels as one small binary value.
+    """
 
-    def one(mine: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if right.empty or mine.empty:
-            return pd.DataFrame({"annotator": [], "sample": [], "taxid": [], "n": []}).astype({"annotator": str, "sample": str, "taxid": str, "n": float})
-        mat = _matrix(mine)
-        name, place = right["name"].iloc[0], int(right["place"].iloc[0])
-        n = make(mat, name, _rng(seed, right["of"].iloc[0], name), place)
-        return pd.DataFrame({"annotator": right["of"].iloc[0], "sample": name, "taxid": mat.index, "n": n})
+    def learn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        matrix = pdf.pivot_table(index="taxid", columns="sample", values="n", aggfunc="sum", fill_value=0.0).sort_index().sort_index(axis=1)
+        return pd.DataFrame({"annotator": [key[0]], "labels": [matrix.index.tolist()], "model": [pickle.dumps(fit(matrix.to_numpy(float)))]})
 
-    keys = names.toDF("of", "name", "source", "place")  # own names, as both sides come from one table
-    left = names.toDF("of", "name", "source", "place")
-    copies = kept.join(left, F.col("annotator") == F.col("of")).select("annotator", "name", "sample", "taxid", F.col("n").cast("double").alias("n"))
-    return copies.groupBy("annotator", "name").cogroup(keys.groupBy("of", "name")).applyInPandas(one, _SCHEMA)
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples():
+                n = draw(pickle.loads(r.model), _rng(seed, r.annotator, r.name), r.place)
+                yield pd.DataFrame({"annotator": r.annotator, "sample": r.name, "taxid": list(r.labels), "n": n})
+
+    values = kept.select("annotator", "sample", "taxid", F.col("n").cast("double").alias("n"))
+    models = materialize(values.groupBy("annotator").applyInPandas(learn, "annotator string, labels array<string>, model binary"))
+    return names.select("annotator", "name", "place").join(models, "annotator").mapInPandas(each, _SCHEMA)
 
 
 def vae(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None = 1000, rescale: bool = False, **own) -> DataFrame:
@@ -142,16 +146,21 @@ def vae(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None
     s = settings(**own)
     kept = A.filter_labels(A.complete(abundance), s["threshold"], n_reads, rescale)
 
-    def make(mat: pd.DataFrame, name: str, rng: np.random.Generator, place: int) -> np.ndarray:
-        if min(mat.shape) < 2:
-            return mat.iloc[:, place % mat.shape[1]].to_numpy(float)
-        x = np.log1p(mat.to_numpy(float)).T
+    def fit(values: np.ndarray):
+        if min(values.shape) < 2:
+            return values, None, None
+        x = np.log1p(values).T
         mean, load, scores = factor_analysis(x, max(1, min(s["latent"], x.shape[0] - 1, x.shape[1] - 1)))
         spread = scores.std(0)
-        z = rng.normal(size=len(load)) * np.where(spread == 0, 1.0, spread)
-        return np.expm1(np.maximum(mean + z @ load, 0))
+        return mean, load, np.where(spread == 0, 1.0, spread)
+
+    def draw(model, rng: np.random.Generator, place: int) -> np.ndarray:
+        mean, load, spread = model
+        if load is None:
+            return mean[:, place % mean.shape[1]]
+        return np.expm1(np.maximum(mean + (rng.normal(size=len(load)) * spread) @ load, 0))
 
-    return finish(_generate(kept, synthetic_samples(abundance, n_samples), make, s["seed"]), n_reads, rescale)
+    return finish(_fit_and_draw(kept, synthetic_samples(abundance, n_samples), fit, draw, s["seed"]), n_reads, rescale)
 
 
 def cluster_labels(corr: np.ndarray, min_size: int = 2, max_size: int = 100) -> np.ndarray:
@@ -200,92 +209,104 @@ class PairModel:
         np.fill_diagonal(self.prob, 1.0)
         np.fill_diagonal(self.r2, 1.0)
 
-    def predict(self, i: int, j: int, x: float) -> float:
-        return max(0.0, float(self.base[i, j] + self.slope[i, j] * x))
-
-    def drawn_presence(self, start: int, rng: np.random.Generator) -> np.ndarray:
-        """Which others are present with ``start``: their probability beats one drawn from all."""
-        known = self.prob[self.prob > 0]
-        limits = rng.choice(known if known.size else np.zeros(1), size=len(self.prob))
-        present = self.prob[start] > limits
-        present[start] = True
-        return present
-
-    def strongest(self, done: np.ndarray, present: np.ndarray) -> tuple[int, int] | None:
-        weight = np.where(done[:, None] & ~done[None, :] & present[:, None] & present[None, :], self.r2, 0.0)
-        at = int(np.argmax(weight))
-        return divmod(at, len(weight)) if weight.ravel()[at] > 0 else None
-
-
-def walk_cluster(values: np.ndarray, start: int, level: float, rng: np.random.Generator, noise: float) -> np.ndarray:
-    """Abundances of one cluster, spread from one label along the strongest fits."""
-    out = np.zeros(len(values))
-    out[start] = max(0.0, level)
-    if len(values) == 1:
+    def tree(self) -> list[list[tuple[int, float, float]]]:
+        """Neighbours (row, base, slope) of each row in the maximum spanning forest of the fits' weights."""
+        n = len(self.r2)
+        first, second = np.triu_indices(n, 1)
+        order = np.argsort(-np.maximum(self.r2, self.r2.T)[first, second], kind="stable")
+        group, near = np.arange(n), [[] for _ in range(n)]
+        for i, j in zip(first[order].tolist(), second[order].tolist()):
+            if group[i] != group[j]:
+                group[group == group[j]] = group[i]
+                near[i].append((j, float(self.base[i, j]), float(self.slope[i, j])))
+                near[j].append((i, float(self.base[j, i]), float(self.slope[j, i])))
+        return near
+
+
+@dataclass
+class PairTree:
+    """How the rows of a matrix follow from each other: presence and a spanning tree of pairwise fits."""
+
+    presence: np.ndarray  #: share of the samples with row i that have row j
+    near: list[list[tuple[int, float, float]]]
+
+    @classmethod
+    def of(cls, values: np.ndarray) -> "PairTree":
+        pairs = PairModel(values)
+        return cls(pairs.prob, pairs.tree())
+
+    def present(self, start: int, rng: np.random.Generator) -> np.ndarray:
+        """Rows that are there together with ``start``: their probability beats one drawn from all of them."""
+        known = self.presence[self.presence > 0]
+        there = self.presence[start] > (rng.choice(known, len(self.presence)) if known.size else 1.0)
+        there[start] = True
+        return there
+
+    def spread(self, start: int, level: float, rng: np.random.Generator, noise: float) -> np.ndarray:
+        """Expected value of each row, going out from ``start`` along the tree, with noise on every step."""
+        out = np.full(len(self.near), np.nan)
+        out[start], todo = max(0.0, level), [start]
+        for i in todo:
+            for j, base, slope in self.near[i]:
+                if np.isnan(out[j]):
+                    out[j] = max(0.0, (base + slope * out[i]) * rng.normal(1.0, noise))
+                    todo.append(j)
+        return np.nan_to_num(out)
+
+
+@dataclass
+class ClusterForest:
+    """Clusters of labels, a tree over the clusters' means and one over the labels of each cluster."""
+
+    values: np.ndarray
+    members: list[np.ndarray]
+    between: PairTree
+    within: list[PairTree]
+
+    @classmethod
+    def of(cls, values: np.ndarray, min_size: int, max_size: int) -> "ClusterForest":
+        values = np.maximum(values, 0)
+        corr = np.ones((len(values),) * 2)
+        if min(values.shape) > 1:
+            with np.errstate(all="ignore"):
+                corr = np.nan_to_num(np.corrcoef(np.log1p(values)))
+            np.fill_diagonal(corr, 1.0)
+        own = cluster_labels(corr, min_size, max_size)
+        members = [np.flatnonzero(own == c) for c in range(own.max() + 1)]
+        return cls(values, members, PairTree.of(np.stack([values[m].mean(0) for m in members])), [PairTree.of(values[m]) for m in members])
+
+    def sample(self, rng: np.random.Generator, noise: float) -> np.ndarray:
+        """One synthetic sample: presence of all clusters at once, their levels along the tree, then each one's labels likewise."""
+        out = np.zeros(len(self.values))
+        seen = np.flatnonzero(self.values.any(axis=1))
+        if not seen.size:
+            return out
+        start = int(rng.choice(seen))
+        home = next(c for c, m in enumerate(self.members) if start in m)
+        level = float(rng.choice(self.values[start][self.values[start] > 0]))
+        means = np.array([self.values[m].mean() for m in self.members])
+        expected = self.between.spread(home, level * means[home] / self.values[start].mean(), rng, noise)
+        for c in np.flatnonzero(self.between.present(home, rng)).tolist():
+            m = self.members[c]
+            ever = np.flatnonzero(self.values[m].any(axis=1))
+            if not ever.size:
+                continue
+            first = int(np.flatnonzero(m == start)[0]) if c == home else int(rng.choice(ever))
+            here = level if c == home else expected[c] * self.values[m[first]].mean() / means[c]
+            out[m] = np.where(self.within[c].present(first, rng), self.within[c].spread(first, here, rng, noise), 0.0)
         return out
-    pairs = PairModel(values)
-    present = pairs.drawn_presence(start, rng)
-    done = ~present
-    done[start] = True
-    while (edge := pairs.strongest(done, present)) is not None:
-        i, j = edge
-        out[j] = max(0.0, pairs.predict(i, j, out[i]) * (1 + rng.normal(0, noise)))
-        done[j] = True
-    return out
-
-
-def walk_profile(values: np.ndarray, rng: np.random.Generator, noise: float, min_size: int, max_size: int) -> np.ndarray:
-    """One synthetic sample: a walk over clusters of labels, and inside each over its labels."""
-    out = np.zeros(len(values))
-    present = np.flatnonzero(values.sum(1) > 0)
-    if not present.size:
-        return out
-    logs = np.log1p(values)
-    with np.errstate(all="ignore"):
-        corr = np.nan_to_num(np.corrcoef(logs)) if len(values) > 1 and values.shape[1] > 1 else np.ones((len(values), len(values)))
-    np.fill_diagonal(corr, 1.0)
-    own = cluster_labels(corr, min_size, max_size)
-    members = [np.flatnonzero(own == c) for c in range(own.max() + 1)]
-    means = np.stack([values[m].mean(0) for m in members])
-    between = PairModel(means)
-    start = int(rng.choice(present))
-    level = float(rng.choice(values[start][values[start] > 0]))
-    here = int(own[start])
-    use = between.drawn_presence(here, rng) if len(members) > 1 else np.ones(1, bool)
-    done = ~use
-    while True:
-        m = members[here]
-        out[m] = walk_cluster(values[m], int(np.flatnonzero(m == start)[0]), level, rng, noise)
-        done[here] = True
-        if done.all():
-            return np.maximum(out, 0)
-        edge = between.strongest(done & use, use)
-        if edge is None:
-            here = int(np.flatnonzero(~done)[0])
-            start, level = int(members[here][0]), float(values[members[here][0]].mean())
-            continue
-        last, here = edge
-        m = members[here]
-        expected = between.predict(last, here, float(out[members[last]].mean()))
-        sub = values[m]
-        columns = np.flatnonzero(sub.sum(0) > 0)
-        local = int(rng.choice(np.flatnonzero(sub[:, rng.choice(columns)] > 0))) if columns.size else 0
-        average = sub.mean()
-        start, level = int(m[local]), float(sub[local].mean() / average * expected) if average else expected
 
 
 def glm(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None = 1000, rescale: bool = False, **own) -> DataFrame:
-    """Profiles from walks over pairwise regressions of clustered labels.
+    """Profiles that spread over spanning trees of pairwise regressions of clustered labels.
 
-    The filter comes first: it bounds the labels whose pairs a task looks at.
+    The filter comes first: it bounds the labels whose pairs one task fits, once for each annotator.
     """
     s = settings(**own)
     kept = A.filter_labels(A.complete(abundance), s["threshold"], n_reads, rescale)
-
-    def make(mat: pd.DataFrame, name: str, rng: np.random.Generator, place: int) -> np.ndarray:
-        return walk_profile(np.maximum(mat.to_numpy(float), 0), rng, s["noise"], s["min_cluster"], s["max_cluster"])
-
-    return finish(_generate(kept, synthetic_samples(abundance, n_samples), make, s["seed"]), n_reads, rescale)
+    fit = lambda values: ClusterForest.of(values, s["min_cluster"], s["max_cluster"])
+    draw = lambda model, rng, place: model.sample(rng, s["noise"])
+    return finish(_fit_and_draw(kept, synthetic_samples(abundance, n_samples), fit, draw, s["seed"]), n_reads, rescale)
 
 
 def regenerate(abundance: DataFrame, mode: str = "direct", n_samples: int | None = None, n_reads: int | None = None, rescale: bool = False, **own) -> DataFrame:

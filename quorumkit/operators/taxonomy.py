@@ -4,55 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumkit.functions.labels import canonical_label
+from quorumkit.sinks.shared import materialize
 
-#: Doublings of the walk: trees up to 2**STEPS levels deep.
-STEPS = 7
+#: Rounds of doubling after which pointers that still move are an error: a cycle of parents.
+MAX_ROUNDS = 40
 
 
-def ancestor_at_rank(nodes: DataFrame, rank: str, wanted: DataFrame | None = None) -> DataFrame:
-    """(tax_id, ancestor): the nearest node of that rank at or above each node.
+def ancestors_at_ranks(nodes: DataFrame, ranks: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
+    """(at_rank, tax_id, ancestor): for each rank the nearest node of it at or above each node.
 
     Pointers double: a node of the rank and a root point at themselves, others
-    at their parent, and each round follows two pointers at once, so a tree of
-    depth d takes log2(d) joins. Nodes without such an ancestor are left out.
+    at their parent, and following each pointer's pointer doubles its reach.
+    Four pointers are followed before the result is written to the shared
+    folder, until none moves, so a tree of any depth d takes about log4(d)
+    short plans. Nodes without such an ancestor are left out.
     """
-    here = nodes.select("tax_id", F.when((F.col("rank") == rank) | (F.col("parent") == F.col("tax_id")), F.col("tax_id")).otherwise(F.col("parent")).alias("hop"))
-    hop = here
-    for _ in range(STEPS):
-        hop = hop.join(hop.select(F.col("tax_id").alias("__t"), F.col("hop").alias("__h")), F.col("hop") == F.col("__t"), "left").select("tax_id", F.coalesce("__h", "hop").alias("hop"))
+    rank_list = F.array(*map(F.lit, ranks)) if ranks else F.array().cast("array<string>")
+    here = nodes.select(F.explode(rank_list).alias("at_rank"), "tax_id", "parent", "rank")
+    stays = (F.col("rank") == F.col("at_rank")) | (F.col("parent") == F.col("tax_id"))
+    hop = materialize(here.select("at_rank", "tax_id", F.when(stays, F.col("tax_id")).otherwise(F.col("parent")).alias("hop")))
+
+    def follow(a: DataFrame, b: DataFrame) -> DataFrame:
+        step = b.select(F.col("at_rank").alias("r"), F.col("tax_id").alias("t"), F.col("hop").alias("h"))
+        return a.join(step, (F.col("at_rank") == F.col("r")) & (F.col("hop") == F.col("t")), "left").select("at_rank", "tax_id", F.coalesce("h", "hop").alias("hop"), *(["was"] if "was" in a.columns else []))
+
+    for _ in range(MAX_ROUNDS):
+        twice = materialize(follow(hop.withColumn("was", F.col("hop")), hop))
+        moved = twice.where("hop <> was").limit(1).count()
+        hop = twice.drop("was")
+        if not moved:
+            break
+        hop = materialize(follow(hop, hop))
+    else:
+        raise ValueError("parents form a cycle")
     if wanted is not None:
         hop = hop.join(wanted.select("tax_id").distinct(), "tax_id", "left_semi")
-    ranked = nodes.where(F.col("rank") == rank).select(F.col("tax_id").alias("hop"))
-    return hop.join(ranked, "hop", "left_semi").select("tax_id", F.col("hop").alias("ancestor"))
+    ranked = nodes.select(F.col("rank").alias("at_rank"), F.col("tax_id").alias("hop"))
+    return hop.join(ranked, ["at_rank", "hop"], "left_semi").select("at_rank", "tax_id", F.col("hop").alias("ancestor"))
+
+
+def ancestor_at_rank(nodes: DataFrame, rank: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(tax_id, ancestor): the nearest node of that rank at or above each node that has one."""
+    return ancestors_at_ranks(nodes, [rank], wanted).select("tax_id", "ancestor")
 
 
-def lineage(nodes: DataFrame, wanted: DataFrame, depth: int = 1 << STEPS) -> DataFrame:
+def lineage(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(tax_id, lineage map rank -> id) of the wanted ids; of equal ranks the one nearest the root holds.
 
-    A recursive query from the wanted ids only. The root itself is left out.
-    Spark ends such a query at ``spark.sql.cteRecursionRowLimit`` rows (ids
-    times depth); ``ancestor_at_rank`` has no such limit.
+    The list of (id, ancestor, distance) and the pointers both double in reach
+    each round and are written to the shared folder, until no pointer is left;
+    there is no limit on rows or depth. The root itself is left out.
     """
-    return wanted.sparkSession.sql(
-        """
-        WITH RECURSIVE up(tax_id, at, depth) AS (
-            SELECT tax_id, tax_id, 0 FROM {wanted}
-            UNION ALL
-            SELECT u.tax_id, n.parent, u.depth + 1 FROM up u JOIN {nodes} n ON u.at = n.tax_id
-            WHERE n.parent <> n.tax_id AND u.depth < __DEPTH__
-        )
-        SELECT tax_id, map_from_entries(collect_list(struct(rank, at))) AS lineage
-        FROM (SELECT u.tax_id, n.rank, max_by(u.at, u.depth) AS at FROM up u JOIN {nodes} n ON u.at = n.tax_id
-              WHERE n.tax_id <> 1 GROUP BY u.tax_id, n.rank)
-        GROUP BY tax_id
-        """.replace("__DEPTH__", str(int(depth))),
-        wanted=wanted.select("tax_id").distinct(),
-        nodes=nodes,
-    )
+    jump = materialize(nodes.where("parent <> tax_id").select(F.col("tax_id").alias("from"), F.col("parent").alias("to")))
+    above = wanted.select("tax_id").distinct().join(nodes.select("tax_id").distinct(), "tax_id", "left_semi").select("tax_id", F.col("tax_id").alias("at"), F.lit(0).alias("depth"))
+    reach = 1
+    while jump.limit(1).count():
+        if reach >> MAX_ROUNDS:
+            raise ValueError("parents form a cycle")
+        further = above.join(jump, F.col("at") == F.col("from")).select("tax_id", F.col("to").alias("at"), F.col("depth") + reach)
+        above = materialize(above.unionByName(further.toDF("tax_id", "at", "depth")))
+        jump = materialize(jump.join(jump.select(F.col("from").alias("to"), F.col("to").alias("next")), "to").select("from", F.col("next").alias("to")))
+        reach *= 2
+    named = above.join(nodes.select(F.col("tax_id").alias("at"), "rank", "parent"), "at").where("at <> parent AND at <> 1")
+    each = named.groupBy("tax_id", "rank").agg(F.max_by("at", "depth").alias("at"))
+    return each.groupBy("tax_id").agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("lineage"))
 
 
 def roll_up(votes: DataFrame, mapping: DataFrame, label: str = "label", keep_unmapped: bool = True) -> DataFrame:
@@ -69,9 +88,10 @@ def roll_up(votes: DataFrame, mapping: DataFrame, label: str = "label", keep_unm
 
 def expand_ranks(votes: DataFrame, nodes: DataFrame, ranks: Sequence[str], label: str = "label") -> DataFrame:
     """Votes at several ranks, with the rank as a key column; unmapped labels become null."""
+    found = materialize(ancestors_at_ranks(nodes, ranks))
     out = None
     for rank in ranks:
-        mapping = ancestor_at_rank(nodes, rank).select(F.col("tax_id").cast("string").alias("taxid"), F.col("ancestor").cast("string").alias("mapped"))
+        mapping = found.where(F.col("at_rank") == rank).select(F.col("tax_id").cast("string").alias("taxid"), F.col("ancestor").cast("string").alias("mapped"))
         got = roll_up(votes, mapping, label, keep_unmapped=False).withColumn("rank", F.lit(rank))
         out = got if out is None else out.unionByName(got)
     return out
@@ -84,7 +104,3 @@ def label_names(labels: DataFrame, *tables: DataFrame) -> DataFrame:
         out = out.join(t.select("taxid", F.col("name").alias(f"__n{i}")), "taxid", "left")
         names.append(F.col(f"__n{i}"))
     return out.select("taxid", F.coalesce(*names, F.col("taxid")).alias("name"))
-
-
-def rank_flag(rank: Column) -> Column:
-    return F.lower(F.trim(rank))

@@ -26,8 +26,8 @@ _VOTES = _CALLS + """, votes AS (
 _COUNTS = _VOTES + """, seen AS (SELECT DISTINCT "true" AS t FROM votes), counts AS (
     SELECT annotator, "true", CASE WHEN label = '0' OR label IN (SELECT t FROM seen) THEN label ELSE 'other' END AS pred, count(*) AS freq
     FROM votes GROUP BY ALL)"""
-_LINES = _CALLS + f", lines AS ({I.duck(I.LINES)})"
-_REPORT = _LINES + """, report AS (
+_LINES = f"calls AS MATERIALIZED ({I.duck(I.CALLS)}), lines AS MATERIALIZED ({I.duck(I.LINES)})"
+_REPORT = _LINES + """, report AS MATERIALIZED (
     SELECT sample, tool, run_idx, string_split(value, chr(9))[2] AS seq,
            CASE WHEN tool = 'kaiju' THEN string_split(value, chr(9))[3] ELSE regexp_extract(string_split(value, chr(9))[3], '(?i)taxid ([0-9]+)', 1) END AS taxid,
            CASE WHEN tool = 'kaiju' THEN NULL ELSE string_split(string_split(value, chr(9))[4], '|')[1] END AS length, line_no
@@ -166,7 +166,7 @@ def report_parse(spark, d):
 
 
 @query(
-    f"""WITH {_REPORT}, one AS (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid, arg_min(length, line_no) AS length FROM report GROUP BY ALL)
+    f"""WITH {_REPORT}, one AS MATERIALIZED (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid, arg_min(length, line_no) AS length FROM report GROUP BY ALL)
     SELECT coalesce(x.sample, y.sample) AS sample, coalesce(x.seq, y.seq) AS seq, coalesce(x.taxid, '0') AS "taxID_kaiju_0", coalesce(y.taxid, '0') AS "taxID_kraken2_0", coalesce(y.length, '') AS length, regexp_extract(coalesce(x.seq, y.seq), '(?i)taxid:([0-9]+)', 1) AS "true"
     FROM (SELECT * FROM one WHERE tool = 'kaiju') x FULL JOIN (SELECT * FROM one WHERE tool = 'kraken2') y ON x.sample = y.sample AND x.seq = y.seq"""
 )
@@ -175,7 +175,7 @@ def combine_votes(spark, d):
 
 
 @query(
-    f"""WITH {_REPORT}, one AS (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid FROM report GROUP BY ALL)
+    f"""WITH {_REPORT}, one AS MATERIALIZED (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid FROM report GROUP BY ALL)
     SELECT coalesce(x.sample, y.sample) AS sample, coalesce(x.seq, y.seq) AS seq, x.taxid AS "taxID_kaiju_0", y.taxid AS "taxID_kraken2_0"
     FROM (SELECT * FROM one WHERE tool = 'kaiju') x FULL JOIN (SELECT * FROM one WHERE tool = 'kraken2') y ON x.sample = y.sample AND x.seq = y.seq"""
 )
@@ -232,23 +232,25 @@ def label_algebra(spark, d):
 
 
 @query(
-    """SELECT c_custkey, CASE WHEN length(n) > 12 THEN substr(n, 1, 11) || '…' ELSE n END AS shown, regexp_replace(concat(c_name, ' ', c_mktsegment), '[^A-Za-z0-9._-]+', '_', 'g') AS safe
-    FROM (SELECT *, concat(c_name, c_mktsegment) AS n FROM customer)"""
+    """WITH k AS (SELECT *, CASE c_custkey % 5 WHEN 0 THEN '0' WHEN 1 THEN 'Other' WHEN 2 THEN NULL WHEN 3 THEN 'unclassified' ELSE c_custkey::varchar END AS label,
+        CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat(c_name, c_mktsegment) END AS n FROM customer),
+    s AS (SELECT *, CASE WHEN lower(trim(label)) = 'other' THEN 'other' WHEN label IS NULL OR label IN ('0', 'unclassified') THEN '0' ELSE coalesce(n, label) END AS s FROM k)
+    SELECT c_custkey, CASE WHEN length(s) > 12 THEN substr(s, 1, 11) || '…' ELSE s END AS shown, regexp_replace(concat_ws(' ', c_name, c_mktsegment), '[^A-Za-z0-9._-]+', '_', 'g') AS safe FROM s"""
 )
 def label_display(spark, d):
     c = I.table(spark, d, "customer")
-    name = F.concat("c_name", "c_mktsegment")
-    return c.select("c_custkey", L.display_label(F.lit("7"), name, 12).alias("shown"), L.safe_id(F.concat_ws(" ", "c_name", "c_mktsegment")).alias("safe"))
+    kind = F.col("c_custkey") % 5
+    label = F.when(kind == 0, "0").when(kind == 1, "Other").when(kind == 3, "unclassified").when(kind == 4, F.col("c_custkey").cast("string"))
+    name = F.when(F.col("c_custkey") % 7 != 0, F.concat("c_name", "c_mktsegment"))
+    return c.select("c_custkey", L.display_label(label, name, 12).alias("shown"), L.safe_id(F.concat_ws(" ", "c_name", "c_mktsegment")).alias("safe"))
 
 
 @query(
-    f"""WITH {_CALLS} SELECT seq, "true"::double AS "true", "taxID_a_0"::double AS "taxID_a_0", "taxID_b_0"::double AS "taxID_b_0", "taxID_c_0"::double AS "taxID_c_0", length::int AS length FROM calls"""
+    f"""WITH {_CALLS} SELECT "taxID_a_0"::double AS "taxID_a_0", "taxID_b_0"::double AS "taxID_b_0", "taxID_c_0"::double AS "taxID_c_0", length::int AS length, "true"::double AS "true", l_orderkey::bigint AS l_orderkey, l_linenumber::bigint AS l_linenumber FROM calls"""
 )
 def model_input(spark, d):
-    rows = I.calls(spark, d).select(F.col("seq").alias("key"), *I.ANNOTATORS, "length", "true")
-    clean = L.model_input(rows.drop("key").withColumn("place", F.lit(0)))
-    assert clean.columns  # the operator drops the read id; the query keeps it beside
-    return rows.select(F.col("key").alias("seq"), L.as_number(F.col("true")).alias("true"), *(L.label_number(F.col(c)).alias(c) for c in I.ANNOTATORS), F.coalesce(L.as_number(F.col("length")).cast("int"), F.lit(0)).alias("length")).where(F.col("true").isNotNull())
+    rows = L.model_input(I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "length", "true", "l_orderkey", "l_linenumber"))
+    return rows.withColumns({c: F.col(c).cast("long") for c in ("l_orderkey", "l_linenumber")})
 
 
 _VOTED = """CASE WHEN "taxID_a_0" = '0' AND "taxID_b_0" = '0' AND "taxID_c_0" = '0' THEN true ELSE false END"""
@@ -467,8 +469,9 @@ def read_quality(spark, d):
     SELECT kmer, count(*) AS n, count(DISTINCT header) AS reads FROM k WHERE regexp_full_match(kmer, '[ACGT]+') GROUP BY ALL"""
 )
 def kmer_counts(spark, d):
-    rows = I.contigs(spark, d).select("header", F.explode(S.valid_kmers(F.col("sequence"), 3)).alias("kmer")).groupBy("header", "kmer").agg(F.count(F.lit(1)).alias("n"))
-    return rows.groupBy("kmer").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("reads"))
+    counts = I.contigs(spark, d).select(F.posexplode(S.kmer_counts(F.col("sequence"), 3)).alias("at", "n")).where("n > 0")
+    names = F.array(*map(F.lit, S.kmer_vocabulary(3)))
+    return counts.groupBy(F.get(names, F.col("at")).alias("kmer")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("reads"))
 
 
 @query(
@@ -542,13 +545,13 @@ def genome_catalogue(spark, d):
 @query()
 def reprofiled(spark, d):
     rows = I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "length", "true")
-    model = reprofile.train(rows, trees=10, rounds=5)
+    model = reprofile.train(rows)
     return reprofile.apply_reprofiler(rows, model).select("sample", "seq", "corrected", "corrected_confidence")
 
 
 @query()
 def composition_clusters(spark, d):
-    profiles = features.kmer_profiles(I.contigs(spark, d).select(F.col("header").alias("read_id"), F.col("sequence").alias("seq")), 3)
+    profiles = features.kmer_profiles(I.contigs(spark, d).select(F.col("header").alias("read_id"), F.col("sequence").alias("seq")))
     model = features.fit_composition(profiles)
     return features.composition_features(model, profiles).drop("seq")
 
@@ -556,8 +559,8 @@ def composition_clusters(spark, d):
 @query()
 def composition_classes(spark, d):
     rows = I.letters(spark, d).select("read_id", "lang", F.translate("seq", *I.BASES).alias("seq")).where("lang IS NOT NULL")
-    profiles = features.kmer_profiles(rows, 3)
-    return features.classify_composition(features.fit_composition_classifier(profiles, "lang", 3, (16,), steps=20), profiles).select("read_id", "pred", "confidence")
+    profiles = features.kmer_profiles(rows)
+    return features.classify_composition(features.fit_composition_classifier(profiles, "lang"), profiles).select("read_id", "pred", "confidence")
 
 
 @query()
