@@ -100,6 +100,12 @@ def annotator_name(column: str) -> str:
     return re.sub(r"_\d+$", "", re.sub(r"^(taxID|N)_", "", column))
 
 
+def annotator_token(column: str) -> str:
+    """The last but one token between underscores, as in taxID_kraken2_0."""
+    tokens = column.split("_")
+    return tokens[-2] if len(tokens) > 1 else column
+
+
 def normalize_column_name(name: str) -> str:
     """Strip ``...<digits>`` and ``_<digits>`` at the end; ``taxid`` becomes ``taxID``."""
     return re.sub(r"taxid", "taxID", re.sub(r"_\d+$", "", re.sub(r"\.\.\.\d+$", "", name)))

@@ -87,6 +87,13 @@ def pivot_matrix(pairs: DataFrame, row: str, column: str, levels: list[str]) ->
     return pairs.groupBy(row).pivot(column, levels).sum("freq").fillna(0)
 
 
+def keep_labels(pairs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose labels, in all the given columns, are among those of a report (label)."""
+    for c in columns:
+        pairs = pairs.join(labels.select(F.col("label").alias(c)).distinct(), c, "left_semi")
+    return pairs
+
+
 def trim_matrix(pairs: DataFrame, row: str, column: str, most: int = 40) -> DataFrame:
     """Entries of the ``most`` largest rows and columns; '0' and 'other' come after the others."""
     out = pairs

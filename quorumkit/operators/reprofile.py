@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quorumkit.functions.labels import all_unclassified, fill_votes, label_number, tool_name
 from quorumkit.sinks.shared import shared_dir
-from quorumkit.functions.labels import all_unclassified, label_number, tool_name
+from quorumkit.sinks.tables import write_reprofiled
+from quorumkit.sources.tables import read_pooled
 
 TREES, ROUNDS, SEED = 100, 100, 42
 #: Rounds of boosting between writes of the weights to the checkpoint folder.
@@ -189,10 +191,42 @@ def reprofile(votes: DataFrame, training: DataFrame, features: DataFrame | None
     return None if model is None else apply_reprofiler(join_features(votes, features), model)
 
 
-def save_forest(model: Reprofiler, path: str) -> None:
-    PipelineModel(stages=[model.labels, model.model]).write().overwrite().save(path)
-
-
-def load_forest(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def reprofile_directory(spark: SparkSession, votes: Sequence[str], training: Sequence[str], out: str, features: DataFrame | None = None, **settings) -> DataFrame | None:
+    """Re-profile the per-sample vote files ``votes`` and write <sample>_reprofiled folders below ``out``.
 
+    Missing votes count as 0 (a missing truth never does). Without files, or
+    without rows to learn from, nothing is written and None comes back.
+    """
+    pooled, known = read_pooled(spark, list(votes)), read_pooled(spark, list(training))
+    if pooled is None or known is None or "true" not in known.columns:
+        return None
+    scored = reprofile(fill_votes(pooled), fill_votes(known), features, **settings)
+    if scored is not None:
+        write_reprofiled(scored, out)
+    return scored
+
+
+def save_model(model: Reprofiler, path: str) -> None:
+    """Write a re-profiler of either kind to a folder."""
+    spark = SparkSession.active()
+    boosted = isinstance(model.model, BoostedStumps)
+    facts = {"name": model.name, "features": model.features, "accuracy": model.accuracy}
+    if boosted:
+        facts |= {"classes": model.model.classes, "weights": [a for _, a in model.model.stumps]}
+        for i, (stump, _) in enumerate(model.model.stumps):
+            stump.write().overwrite().save(f"{path}/stump-{i}")
+    else:
+        model.model.write().overwrite().save(f"{path}/forest")
+    model.labels.write().overwrite().save(f"{path}/labels")
+    spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+
+
+def load_model(spark: SparkSession, path: str) -> Reprofiler:
+    """A saved re-profiler, ready for ``apply_reprofiler``."""
+    facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
+    if "weights" in facts:
+        stumps = [(DecisionTreeClassificationModel.load(f"{path}/stump-{i}"), a) for i, a in enumerate(facts["weights"])]
+        model = BoostedStumps(stumps, facts["classes"])
+    else:
+        model = RandomForestClassificationModel.load(f"{path}/forest")
+    return Reprofiler(facts["name"], model, StringIndexerModel.load(f"{path}/labels"), facts["features"], facts["accuracy"])

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from quorumkit.functions.labels import canonical_label
 from quorumkit.sinks.shared import materialize
 
-#: Rounds of doubling after which pointers that still move are an error: a cycle of parents.
-MAX_ROUNDS = 40
-
-
 def ancestors_at_ranks(nodes: DataFrame, ranks: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
     """(at_rank, tax_id, ancestor): for each rank the nearest node of it at or above each node.
 
@@ -21,7 +17,8 @@ def ancestors_at_ranks(nodes: DataFrame, ranks: Sequence[str], wanted: DataFrame
     at their parent, and following each pointer's pointer doubles its reach.
     Four pointers are followed before the result is written to the shared
     folder, until none moves, so a tree of any depth d takes about log4(d)
-    short plans. Nodes without such an ancestor are left out.
+    short plans. Nodes without such an ancestor are left out; pointers that still
+    move after as many steps as there are nodes are an error.
     """
     rank_list = F.array(*map(F.lit, ranks)) if ranks else F.array().cast("array<string>")
     here = nodes.select(F.explode(rank_list).alias("at_rank"), "tax_id", "parent", "rank")
@@ -32,15 +29,17 @@ def ancestors_at_ranks(nodes: DataFrame, ranks: Sequence[str], wanted: DataFrame
         step = b.select(F.col("at_rank").alias("r"), F.col("tax_id").alias("t"), F.col("hop").alias("h"))
         return a.join(step, (F.col("at_rank") == F.col("r")) & (F.col("hop") == F.col("t")), "left").select("at_rank", "tax_id", F.coalesce("h", "hop").alias("hop"), *(["was"] if "was" in a.columns else []))
 
-    for _ in range(MAX_ROUNDS):
+    reach, most = 2, nodes.count()
+    while True:
         twice = materialize(follow(hop.withColumn("was", F.col("hop")), hop))
         moved = twice.where("hop <> was").limit(1).count()
         hop = twice.drop("was")
         if not moved:
             break
+        if reach > most:
+            raise ValueError("parents form a cycle")
         hop = materialize(follow(hop, hop))
-    else:
-        raise ValueError("parents form a cycle")
+        reach *= 4
     if wanted is not None:
         hop = hop.join(wanted.select("tax_id").distinct(), "tax_id", "left_semi")
     ranked = nodes.select(F.col("rank").alias("at_rank"), F.col("tax_id").alias("hop"))
@@ -57,13 +56,14 @@ def lineage(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 
     The list of (id, ancestor, distance) and the pointers both double in reach
     each round and are written to the shared folder, until no pointer is left;
-    there is no limit on rows or depth. The root itself is left out.
+    there is no limit on rows or depth. The root itself is left out; a cycle of
+    parents is an error.
     """
     jump = materialize(nodes.where("parent <> tax_id").select(F.col("tax_id").alias("from"), F.col("parent").alias("to")))
     above = wanted.select("tax_id").distinct().join(nodes.select("tax_id").distinct(), "tax_id", "left_semi").select("tax_id", F.col("tax_id").alias("at"), F.lit(0).alias("depth"))
-    reach = 1
+    reach, most = 1, nodes.count()
     while jump.limit(1).count():
-        if reach >> MAX_ROUNDS:
+        if reach > 2 * most:
             raise ValueError("parents form a cycle")
         further = above.join(jump, F.col("at") == F.col("from")).select("tax_id", F.col("to").alias("at"), F.col("depth") + reach)
         above = materialize(above.unionByName(further.toDF("tax_id", "at", "depth")))

@@ -125,6 +125,12 @@ def map_contig_labels(alignments: DataFrame, contigs: DataFrame) -> DataFrame:
     return alignments.where("contig <> '*'").join(contigs.where("taxid <> '0'"), "contig").select("seq", "taxid")
 
 
+def parse_marker_map(lines: DataFrame) -> DataFrame:
+    """(ref_id, tax_id) of an exported marker table: tab- or comma-separated lines; a header and lines without a numeric label go."""
+    f = F.split("value", "[\t,]")
+    return lines.select(F.trim(_nth(f, 0)).alias("ref_id"), F.trim(_nth(f, 1)).alias("tax_id")).where("tax_id RLIKE '^[0-9]+$'")
+
+
 def map_markers(report: DataFrame, markers: DataFrame, unmapped: str | None = None) -> DataFrame:
     """Marker ids of MetaPhlAn rows to labels (ref_id, tax_id); others stay."""
     joined = report.join(markers.select(F.col("ref_id").alias("taxid"), "tax_id"), "taxid", "left")

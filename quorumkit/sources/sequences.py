@@ -38,10 +38,13 @@ def read_fastq(spark: SparkSession, paths: str | list[str], mate: int = 1) -> Da
     return records.select("file", "ord", F.lit(mate).alias("mate"), read_id.alias("read_id"), header.alias("header"), "seq", "qual")
 
 
-def pair_mates(r1: DataFrame, r2: DataFrame) -> DataFrame:
-    """Mates side by side by their place; blank headers are dropped and the shorter side ends it."""
-    pick = lambda df, n: df.where(F.trim("header") != "").select("ord", *(F.col(c).alias(f"{c}_{n}") for c in ("header", "seq", "qual")))
-    return pick(r1, 1).join(pick(r2, 2), "ord")
+def pair_mates(r1: DataFrame, r2: DataFrame, keys: tuple[str, ...] = ("ord",)) -> DataFrame:
+    """Mates side by side by their place; blank headers are dropped and the shorter side ends it.
+
+    With several files a side, ``keys`` also names the column that tells which files are a pair.
+    """
+    pick = lambda df, n: df.where(F.trim("header") != "").select(*keys, *(F.col(c).alias(f"{c}_{n}") for c in ("header", "seq", "qual")))
+    return pick(r1, 1).join(pick(r2, 2), list(keys))
 
 
 def sort_reads(reads: DataFrame, parts: int | None = None) -> DataFrame:

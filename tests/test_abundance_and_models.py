@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quorumkit.functions import sequence as S
 from quorumkit.operators import abundance as A
-from quorumkit.operators import allocate, features, metrics, registry, reprofile, sequences, synth
+from quorumkit.operators import allocate, features, metrics, registry, reprofile, sequences, synth, taxonomy
 
 
 def table(spark, rows, names="annotator, sample, taxid, n"):
@@ -200,3 +200,40 @@ def test_registry(spark):
     registry.register("long", registry.from_model(lambda f: (f["seq"].str.len() > 2).astype(int)))
     out = registry.annotate(reads, ["constant9606", "long"])
     assert out.where("tool = 'constant9606'").count() == 2 and out.where("tool = 'long' AND taxid = '1'").count() == 1
+
+
+def test_saved_models_of_both_kinds_give_the_same_labels(spark, tmp_path):
+    rows = spark.createDataFrame([(f"r{i}", str(100 + i % 3), str(100 + (i % 3 if i % 5 else (i + 1) % 3)), "50", str(100 + i % 3)) for i in range(240)], "seq string, taxID_a_0 string, taxID_b_0 string, length string, true string")
+    forest = reprofile.train(rows, trees=5, rounds=3)
+    boosted = reprofile.Reprofiler("AdaBoost", reprofile.fit_boosted(forest.labels.transform(reprofile.assemble(rows, forest.features)), 3, 3), forest.labels, forest.features, {})
+    for name, model in (("forest", forest), ("boosted", boosted)):
+        reprofile.save_model(model, str(tmp_path / name))
+        again = reprofile.load_model(spark, str(tmp_path / name))
+        wanted = sorted(map(tuple, reprofile.apply_reprofiler(rows, model).select("seq", "corrected", "corrected_confidence").collect()))
+        assert sorted(map(tuple, reprofile.apply_reprofiler(rows, again).select("seq", "corrected", "corrected_confidence").collect())) == wanted
+
+
+def test_a_folder_of_votes_is_reprofiled(spark, tmp_path):
+    for name in ("s1", "s2"):
+        lines = ["seq,taxID_a_0,taxID_b_0,length,true", *(f"r{i},{100 + i % 2},{100 + i % 2},50,{100 + i % 2}" for i in range(60)), "u1,0,0,50,100"]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines))
+    files = [str(tmp_path / f"{n}.csv") for n in ("s1", "s2")]
+    out = reprofile.reprofile_directory(spark, files, files, str(tmp_path / "out"), trees=3, rounds=2)
+    assert sorted(p.name for p in (tmp_path / "out").glob("part=*")) == ["part=s1_reprofiled", "part=s2_reprofiled"]
+    got = {(r["sample"], r["seq"]): r["corrected"] for r in out.collect()}
+    assert got["s1", "r3"] == "101" and got["s2", "u1"] == "0" and len(got) == 122
+    assert reprofile.reprofile_directory(spark, [], files, str(tmp_path / "none")) is None and not (tmp_path / "none").exists()
+
+
+def test_deep_trees_and_cycles(spark):
+    deep = [(i, max(1, i - 1), "species" if i == 300 else "genus" if i == 5 else "none") for i in range(1, 302)]
+    nodes = spark.createDataFrame(deep, "tax_id long, parent long, rank string")
+    found = {r["tax_id"]: r["ancestor"] for r in taxonomy.ancestor_at_rank(nodes, "genus").collect()}
+    assert found == {i: 5 for i in range(5, 302)}
+    lines = {r["tax_id"]: r["lineage"] for r in taxonomy.lineage(nodes, nodes.where("tax_id IN (301, 4)")).collect()}
+    assert lines[301] == {"species": 300, "genus": 5, "none": 2} and lines[4] == {"none": 2}
+    assert {(r["at_rank"], r["tax_id"]) for r in taxonomy.ancestors_at_ranks(nodes, ["species", "genus"], nodes.where("tax_id = 301")).collect()} == {("species", 301), ("genus", 301)}
+    loop = spark.createDataFrame([(2, 3, "none"), (3, 5, "none"), (5, 2, "none"), (4, 3, "none")], "tax_id long, parent long, rank string")
+    for walk in (lambda: taxonomy.ancestor_at_rank(loop, "genus"), lambda: taxonomy.lineage(loop, loop)):
+        with pytest.raises(ValueError):
+            walk()
