@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumkit.operators.abundance import available_labels, scale_amounts
+from quorumkit.operators.ranking import running_sum
 
 
 def allocate(requests: DataFrame, available: DataFrame, by: list[str]) -> DataFrame:
@@ -40,15 +41,15 @@ def split_pool(pool: DataFrame, requests: DataFrame, by: list[str], order: list[
         pool, requests = pool.withColumn("__all", F.lit(0)), requests.withColumn("__all", F.lit(0))
     sizes = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("avail"))
     samples = requests.groupBy("sample").agg(F.min("pos").alias("pos"))
-    # the list of samples goes to every source as one array
+    # the list of samples goes to every source as one array; Spark decides by its size how
     listed = samples.agg(F.collect_list(F.struct("sample", "pos")).alias("s"))
-    grid = sizes.select(*keys).join(F.broadcast(listed), F.lit(True)).select(*keys, F.inline("s"))
+    grid = sizes.select(*keys).join(listed, F.lit(True)).select(*keys, F.inline("s"))
     asked = requests.groupBy(*keys, "sample").agg(F.sum("req").alias("req"))
     full = grid.join(asked, [*keys, "sample"], "left").fillna(0, ["req"])
     shares = allocate(full, sizes, keys).where("n > 0").select(*keys, "sample", "first", "last")
-    numbered = pool.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    dealt = numbered.join(shares, keys).where(F.col("__rn").between(F.col("first"), F.col("last")))
-    return dealt.drop("__rn", "first", "last", "__all")
+    numbered = running_sum(pool, keys, order, name="__before")
+    dealt = numbered.join(shares, keys).where((F.col("__before") >= F.col("first") - 1) & (F.col("__before") < F.col("last")))
+    return dealt.drop("__before", "first", "last", "__all")
 
 
 def read_plan(abundance: DataFrame, genomes: DataFrame, n_reads: int, most: int | None = None) -> DataFrame:
@@ -76,6 +77,6 @@ def sample_design(spark, n_samples: int, total: int, genomes: DataFrame, host_sh
     names = genomes.select("taxid").distinct().agg(F.sort_array(F.collect_list("taxid")).alias("names"))
     rest = F.lit(total) - F.col("host")
     # the genomes of a design are a short list: it goes to every sample as one array
-    spread = samples.join(F.broadcast(names), F.lit(True)).select("sample", "host", F.size("names").alias("m"), F.posexplode("names").alias("k", "taxid"))
+    spread = samples.join(names, F.lit(True)).select("sample", "host", F.size("names").alias("m"), F.posexplode("names").alias("k", "taxid"))
     community = spread.select("sample", F.col("taxid").alias("source"), (F.floor(rest / F.col("m")) + (F.col("k") < rest % F.col("m")).cast("long")).alias("n"))
     return samples.select("sample", F.lit("host").alias("source"), F.col("host").alias("n")).unionByName(community)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorumkit.functions.labels import all_unclassified, fill_votes, label_number, tool_name
+from quorumkit.operators.ranking import running_sum
 from quorumkit.sinks.shared import shared_dir
 from quorumkit.sinks.tables import write_reprofiled
 from quorumkit.sources.tables import read_pooled
@@ -31,9 +32,10 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
 
 def stratified_split(rows: DataFrame, key: str = "seq", label: str = "true", test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``is_test``: the hash-first share of each label, so the split does not depend on the partitions."""
-    by = Window.partitionBy(label)
-    place = F.row_number().over(by.orderBy(F.xxhash64(key, F.lit(seed)), key))
-    return rows.withColumn("is_test", place <= F.floor(F.count(F.lit(1)).over(by) * F.lit(test_share) + 0.5))
+    sizes = rows.groupBy(F.col(label).alias("__y")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_sum(rows.withColumn("__lot", F.xxhash64(key, F.lit(seed))), [label], ["__lot", key], name="__before")
+    joined = placed.join(sizes, F.col(label).eqNullSafe(F.col("__y")))
+    return joined.withColumn("is_test", F.col("__before") < F.floor(F.col("__n") * F.lit(test_share) + 0.5)).drop("__lot", "__before", "__y", "__n")
 
 
 def assemble(rows: DataFrame, features: Sequence[str]) -> DataFrame:

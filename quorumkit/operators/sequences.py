@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumkit.functions import sequence as S
+from quorumkit.operators.ranking import running_sum
 
 #: Fixed value: unknown bases between the contigs of one genome.
 SPACER = 500
@@ -61,8 +62,8 @@ def open_reading_frames(contigs: DataFrame, min_aa: int = 15) -> DataFrame:
     """Stretches between stops of all six frames, without X, of at least ``min_aa``; numbered per file."""
     pieces = _frames(contigs).select("file", "taxid", "contig_no", "strand", "frame", F.posexplode(F.split("aa", r"\*")).alias("k", "raw"))
     kept = pieces.withColumn("aa", F.replace("raw", F.lit("X"), F.lit(""))).where(F.length("aa") >= min_aa)
-    by = Window.partitionBy("file").orderBy("contig_no", F.desc("strand"), "frame", "k")
-    return kept.select("file", "taxid", (F.row_number().over(by) - 1).alias("orf_no"), "aa")
+    numbered = running_sum(kept, ["file"], ["contig_no", F.desc("strand"), "frame", "k"], name="orf_no")
+    return numbered.select("file", "taxid", F.col("orf_no").cast("int").alias("orf_no"), "aa")
 
 
 def coding_sequences(features: DataFrame, contigs: DataFrame, min_aa: int = 10) -> DataFrame:
@@ -106,12 +107,22 @@ def protein_library(labels: DataFrame, proteins: DataFrame, frames: DataFrame) -
 
 
 def join_contigs(contigs: DataFrame, by: str = "taxid", spacer: int = SPACER) -> DataFrame:
-    """One record for each genome, its contigs in order with unknown bases between them."""
+    """One record for each genome, its contigs in order with unknown bases between them.
+
+    A record is one text, so a genome must fit one (2 GB); ``genome_pieces``
+    gives genomes of any size piece by piece.
+    """
     ordered = F.sort_array(F.collect_list(F.struct("contig_no", "sequence")))
     return contigs.groupBy(by).agg(ordered.alias("c")).select(by, F.concat(F.lit("taxid:"), F.col(by)).alias("header"), F.array_join(F.transform("c", lambda x: x["sequence"]), "N" * spacer).alias("sequence"))
 
 
 def number_records(records: DataFrame, file: str, order: str, taxid: Column) -> DataFrame:
     """Library headers seq<i>|kraken:taxid|<t>, numbered inside each file from 0."""
-    i = F.row_number().over(Window.partitionBy(file).orderBy(order)) - 1
-    return records.withColumn("header", F.concat(F.lit("seq"), i.cast("string"), F.lit("|kraken:taxid|"), taxid))
+    numbered = running_sum(records.withColumn("__taxid", taxid), [file], [order], name="__i")
+    header = F.concat(F.lit("seq"), F.col("__i").cast("string"), F.lit("|kraken:taxid|"), F.col("__taxid"))
+    return numbered.withColumn("header", header).drop("__taxid", "__i")
+
+
+def genome_pieces(contigs: DataFrame, by: str = "taxid", spacer: int = SPACER) -> DataFrame:
+    """Each contig with its place (``start``, from 0) in the record of its genome; between two lie ``spacer`` unknown bases."""
+    return running_sum(contigs, [by], ["contig_no"], F.length("sequence") + spacer, "start")

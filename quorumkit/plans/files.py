@@ -367,6 +367,11 @@ def pooled_reads(spark, d):
     return seqio.pool_reads(*pools).select("read_id", F.length("seq").alias("n"))
 
 
+@query(f"WITH {_CONTIGS} SELECT taxid, contig_no, coalesce(sum(length(sequence) + 500) OVER (PARTITION BY taxid ORDER BY contig_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS start, md5(sequence) AS sequence_md5 FROM contigs")
+def genome_pieces(spark, d):
+    return sequences.genome_pieces(I.contigs(spark, d)).select("taxid", "contig_no", "start", F.md5("sequence").alias("sequence_md5"))
+
+
 _CDS = _CONTIGS + f""", ex AS (SELECT contig_no, taxid, contig_no % 2 AS minus, substr(sequence, 1, 30) AS a, substr(sequence, 41, 260) AS b FROM contigs WHERE length(sequence) >= 300),
     ori AS (SELECT contig_no, taxid, CASE WHEN minus = 0 THEN a || substr(b, 2) ELSE substr(reverse(translate(b, 'ACGT', 'TGCA')), 2) || reverse(translate(a, 'ACGT', 'TGCA')) END AS s FROM ex),
     tr AS (SELECT contig_no, taxid, array_to_string(list_transform(range(0, length(s) // 3), lambda i: coalesce({_CODONS}[substr(s, i * 3 + 1, 3)], 'X')), '') AS aa FROM ori),

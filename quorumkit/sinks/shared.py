@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,19 +13,34 @@ def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a folder of our own only where none is set and all runs on one machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="quorumkit-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it writes on the way."""
+    return f"{shared_dir(spark)}/quorumkit-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/quorumkit-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Delete what this application wrote on the way, once its results are stored elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and return it read back; its lineage ends in files that survive the loss of any executor."""
+    """Write ``df`` once and return it read back; its lineage ends in files that survive the loss of any executor.
+
+    Used wherever a result is read more than once or a sampled partitioning
+    must not be drawn anew.
+    """
     path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

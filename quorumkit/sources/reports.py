@@ -105,7 +105,7 @@ def read_reports(spark: SparkSession, paths: str | list[str], n_tokens: int = 1)
     from pyspark.sql import Window
 
     runs = files.withColumn("run_idx", F.row_number().over(Window.partitionBy("sample", "tool").orderBy("file")) - 1)
-    return parse_reports(named.join(F.broadcast(runs.select("file", "run_idx")), "file"))  # one row for each file
+    return parse_reports(named.join(runs.select("file", "run_idx"), "file"))
 
 
 def read_sam(lines: DataFrame) -> DataFrame:

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _places(rows: DataFrame, name: str) -> DataFrame:
+    """Add a row's place in its file (from 0), from the number of rows in the file's blocks before its own.
+
+    Rows have file, block and at (rising inside a block); only one row for each block is ever sorted.
+    """
+    own = Window.partitionBy("file", "block").orderBy("at")
+    sizes = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", "block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return rows.withColumn("__i", F.row_number().over(own) - 1).join(starts, ["file", "block"]).withColumn(name, F.col("__start") + F.col("__i")).drop("__start", "__i")
+
+
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, contig_no, header, sequence); blank lines go, wrapped sequences are joined.
 
@@ -14,23 +26,20 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """
     raw = spark.read.option("lineSep", "\n>").text(paths)
     body = F.regexp_replace(F.regexp_replace("value", "^>", ""), "\r", "")
-    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"), body.alias("body")).where(F.trim("body") != "")
-    by = Window.partitionBy("file").orderBy("ord")
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), body.alias("body")).where(F.trim("body") != "")
     header = F.trim(F.substring_index("body", "\n", 1))
     sequence = F.regexp_replace(F.when(F.instr("body", "\n") > 0, F.expr("substring(body, instr(body, '\n') + 1)")).otherwise(""), r"\s", "")
-    return rows.select("file", (F.row_number().over(by) - 1).alias("contig_no"), header.alias("header"), sequence.alias("sequence"))
+    return _places(rows, "contig_no").select("file", F.col("contig_no").cast("int").alias("contig_no"), header.alias("header"), sequence.alias("sequence"))
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str], mate: int = 1) -> DataFrame:
     """(file, ord, mate, read_id, header, seq, qual); a truncated last record is dropped.
 
     A quality line may start with '@', so records are groups of four lines by
-    their place in the file and never split at '@'. Line numbers come from a
-    window over each file; to spread one huge plain file, cut it beforehand.
+    their place in the file and never split at '@'.
     """
     raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("line"))
-    by = Window.partitionBy("file").orderBy("block", "at")
-    numbered = raw.withColumn("n", F.row_number().over(by) - 1).select("file", F.floor(F.col("n") / 4).alias("ord"), (F.col("n") % 4).alias("part"), "line")
+    numbered = _places(raw, "n").select("file", F.floor(F.col("n") / 4).alias("ord"), (F.col("n") % 4).alias("part"), "line")
     part = lambda i: F.min(F.when(F.col("part") == i, F.col("line")))
     records = numbered.groupBy("file", "ord").agg(F.count(F.lit(1)).alias("n"), part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual")).where("n = 4")
     header = F.regexp_replace("h", "^@", "")

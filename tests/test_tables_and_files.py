@@ -79,3 +79,15 @@ def test_writers(spark, tmp_path):
     K.write_features(plan, str(tmp_path / "f.tsv"))
     assert T.read_features(spark, str(tmp_path / "f.tsv")).count() == 2
     assert spark.range(1).select(K.safe_file_name(F.lit("a b/c"))).first()[0] == "a_b_c"
+
+
+def test_run_folder_is_removed(spark):
+    from pathlib import Path
+
+    from quorumkit.sinks.shared import materialize, remove_run_folder, run_folder
+
+    assert materialize(spark.range(3)).count() == 3
+    here = Path(run_folder(spark).removeprefix("file:"))
+    assert any(here.iterdir())
+    remove_run_folder(spark)
+    assert not here.exists()
