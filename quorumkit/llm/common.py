@@ -3,39 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Hashable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    A folder of our own is set only where the session names none, as in a
-    local test session.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="quorumkit-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and return it read back.
-
-    Used wherever a result is read more than once or a sampled partitioning
-    must not be drawn anew: the lineage ends in files that survive the loss of
-    any executor.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quorumkit-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from quorumkit.sinks.shared import materialize, shared_dir  # noqa: F401  (used by the operators)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
