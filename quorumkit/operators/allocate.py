@@ -72,7 +72,8 @@ def plan_totals(plan: DataFrame) -> DataFrame:
 
 def sample_design(spark, n_samples: int, total: int, genomes: DataFrame, host_share: float | None = None, seed: int = 42) -> DataFrame:
     """sample, source, n: host reads (a fixed or drawn share) and the rest spread evenly over genomes."""
-    drawn = F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(total + 1)) if host_share is None else F.lit(int(total * host_share))
+    lot = F.conv(F.substring(F.md5(F.concat_ws("/", F.col("i").cast("string"), F.lit(str(seed)))), 1, 12), 16, 10).cast("long")
+    drawn = F.pmod(lot, F.lit(total + 1)) if host_share is None else F.lit(int(total * host_share))
     samples = spark.range(1, n_samples + 1).select(F.col("id").alias("i"), F.concat(F.lit("sample"), F.col("id").cast("string")).alias("sample")).withColumn("host", drawn.cast("long"))
     names = genomes.select("taxid").distinct().agg(F.sort_array(F.collect_list("taxid")).alias("names"))
     rest = F.lit(total) - F.col("host")

@@ -82,6 +82,7 @@ def fit_boosted(rows: DataFrame, classes: int, rounds: int = ROUNDS) -> BoostedS
     work = rows.select("features", "label").withColumn("w", F.lit(1.0 / n))
     if not rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
+    work = work.persist()
     for i in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=SEED).fit(work)
         miss = (F.col("prediction") != F.col("label")).cast("double")
@@ -93,11 +94,12 @@ def fit_boosted(rows: DataFrame, classes: int, rounds: int = ROUNDS) -> BoostedS
         model.stumps.append((stump, alpha))
         if error <= 0:
             break
-        grown = scored.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * F.col("miss")))
-        total = grown.agg(F.sum("w")).first()[0]
-        work = grown.select("features", "label", (F.col("w") / total).alias("w"))
-        if i % CUT_EVERY == CUT_EVERY - 1:
-            work = work.checkpoint()
+        total = 1 - error + error * math.exp(alpha)  # weights sum to one before
+        grown = scored.select("features", "label", (F.col("w") * F.exp(F.lit(alpha) * F.col("miss")) / total).alias("w"))
+        before, work = work, grown.checkpoint() if i % CUT_EVERY == CUT_EVERY - 1 else grown.persist()
+        work.count()  # from the rows before, which are then let go
+        before.unpersist()
+    work.unpersist()
     return model
 
 

@@ -426,7 +426,11 @@ def split_by_source(spark, d):
     return allocate.split_pool(pool, _requests(spark, d), ["source"], ["item"]).select("source", "item", "sample")
 
 
-@query()
+@query(
+    f"""WITH {_GENOMES}, {_ABUNDANCE}, g AS (SELECT taxid, row_number() OVER (ORDER BY taxid) - 1 AS k, count(*) OVER () AS m FROM (SELECT DISTINCT taxid FROM ab WHERE taxid IN (SELECT taxid FROM genomes))),
+    s AS (SELECT 'sample' || i AS sample, (('0x' || substr(md5(i || '/42'), 1, 12))::bigint % 1001)::bigint AS host FROM range(1, 11) t(i))
+    SELECT sample, 'host' AS source, host AS n FROM s UNION ALL SELECT sample, taxid, ((1000 - host) // m + CASE WHEN k < (1000 - host) % m THEN 1 ELSE 0 END)::bigint FROM s, g"""
+)
 def sample_design(spark, d):
     seen = A.available_labels(_abundance(spark, d), _genomes(spark, d))
     return allocate.sample_design(spark, 10, 1000, seen.select("taxid"))
@@ -568,6 +572,34 @@ def profile_bootstrap(spark, d):
     return synth.regenerate(_abundance(spark, d), "bootstrap", n_samples=7)
 
 
+@query(f"WITH {_ABUNDANCE} SELECT annotator, sample, sum(n)::double AS total, 0::bigint AS strangers FROM ab GROUP BY ALL")
+def profile_bootstrap_totals(spark, d):
+    """Bootstrapped samples keep their source's number of reads and take no label that it lacks."""
+    known = _abundance(spark, d)
+    drawn = synth.regenerate(known, "bootstrap", threshold=0.0)
+    strange = drawn.join(known.select("annotator", "taxid", F.lit(1).alias("known")).distinct(), ["annotator", "taxid"], "left")
+    return strange.groupBy("annotator", "sample").agg(F.sum(F.col("n").cast("double")).alias("total"), F.sum(F.col("known").isNull().cast("long")).alias("strangers"))
+
+
+@query("""WITH s AS (SELECT DISTINCT (user_id % 12)::varchar AS sample FROM events WHERE event_type IS NOT NULL AND user_id IS NOT NULL), m(mode) AS (VALUES ('vae'), ('glm'))
+    SELECT mode, sample || CASE WHEN turn = 1 THEN '' ELSE '_r' || turn END AS sample, 1000::double AS total FROM (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY turn, sample) AS place FROM m, s, (VALUES (1), (2)) t(turn)) WHERE place <= 15""")
+def profile_scaled_totals(spark, d):
+    """Synthetic samples of both models have their names and exactly the reads that were asked for."""
+    known = I.events_abundance(spark, d)
+    out = None
+    for mode in ("vae", "glm"):
+        got = synth.regenerate(known, mode, n_samples=15, n_reads=1000, rescale=True).groupBy(F.lit(mode).alias("mode"), "sample").agg(F.sum(F.col("n").cast("double")).alias("total"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query(f"WITH {_CV}, u AS (SELECT a AS label FROM cv UNION SELECT b FROM cv) SELECT count(*)::bigint AS labels, count(*)::bigint AS places, (count(*) - 1)::bigint AS span FROM u")
+def label_order_places(spark, d):
+    """Every label has a place of its own, without gaps."""
+    order = label_order(spark, d)
+    return order.agg(F.countDistinct("label").alias("labels"), F.countDistinct("place").alias("places"), (F.max("place") - F.min("place")).cast("long").alias("span"))
+
+
 @query()
 def profile_vae(spark, d):
     return synth.regenerate(I.events_abundance(spark, d), "vae", n_samples=15, n_reads=1000, rescale=True)
