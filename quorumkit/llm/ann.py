@@ -10,7 +10,6 @@ original vectors. Queries that found too few get a wider radius in a next round.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -123,19 +122,19 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k nearest by cosine.
 
     Queries are rows whose vec_id is divisible by ``every``; candidates are all
-    rows with another vec_id. Vectors that are null, zero or hold null or
+    rows but the query's own, also others with its vec_id. Vectors that are null, zero or hold null or
     non-finite components take no part, nor do rows without a vec_id or of
     another length than most of the sample. Ties go to the smaller vec_id;
     repeated rows are candidates of their own. Fewer candidates than k give all.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows = materialize(rows)
+    rows = materialize(rows.withColumn("m", F.monotonically_increasing_id()))
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(31)), "vec_id").limit(SAMPLE_ROWS).select("v").toArrow().to_pandas()["v"]
     width = int(sample.map(len).mode().iloc[0]) if len(sample) else 1
     rows = rows.where(F.size("v") == width)
     codes = learn_codes(np.array([x for x in sample if len(x) == width], float).reshape(-1, width), k)
     total = rows.count()
-    asked = materialize(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v").withColumn("q", F.monotonically_increasing_id()))
+    asked = materialize(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.col("m").alias("q")))
     left, radius, done = asked, codes.radius, None
     while True:
         found = materialize(_search(left, rows, codes, radius, k, total))
@@ -167,12 +166,12 @@ def _search(asked: DataFrame, rows: DataFrame, codes: BinaryCodes, radius: int,
         out: list[pd.DataFrame] = []
         if queries.num_rows and block.num_rows:
             x, y = matrix(queries), matrix(block)
-            ids, query_ids, numbers = block.column("vec_id").to_numpy(), queries.column("query_id").to_numpy(), queries.column("q").to_numpy()
+            ids, rows_of, query_ids, numbers = block.column("vec_id").to_numpy(), block.column("m").to_numpy(), queries.column("query_id").to_numpy(), queries.column("q").to_numpy()
             nx, ny = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", y, y))
             index, asked_codes = SubstringIndex(codes.encode(y / ny[:, None])), codes.encode(x / nx[:, None])
             for i in range(len(x)):
                 at = index.within(asked_codes[i], radius)
-                at = at[ids[at] != query_ids[i]]
+                at = at[rows_of[at] != numbers[i]]
                 score = np.einsum("ij,j->i", y[at], x[i]) / (ny[at] * nx[i])
                 best = np.lexsort((ids[at], -score))[:k]
                 out.append(pd.DataFrame({"q": numbers[i], "query_id": query_ids[i], "vec_id": ids[at][best], "score": score[best]}))
@@ -189,7 +188,3 @@ def recall(found: DataFrame, truth: DataFrame) -> float:
     n = truth.count()
     return truth.join(found, ["query_id", "vec_id"], "left_semi").count() / n if n else 1.0
 
-
-def brute_force(unit: np.ndarray, queries: Iterator[int], k: int) -> list[np.ndarray]:
-    """True neighbours of a small matrix, for tests."""
-    return [np.argsort(-(unit @ unit[q]) + 9.0 * (np.arange(len(unit)) == q), kind="stable")[:k] for q in queries]
