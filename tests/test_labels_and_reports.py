@@ -27,7 +27,7 @@ def test_canonical_and_display(spark):
 
 
 def test_column_selectors():
-    cols = ["seq", "taxID_kaiju_0", "taxid_SAMOVAR_confidence", "N_x", "length", "true", "taxID_kraken2...2"]
+    cols = ["seq", "taxID_kaiju_0", "taxid_OTHER_confidence", "N_x", "length", "true", "taxID_kraken2...2"]
     assert L.label_columns(cols) == ["taxID_kaiju_0", "true", "taxID_kraken2...2"]
     assert L.annotator_columns(cols) == ["taxID_kaiju_0", "N_x", "taxID_kraken2...2"]
     assert [L.tool_name(c) for c in cols] == [None, "kaiju", None, None, None, None, "kraken2"]
