@@ -42,8 +42,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A character that is cut in part goes as a whole.
     """
-    cut = suffix_dedup.remove_repeats(docs, STAGE_SPAN)
-    text = F.when(F.col("n_removed") > 0, suffix_dedup.kept_text(F.col("kept"))).otherwise(F.col("text"))
+    cut = suffix_dedup.remove_repeats(docs, STAGE_SPAN, as_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("__text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("__text", text).select("doc_id", F.col("__text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
 

@@ -345,8 +345,10 @@ def repeated_marks(docs: DataFrame, span: int = 400) -> DataFrame:
     return marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "len")).alias("marks"))
 
 
-def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
-    """Add n_bytes, n_removed, removed_spans and kept (binary) to each document.
+def remove_repeats(docs: DataFrame, span: int = 400, as_text: bool = False) -> DataFrame:
+    """Add n_bytes, n_removed, removed_spans and kept to each document.
+
+    kept is binary, or with ``as_text`` text without the characters that were cut in part.
 
     A null text counts as empty; texts under ``span`` bytes lose nothing. Rows
     that repeat another row wholly (same doc_id and text) count as copies of
@@ -362,9 +364,9 @@ def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
     again = _keyed(base.select("doc_id", "text"), text).where(F.octet_length("data") >= span).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("again")).where("again > 1")
     extra = marks.join(again, ["k1", "k2"], "full_outer")
 
-    @F.arrow_udf("struct<spans:array<struct<start:int,end:int>>,kept:binary>")
+    @F.arrow_udf(f"struct<spans:array<struct<start:int,end:int>>,kept:{'string' if as_text else 'binary'},size:long>")
     def cut(data: pa.Array, marks: pa.Array, again: pa.Array) -> pa.Array:
-        spans, kept = [], []
+        spans, kept, sizes = [], [], []
         for d, m, a in zip(data, marks, again):
             raw = d.as_py()
             found = [(0, len(raw))] if a.as_py() else sorted((x["pos"], x["pos"] + x["len"]) for x in m.as_py() or ())
@@ -379,13 +381,15 @@ def remove_repeats(docs: DataFrame, span: int = 400) -> DataFrame:
                 left.append(raw[at:start])
                 at = end
             spans.append([{"start": s, "end": e} for s, e in merged])
-            kept.append(b"".join([*left, raw[at:]]))
+            rest = b"".join([*left, raw[at:]])
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
+            sizes.append(len(rest))
         release_memory()
-        return pa.StructArray.from_arrays([pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())], names=["spans", "kept"])
+        return pa.StructArray.from_arrays([pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(sizes, pa.int64())], names=["spans", "kept", "size"])
 
     joined = keyed.join(extra, ["k1", "k2"], "left").withColumn("cut", cut("data", "marks", "again"))
     n = F.octet_length("data").cast("long")
-    return joined.select("row.*", n.alias("n_bytes"), (n - F.octet_length("cut.kept")).cast("long").alias("n_removed"), F.col("cut.spans").alias("removed_spans"), F.col("cut.kept").alias("kept"))
+    return joined.select("row.*", n.alias("n_bytes"), (n - F.col("cut.size")).alias("n_removed"), F.col("cut.spans").alias("removed_spans"), F.col("cut.kept").alias("kept"))
 
 
 def repeats_digest(docs: DataFrame, span: int = 400) -> DataFrame:
@@ -400,13 +404,3 @@ def repeats_digest(docs: DataFrame, span: int = 400) -> DataFrame:
         F.octet_length("kept").cast("long").alias("n_kept"),
         (F.col("n_removed") > 0).alias("has_repeats"),
     )
-
-
-def kept_text(kept: Column) -> Column:
-    """Bytes as text; bytes of a character that was cut in part are left out."""
-
-    @F.arrow_udf("string")
-    def decode(data: pa.Array) -> pa.Array:
-        return pa.array([None if d.as_py() is None else d.as_py().decode("utf-8", "ignore") for d in data], pa.string())
-
-    return decode(kept)
