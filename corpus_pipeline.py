@@ -14,8 +14,8 @@ from quorumkit.llm import packing, quality, queries, simhash, suffix_dedup, toxi
 from quorumkit.llm.common import materialize, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Word shingles of the near-duplicate stage, and the bits in which near duplicates may differ.
-STAGE_SHINGLE_WORDS, STAGE_MAX_BITS = 5, 4
+#: Word shingles of the near-duplicate stage; near duplicates differ in so few bits, or their shingles are that similar.
+STAGE_SHINGLE_WORDS, STAGE_MAX_BITS, STAGE_SIMILARITY = 5, 4, 0.8
 #: Bytes of a repeated passage, so short that a passage of over 50 words of about four letters is one.
 STAGE_SPAN = 200
 
@@ -34,7 +34,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the smallest doc_id, of equal ids one row."""
-    return simhash.keep_one_of_each(docs, STAGE_SHINGLE_WORDS, STAGE_MAX_BITS).select(*COLUMNS)
+    return simhash.keep_one_of_each(docs, STAGE_SHINGLE_WORDS, STAGE_MAX_BITS, STAGE_SIMILARITY).select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

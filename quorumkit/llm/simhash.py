@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, release_memory, shuffle_partitions
 from .components import connected_components
+from .resemblance import Minima, resemblance_edges, shingle_hashes, words_of
 
 #: Children of a node of the index.
 FANOUT = 8
@@ -34,25 +35,22 @@ MEAN_BUCKET = 32
 #: Rows that a task gathers before it links the buckets that are complete.
 STREAM_ROWS = 1_000_000
 _PAIRS = 20_000
-_SLICE = 1 << 16
 
 
-def text_fingerprint(text: str | None, shingle_words: int) -> int:
-    """64-bit SimHash of one text: majority bits over the XXH64 of its word shingles."""
-    words = (text or "").encode("utf-8").lower().split()  # of bytes: only A-Z and ASCII white space
-    if not words:
-        return 0
-    line, lengths = b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    k = min(shingle_words, len(words))
-    starts, ends = starts[: len(words) - k + 1], ends[k - 1 :]
-    total, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
-    for at in range(0, len(starts), _SLICE):
-        spans = zip(starts[at : at + _SLICE].tolist(), ends[at : at + _SLICE].tolist())
-        h = np.array([digest(line[a:b], 42) for a, b in spans], "<u8")
+def _majority(words: list[bytes], shingle_words: int, least: Minima | None = None) -> int:
+    """SimHash of the shingles of some words; ``least`` sees the same hashes."""
+    n, total = 0, np.zeros(64, np.int64)
+    for h in shingle_hashes(words, shingle_words):
+        n += len(h)
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(starts), bitorder="little").view("<u8")[0])
+        if least is not None:
+            least.feed(h)
+    return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
+
+
+def text_fingerprint(text: str | None, shingle_words: int) -> int:
+    """64-bit SimHash of one text: majority bits over the XXH64 of its word shingles; 0 without words."""
+    return _majority(words_of(text), shingle_words)
 
 
 def simhash(text: Column | str, shingle_words: int = 4) -> Column:
@@ -67,6 +65,24 @@ def simhash(text: Column | str, shingle_words: int = 4) -> Column:
     return fingerprint(text)
 
 
+def sketch(text: Column, shingle_words: int) -> Column:
+    """In one pass the fingerprint, 128 bits that equal sequences of words share, and the bands of each text."""
+
+    @F.arrow_udf("code long, h1 long, h2 long, bands array<long>")
+    def run(texts: pa.Array) -> pa.Array:
+        codes, same, bands = np.zeros(len(texts), np.uint64), np.zeros((len(texts), 2), np.uint64), []
+        for i, t in enumerate(texts):
+            words, least = words_of(t.as_py()), Minima()
+            codes[i] = _majority(words, shingle_words, least)
+            same[i] = np.frombuffer(xxhash.xxh128_digest(b" ".join(words)), np.uint64)
+            bands.append(least.bands() if words else [])
+        release_memory()
+        columns = [pa.array(codes.view(np.int64)), *(pa.array(np.ascontiguousarray(h).view(np.int64)) for h in same.T), pa.array(bands, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(columns, ["code", "h1", "h2", "bands"])
+
+    return run(text)
+
+
 def gray_rank(codes: np.ndarray) -> np.ndarray:
     """Place of each 64-bit code in the sequence of Gray codes."""
     rank = codes.copy()
@@ -220,24 +236,29 @@ def code_components(codes: DataFrame, radius: int) -> DataFrame:
     return found.select(F.col("node").alias("code"), "root")
 
 
-def _code_table(prints: DataFrame, radius: int) -> DataFrame:
-    """(code, root): the component of every code in ``prints``."""
-    codes = materialize(prints.select("code").distinct())
-    return codes.join(code_components(codes, radius), "code", "left").select("code", F.coalesce("root", "code").alias("root"))
-
-
-def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
     """One row of each near-duplicate group, with all its columns.
 
-    The row with the smallest doc_id stays (ids that are null come last); of
-    rows with the same id, the first as written. Null and empty texts form one
-    group. Only (row, id, code) are grouped; texts move once, in the last join.
+    Groups are components over two kinds of links: fingerprints within
+    ``radius`` bits, and sets of shingles with that Jaccard similarity or more,
+    which so few bits would not reach. The row with the smallest doc_id stays
+    (ids that are null come last); of rows with the same id, the first as
+    written. Null and empty texts form one group. Equal sequences of words are
+    one class before anything is compared; texts move once for the classes whose
+    shingles are compared, and once in the last join.
     """
-    rows = materialize(docs.withColumns({"__code": simhash(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
-    prints = rows.select(F.col("__code").alias("code"), F.col("__row").alias("row"), "doc_id")
-    rooted = prints.join(_code_table(prints, radius), "code")
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
-    return rows.join(first.select(F.col("first.row").alias("__row")), "__row", "left_semi").drop("__code", "__row")
+    rows = materialize(docs.withColumns({"__sketch": sketch(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
+    prints = rows.select("__sketch.code", "__sketch.h1", "__sketch.h2", F.col("__row").alias("row"), "doc_id")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
+    classes = materialize(prints.groupBy("h1", "h2").agg(F.min("row").alias("cls"), F.min("code").alias("code"), best))
+    one_each = rows.select(F.col("__row").alias("cls"), "__sketch.code", "__sketch.bands").join(classes.select("cls"), "cls", "left_semi")
+    bands = one_each.select("cls", "code", F.explode("bands").alias("band"))
+    texts = rows.select(F.col("__row").alias("cls"), F.col("text").cast("string").alias("text"))
+    edges = materialize(near_code_edges(materialize(classes.select("code").distinct()), radius))
+    edges = resemblance_edges(texts, bands, edges, shingle_words, similarity)
+    rooted = classes.join(connected_components(edges).withColumnRenamed("node", "code"), "code", "left")
+    first = rooted.groupBy(F.coalesce("root", "code")).agg(F.min("best").alias("best"))
+    return rows.join(first.select(F.col("best.row").alias("__row")), "__row", "left_semi").drop("__sketch", "__row")
 
 
 def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:

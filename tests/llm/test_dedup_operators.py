@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quorumkit.llm import ann, chroma, components, hilbert, licenses, simhash, suffix_dedup
+from quorumkit.llm import ann, chroma, components, hilbert, licenses, resemblance, simhash, suffix_dedup
 
 
 def find(parent, i):
@@ -37,6 +37,11 @@ def reference_print(text, k):
     return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
 
 
+def reference_shingles(text, k):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
 def test_fingerprints_and_components(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdeÉñ") for _ in range(4))
@@ -114,6 +119,41 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((r["doc_id"] or -1, r["code"]) for r in got.collect()) == [(-1, "z"), (1, "y"), (4, "z")]
 
 
+@pytest.mark.parametrize("chunk", [1_000_000, 500])
+def test_every_pair_of_similar_shingles_is_in_one_group(spark, monkeypatch, chunk):
+    monkeypatch.setattr(resemblance, "CHUNK_SHINGLES", chunk)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgÉñ") for _ in range(5))
+    texts = ["", None, "One", "one two", " ".join(word() for _ in range(20_000))]
+    for edits in range(12):  # a copy of n edits has a similarity of about (116 - 5n) / (116 + 5n)
+        base = [word() for _ in range(120)]
+        for _ in range(6):
+            copy = base[:]
+            for at in rng.sample(range(0, 120, 6), edits):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    chain = [word() for _ in range(120)]  # neighbours are alike, the ends are not
+    for at in range(0, 48, 2):
+        chain[at] = word()
+        texts.append(" ".join(chain))
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(900, texts[7], "x"), (None, texts[7], "x")]
+    got = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, bands string"))
+    assert got.columns == ["doc_id", "text", "bands"]
+    things = [(reference_print(t, 5), reference_shingles(t, 5)) for t in texts]
+    near = lambda a, b: (a[0] ^ b[0]).bit_count() <= 4 or 10 * len(a[1] & b[1]) >= 8 * len(a[1] | b[1]) > 0
+    roots = brute_components(things, near)
+    assert len({i for i, r in enumerate(roots) if any(near(things[i], things[j]) and (things[i][0] ^ things[j][0]).bit_count() > 4 for j in range(i))}) > 10
+    assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(set(roots))
+
+
+def test_shingles_of_a_bucket_are_compared_once_linked():
+    sets = [[1, 2, 3, 4, 5], [1, 2, 3, 4, 5, 6], [10, 11], [2, 3, 4, 5, 6], [10, 11]]
+    sizes, flat = np.array([len(x) for x in sets]), np.array(sum(sets, []))
+    links = resemblance.link_sets(np.arange(5), sizes, flat, 0.8, np.zeros(5, int))
+    assert len(links) == 3 and {frozenset(x) for x in links} == {frozenset((0, 1)), frozenset((1, 3)), frozenset((2, 4))}
+    assert resemblance.link_sets(np.array([7, 7, 8, 7, 8]), sizes, flat, 0.8, np.zeros(5, int)) == []
+
+
 def brute_removal(texts, span):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + span] for b in raw for i in range(len(b) - span + 1))

@@ -4,7 +4,7 @@ import corpus_pipeline
 from quorumkit.llm import queries
 from quorumkit.llm.common import materialize
 
-from .test_dedup_operators import brute_components, brute_rest, reference_print
+from .test_dedup_operators import brute_components, brute_rest, reference_print, reference_shingles
 
 BASE = "/root/testdata/sf0.001"
 
@@ -25,7 +25,9 @@ def test_stages_in_order(spark):
 
     rows = good.select("doc_id", "text").collect()
     prints = [reference_print(r["text"], corpus_pipeline.STAGE_SHINGLE_WORDS) for r in rows]
-    roots = brute_components(prints, lambda a, b: (a ^ b).bit_count() <= corpus_pipeline.STAGE_MAX_BITS)
+    sets = [reference_shingles(r["text"], corpus_pipeline.STAGE_SHINGLE_WORDS) for r in rows]
+    linked = lambda a, b: (a[0] ^ b[0]).bit_count() <= corpus_pipeline.STAGE_MAX_BITS or 10 * len(a[1] & b[1]) >= 8 * len(a[1] | b[1]) > 0
+    roots = brute_components(list(zip(prints, sets)), linked)
     first = {}
     for r, root in zip(rows, roots):
         first[root] = min(first.get(root, r["doc_id"]), r["doc_id"])
@@ -47,12 +49,16 @@ def test_stages_take_odd_rows_and_no_rows(spark, tmp_path):
     passage = " ".join(f"word{i * 37 % 101}" for i in range(52))
     rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, "some few plain words here", "en", "a", 25), (3, "some few plain words here", "en", "a", 25), (None, "others of no number at all", "en", None, 26)]
     rows += [(10 + i, f"{chr(97 + i) * 5} begins and goes on to say that {passage} and then {chr(120 - i) * 6} ends as it has to.", "en", "a", 0) for i in range(3)]
+    # the three above are alike to 0.83, so one of them stays; those below share the passage alone
+    rows += [(20 + i, " ".join(f"{chr(97 + i)}{j * 31 % 89}" for j in range(60)) + f" {passage} " + " ".join(f"{chr(107 + i)}{j * 29 % 83}" for j in range(60)), "en", "a", 0) for i in range(3)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([(3, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     for data in (rows, []):
         docs = spark.createDataFrame(data, schema)
         for name, stage in corpus_pipeline.STAGES:
             docs = materialize(stage(spark, docs, str(tmp_path)))
+            if name == "SimHash near-dedup" and data:
+                assert {r["doc_id"] for r in docs.collect()} >= {20, 21, 22} and docs.where("doc_id between 10 and 19").count() == 1
             if name == "suffix-array dedup":
                 assert all(passage[5:-5] not in (r["text"] or "") for r in docs.collect())
         assert (docs.count() > 0) == bool(data)
