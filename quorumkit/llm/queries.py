@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chroma, hilbert, licenses, packing, quality, simhash, suffix_dedup, toxicity
+from . import ann, bpe, chroma, collocation, hilbert, licenses, merkle, packing, quality, simhash, suffix_dedup, toxicity, window_dedup
 from .common import read_table
 
 #: Parameters that the queries and the pipeline use.
@@ -17,6 +17,7 @@ CAPACITY, END_ID, N_SHARDS = 4096, 1, 16
 REPEAT_SPAN = 400
 SHINGLE_WORDS, MAX_BITS = 4, 4
 NEAREST, QUERY_EVERY = 5, 50
+WINDOW_WORDS = 20
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
 
 
+def op11_rabin_karp_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.windows_digest(read_table(spark, sf_dir, "documents"), WINDOW_WORDS)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,7 +87,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chroma_fingerprints,
         op9_best_fit_packing,
         op10_simhash_near_dedup,
+        op11_rabin_karp_windows,
+        op12_merkle_manifest,
+        op13_phrase_collocations,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.documents_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op4_license_scan": licenses.documents_sql(),
+    "op11_rabin_karp_windows": window_dedup.windows_sql(WINDOW_WORDS),
+    "op12_merkle_manifest": merkle.manifest_sql(),
+    "op13_phrase_collocations": collocation.collocations_sql(),
+}
