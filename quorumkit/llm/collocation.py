@@ -2,9 +2,10 @@
 
 Texts are cut once into slices of one language. A phrase can only be frequent if
 all its pairs of words are, so the first pass counts hashed pairs: slices send
-each pair once, buckets add up, and a bit for each pair goes back to its slice.
-The second pass sends only phrases all of whose pairs passed, as texts with
-their number in the slice, and their exact counts are sums.
+each pair once, buckets add up, and a bit for each pair goes back to its slice. The second pass counts in the
+same way the phrases all of whose pairs passed. A frequent phrase is then asked
+of one slice that has it, which gives its text. A hash has 64 bits, and a second
+polynomial chooses its bucket; both must agree.
 
 Estimation works on sorted count streams, as external language-model estimators
 lay them out: in prefix order the phrases that a phrase begins with stand before
@@ -24,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, release_memory, shuffle_partitions
-from .ragged import Ragged
 from .spans import WORD_BASES, byte_table, mix, pack, unpack, word_hashes, word_spans
 
 #: Words of the longest phrase, the least number of occurrences of a candidate, and phrases reported for each language.
@@ -73,14 +73,22 @@ class _Words:
         piece = np.cumsum(ENDS[self.data])[self.starts]
         self.together = piece[1:] == piece[:-1]  # word i and i + 1
 
-    def pairs(self, lang: str) -> np.ndarray:
-        """Hashes of the pairs in one piece; languages differ."""
+    def hashes(self, lang: str, longest: int, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, first words, hashes, buckets) of all phrases of 2 to ``longest`` words in one piece; languages and sizes differ."""
         x = word_hashes(self.data, self.starts, self.ends)
         own = word_hashes(np.frombuffer(b"=" + lang.encode(), np.uint8), np.array([0]), np.array([1 + len(lang.encode())]))[0]
-        return mix((x[:-1] * np.uint64(WORD_BASES[0]) + x[1:] + own)[self.together])
-
-    def phrases(self, first: np.ndarray, size: int) -> Iterator[tuple[list, list]]:
-        """Texts of the phrases of ``size`` words that begin at words ``first``, and how often each is there."""
+        sums, inside = [x, x], np.ones(len(x), bool)
+        for size in range(2, longest + 1):
+            if len(x) < size:
+                return
+            sums = [h[:-1] * np.uint64(base) + x[size - 1 :] for h, base in zip(sums, WORD_BASES)]
+            inside = inside[:-1] & self.together[size - 2 :]
+            first = np.flatnonzero(inside)
+            h1, h2 = (mix(h[first] + own + np.uint64(size)) for h in sums)
+            yield size, first, h1, (h2 % np.uint64(buckets)).astype(np.int32)
+
+    def phrases(self, first: np.ndarray, size: int) -> Iterator[pa.StringArray]:
+        """Texts of the phrases of ``size`` words that begin at words ``first``, some at a time."""
         length = self.ends - self.starts
         flat = np.cumsum(length + 1) - (length + 1)  # places when one space follows each word
         line = np.full(int(length.sum()) + len(length), 32, np.uint8)
@@ -95,98 +103,154 @@ class _Words:
             last = first[at : at + STEP] + size - 1
             n = flat[last] + length[last] - a
             text = line[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            strings = pa.StringArray.from_buffers(len(n), pa.py_buffer(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.py_buffer(text))
-            counted = strings.value_counts()
-            yield counted.field("values"), counted.field("counts")
-
-
-def _counted(lang: str, size: int, found: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.RecordBatch]:
-    for texts, counts in found:
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), texts, pa.array(np.full(len(texts), size, np.int32)), counts], names=["lang", "phrase", "size", "n"])
+            yield pa.StringArray.from_buffers(len(n), pa.py_buffer(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.py_buffer(text))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, n, data in zip(*(batch.column(c).to_pylist() for c in ("lang", "n_bytes", "data"))):
             words = _Words(data, n)
-            yield from _counted(lang, 1, words.phrases(np.arange(len(words.starts)), 1))
+            for texts in words.phrases(np.arange(len(words.starts)), 1):
+                counted = texts.value_counts()
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(counted)), counted.field("values"), counted.field("counts")], names=["lang", "phrase", "n"])
         release_memory()
 
 
-def _distinct_pairs(words: _Words, lang: str, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each pair, distinct hashes in order, their numbers, their buckets); buckets rise with the hashes."""
-    h = words.pairs(lang)
-    distinct, n = np.unique(h, return_counts=True)
-    return h, distinct, n, ((distinct >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+class _Distinct:
+    """The different phrases among some, in the order of buckets and hashes, and which of them each phrase is."""
+
+    def __init__(self, h: np.ndarray, bucket: np.ndarray):
+        order = np.lexsort((h, bucket))
+        new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])])[: len(h)]
+        first = np.flatnonzero(new)
+        self.h, self.bucket = h[order][first], bucket[order][first]
+        self.count = np.diff(np.append(first, len(h))).astype(np.int32)
+        self.which = np.empty(len(h), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+
+    def blocks(self, number: int) -> Iterator[pa.RecordBatch]:
+        """One row for each bucket: the slice's number, hashes and counts."""
+        cuts = [0, *(np.flatnonzero(np.diff(self.bucket)) + 1).tolist(), len(self.h)]
+        rows = [[int(self.bucket[a]), number, b - a, self.h[a:b].tobytes(), pack(self.count[a:b])] for a, b in zip(cuts, cuts[1:]) if b > a]
+        if rows:
+            yield _batch(rows, ("bucket", "slice", "n", "hashes", "counts"), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))
+
+
+_BLOCK = "bucket int, slice long, n int, hashes binary, counts binary"
 
 
-def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int]]:
-    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-    return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
+def _batch(rows: list[list], names: tuple[str, ...], types: tuple[pa.DataType, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=list(names))
 
 
 def _pair_blocks(buckets: int):
+    """The pairs of each slice."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, n, data, number in zip(*(batch.column(c).to_pylist() for c in ("lang", "n_bytes", "data", "slice"))):
-                _, distinct, count, bucket = _distinct_pairs(_Words(data, n), lang, buckets)
-                rows = [[int(bucket[a]), number, b - a, distinct[a:b].tobytes(), pack(count[a:b].astype(np.int32))] for a, b in _cuts(bucket)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "slice", "n", "hashes", "counts"])
+                for _, _, h, bucket in _Words(data, n).hashes(lang, 2, buckets):
+                    yield from _Distinct(h, bucket).blocks(number)
             release_memory()
 
     return run
 
 
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, int]], np.ndarray, np.ndarray]]:
+    """Of each bucket its blocks (slice, n), all their hashes and all their counts."""
+    held, now = [], None
+    for batch in batches:
+        for bucket, number, n, hashes, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "slice", "n", "hashes", "counts"))):
+            if bucket != now and held:
+                yield now, [x[:2] for x in held], *(np.concatenate(c) for c in zip(*(x[2:] for x in held)))
+                held = []
+            now = bucket
+            held.append((number, n, np.frombuffer(hashes, np.uint64), unpack(counts, n, np.int32).astype(np.int64)))
+    if held:
+        yield now, [x[:2] for x in held], *(np.concatenate(c) for c in zip(*(x[2:] for x in held)))
+
+
 def _frequent_bits(least: int):
-    """Of each block a bit for each pair: whether all slices together have it often enough."""
+    """Of each block a bit for each phrase: whether all slices together have it often enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            h = np.concatenate([x for _, _, x, _ in held])
-            order = np.argsort(h)
-            new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
-            total = np.add.reduceat(np.concatenate([c for *_, c in held])[order].astype(np.int64), np.flatnonzero(new))
-            often = np.empty(len(h), bool)
-            often[order] = (total >= least)[np.cumsum(new) - 1]
-            at, rows = 0, []
-            for number, n, _, _ in held:
+        for bucket, blocks, h, counts in _by_bucket(batches):
+            found = np.unique(h, return_inverse=True)[1]
+            often = (np.bincount(found, counts).astype(np.int64) >= least)[found]
+            rows, at = [], 0
+            for number, n in blocks:
                 bits = often[at : at + n]
-                rows.append([number, now, n, np.packbits(bits).tobytes() if bits.any() else b""])
+                rows.append([number, bucket, n, np.packbits(bits).tobytes() if bits.any() else b""])
                 at += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["slice", "bucket", "n", "bits"])
-            held.clear()
+            yield _batch(rows, ("slice", "bucket", "n", "bits"), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))
             release_memory()
 
+    return run
+
+
+def _phrase_blocks(longest: int, buckets: int):
+    """The phrases of each slice all of whose pairs are frequent by the slice's bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, number, n, hashes, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "slice", "n", "hashes", "counts"))):
-                if bucket != now:
-                    yield from flush()
-                    now = bucket
-                held.append((number, n, np.frombuffer(hashes, np.uint64), unpack(counts, n, np.int32)))
-        yield from flush()
+            for lang, n, data, number, replies in zip(*(batch.column(c).to_pylist() for c in ("lang", "n_bytes", "data", "slice", "replies"))):
+                words, found = _Words(data, n), []
+                good = run_on = np.zeros(len(words.starts), bool)
+                often = np.concatenate([np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]) if r["bits"] else np.zeros(r["n"], np.uint8) for r in replies])
+                for size, first, h, bucket in words.hashes(lang, longest, buckets):
+                    if size == 2:
+                        good[first] = often[_Distinct(h, bucket).which] > 0
+                        run_on = good
+                    else:
+                        run_on = run_on[:-1] & good[size - 2 :][: len(run_on) - 1]
+                    keep = run_on[first]
+                    found.append((h[keep], bucket[keep]))
+                h, bucket = map(np.concatenate, zip(*found))
+                yield from _Distinct(h, bucket).blocks(number)
+            release_memory()
 
     return run
 
 
-def _phrase_counts(longest: int, buckets: int):
+def _asked(least: int):
+    """Frequent phrases, each asked of one slice that has it, chosen by lot so that no slice is asked for all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, blocks, h, counts in _by_bucket(batches):
+            numbers = np.repeat([number for number, _ in blocks], [n for _, n in blocks])
+            distinct, found = np.unique(h, return_inverse=True)
+            total = np.bincount(found, counts).astype(np.int64)
+            some = np.flatnonzero(total[found] >= least)
+            order = some[np.lexsort((mix(numbers[some].astype(np.uint64) ^ h[some]), h[some]))]
+            one = order[np.concatenate([[True], h[order][1:] != h[order][:-1]])[: len(order)]]
+            one = one[np.argsort(numbers[one], kind="stable")]
+            cuts = [0, *(np.flatnonzero(np.diff(numbers[one])) + 1).tolist(), len(one)]
+            rows = [[int(numbers[one[a]]), bucket, h[one[a:b]].view(np.int64).tolist(), total[found[one[a:b]]].tolist()] for a, b in zip(cuts, cuts[1:]) if b > a]
+            if rows:
+                yield _batch(rows, ("slice", "bucket", "hashes", "totals"), (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())))
+            release_memory()
+
+    return run
+
+
+def _phrase_texts(longest: int, buckets: int):
+    """Texts and counts of the phrases that a slice was asked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, n, data, replies in zip(*(batch.column(c).to_pylist() for c in ("lang", "n_bytes", "data", "replies"))):
+            for lang, n, data, asked in zip(*(batch.column(c).to_pylist() for c in ("lang", "n_bytes", "data", "asked"))):
                 words = _Words(data, n)
-                h, distinct, _, _ = _distinct_pairs(words, lang, buckets)
-                often = np.concatenate([np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]) if r["bits"] else np.zeros(r["n"], np.uint8) for r in replies])
-                good = np.zeros(len(words.together) + 1, bool)  # word i and its next are a frequent pair
-                good[:-1][words.together] = often[np.searchsorted(distinct, h)].astype(bool)
-                run_on = good.copy()
-                for size in range(2, longest + 1):
-                    yield from _counted(lang, size, words.phrases(np.flatnonzero(run_on), size))
-                    run_on[:-1] &= np.concatenate([good[size - 1 :], np.zeros(size - 2, bool)])[: len(run_on) - 1]
-                    run_on[-1] = False
+                totals = {(h, r["bucket"]): a for r in asked for h, a in zip(r["hashes"], r["totals"])}
+                known = np.array([h for h, _ in totals], np.int64).view(np.uint64)
+                for size, first, h, bucket in words.hashes(lang, longest, buckets):
+                    at = np.flatnonzero(np.isin(h, known))
+                    at = at[np.unique(np.stack([h[at], bucket[at].astype(np.uint64)]), axis=1, return_index=True)[1]]
+                    counts = [totals.get(key) for key in zip(h[at].view(np.int64).tolist(), bucket[at].tolist())]
+                    mine = np.array([c is not None for c in counts], bool)
+                    texts = [t for part in words.phrases(first[at[mine]], size) for t in part.to_pylist()] if mine.any() else []
+                    if texts:
+                        rows = [[lang, t, size, a] for t, a in zip(texts, filter(None, counts))]
+                        yield _batch(rows, ("lang", "phrase", "size", "a"), (pa.string(), pa.string(), pa.int32(), pa.int64()))
             release_memory()
 
     return run
@@ -200,14 +264,17 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     totals = sliced.groupBy("lang").agg(F.sum("n_words").alias("n"))
     n_bytes = sliced.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = max(shuffle_partitions(spark), -(-n_bytes // BUCKET_BYTES))
-    counted = "lang string, phrase string, size int, n long"
-    words = sliced.select("lang", "n_bytes", "data").mapInArrow(_word_counts, counted)
-    blocks = sliced.select("lang", "n_bytes", "data", "slice").mapInArrow(_pair_blocks(buckets), "bucket int, slice long, n int, hashes binary, counts binary")
-    bits = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_frequent_bits(least), "slice long, bucket int, n int, bits binary")
-    replies = bits.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "bits"))).alias("replies"))
-    phrases = sliced.join(replies, "slice").select("lang", "n_bytes", "data", "replies").mapInArrow(_phrase_counts(longest, buckets), counted)
-    often = words.unionByName(phrases).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return materialize(often), totals
+    often = F.col("a") >= least
+    words = sliced.select("lang", "n_bytes", "data").mapInArrow(_word_counts, "lang string, phrase string, n long")
+    words = words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(often).select("lang", "phrase", F.lit(1).alias("size"), "a")
+    deal = lambda blocks: blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    gather = lambda rows, *columns: rows.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
+    bits = deal(sliced.select("lang", "n_bytes", "data", "slice").mapInArrow(_pair_blocks(buckets), _BLOCK)).mapInArrow(_frequent_bits(least), "slice long, bucket int, n int, bits binary")
+    checked = sliced.join(gather(bits, "bucket", "n", "bits"), "slice").select("lang", "n_bytes", "data", "slice", F.col("rows").alias("replies"))
+    asked = deal(checked.mapInArrow(_phrase_blocks(longest, buckets), _BLOCK)).mapInArrow(_asked(least), "slice long, bucket int, hashes array<long>, totals array<long>")
+    told = sliced.join(gather(asked, "bucket", "hashes", "totals"), "slice").select("lang", "n_bytes", "data", F.col("rows").alias("asked"))
+    phrases = told.mapInArrow(_phrase_texts(longest, buckets), "lang string, phrase string, size int, a long")
+    return materialize(words.unionByName(phrases)), totals
 
 
 def _stream(grams: DataFrame, key: Column, longest: int, name: str) -> DataFrame:
