@@ -165,20 +165,18 @@ def report_parse(spark, d):
     return reports.parse_reports(I.lines(spark, d))
 
 
+_VOTE = "arg_min(taxid, line_no) FILTER (WHERE tool = '{}')"
+
+
 @query(
-    f"""WITH {_REPORT}, one AS MATERIALIZED (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid, arg_min(length, line_no) AS length FROM report GROUP BY ALL)
-    SELECT coalesce(x.sample, y.sample) AS sample, coalesce(x.seq, y.seq) AS seq, coalesce(x.taxid, '0') AS "taxID_kaiju_0", coalesce(y.taxid, '0') AS "taxID_kraken2_0", coalesce(y.length, '') AS length, regexp_extract(coalesce(x.seq, y.seq), '(?i)taxid:([0-9]+)', 1) AS "true"
-    FROM (SELECT * FROM one WHERE tool = 'kaiju') x FULL JOIN (SELECT * FROM one WHERE tool = 'kraken2') y ON x.sample = y.sample AND x.seq = y.seq"""
+    f"""WITH {_REPORT} SELECT sample, seq, coalesce({_VOTE.format('kaiju')}, '0') AS "taxID_kaiju_0", coalesce({_VOTE.format('kraken2')}, '0') AS "taxID_kraken2_0",
+    coalesce(arg_min(length, line_no) FILTER (WHERE tool = 'kraken2'), '') AS length, regexp_extract(seq, '(?i)taxid:([0-9]+)', 1) AS "true" FROM report GROUP BY sample, seq"""
 )
 def combine_votes(spark, d):
     return combine.combine_reports(reports.parse_reports(I.lines(spark, d)), [("kaiju", 0), ("kraken2", 0)])
 
 
-@query(
-    f"""WITH {_REPORT}, one AS MATERIALIZED (SELECT sample, tool, seq, arg_min(taxid, line_no) AS taxid FROM report GROUP BY ALL)
-    SELECT coalesce(x.sample, y.sample) AS sample, coalesce(x.seq, y.seq) AS seq, x.taxid AS "taxID_kaiju_0", y.taxid AS "taxID_kraken2_0"
-    FROM (SELECT * FROM one WHERE tool = 'kaiju') x FULL JOIN (SELECT * FROM one WHERE tool = 'kraken2') y ON x.sample = y.sample AND x.seq = y.seq"""
-)
+@query(f"""WITH {_REPORT} SELECT sample, seq, {_VOTE.format('kaiju')} AS "taxID_kaiju_0", {_VOTE.format('kraken2')} AS "taxID_kraken2_0" FROM report GROUP BY sample, seq""")
 def combine_outer(spark, d):
     return combine.combine_reports(reports.parse_reports(I.lines(spark, d)), [("kaiju", 0), ("kraken2", 0)], fill=None).drop("length", "true")
 

@@ -15,8 +15,10 @@ from quorumkit.functions import labels as L
 from quorumkit.operators import abundance as A
 from quorumkit.operators import allocate, metrics, registry, reprofile, sequences
 from quorumkit.plans import inputs as I
+from quorumkit.operators.ranking import running_sum
 from quorumkit.plans.catalogue import _CALLS, _CODONS, _CONTIGS, _GENOMES, _LETTERS, _NODES, _VOTES, _abundance, _genomes, query
 from quorumkit.sinks import tables as K
+from quorumkit.sinks.named import write_named
 from quorumkit.sinks.shared import new_path
 from quorumkit.sources import reports, sequences as seqio, tables as T
 
@@ -134,24 +136,36 @@ def truth_by_pattern(spark, d):
 def pooled_votes(spark, d):
     """Per-sample vote files of two headers, read as one table; a pooled file among them is skipped."""
     calls = I.calls(spark, d)
-    halves, paths = [("b", 0), ("c", 1)], []
-    for column, rest in halves:
-        path = new_path(spark)
-        K.write_votes(calls.where(F.col("l_linenumber") % 2 == rest).select("sample", "seq", "taxID_a_0", f"taxID_{column}_0"), path)
-        folder = rename_files(spark, path, lambda sample, i, c=column: f"{sample}.{c}{i}.csv")
-        paths += [r["f"] for r in spark.read.text(folder).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]  # one for each sample
-    pooled = new_path(spark)
-    K.write_pooled(calls.select("seq", "taxID_a_0"), pooled)
-    skipped = rename_files(spark, pooled, lambda _, i: f"combined_annotation_table{i}.csv")
-    paths += [r["f"] for r in spark.read.text(skipped).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
-    return T.read_pooled(spark, paths).select("sample", "seq", "taxID_a", "taxID_b", "taxID_c")
+    folders = [new_path(spark) for _ in range(3)]
+    for folder, column, rest in zip(folders, "bc", (0, 1)):
+        K.write_votes(calls.where(F.col("l_linenumber") % 2 == rest).select("sample", "seq", "taxID_a_0", f"taxID_{column}_0"), folder)
+    K.write_pooled(calls.select("sample", "seq", "taxID_a_0"), folders[2])
+    return T.read_pooled(spark, folders).select("sample", "seq", "taxID_a", "taxID_b", "taxID_c")
+
+
+@query(f"""WITH {_CALLS} SELECT sample || '.annotation.csv' AS file, row_number() OVER (PARTITION BY sample ORDER BY seq) AS place, seq, "taxID_a_0" AS label, nullif(length, '7') AS length FROM calls""")
+def vote_files(spark, d):
+    """Vote files by their names, and the order of the reads in each."""
+    path = new_path(spark)
+    K.write_votes(I.calls(spark, d).select("sample", "seq", "taxID_a_0", F.nullif("length", F.lit("7")).alias("length")), path)
+    lines = spark.read.csv(path, header=True).select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"), "seq", F.col("taxID_a_0").alias("label"), "length")
+    return running_sum(lines, ["file"], ["at"], name="before").select("file", (F.col("before") + 1).alias("place"), "seq", "label", "length")
+
 
+@query(f"""WITH {_CALLS} SELECT 'combined_annotation_table.csv' AS file, sample, seq, CASE WHEN l_linenumber % 2 = 0 THEN 'a, "b"' ELSE "taxID_a_0" END AS label FROM calls""")
+def pooled_file(spark, d):
+    """The pooled table as one named file, with values that need quotes."""
+    path = new_path(spark)
+    label = F.when(F.col("l_linenumber") % 2 == 0, 'a, "b"').otherwise(F.col("taxID_a_0"))
+    K.write_pooled(I.calls(spark, d).select("sample", "seq", label.alias("label")), path)
+    return spark.read.csv(path, header=True, escape='"').select(F.col("_metadata.file_name").alias("file"), "sample", "seq", "label")
 
-@query(f"""WITH {_CALLS} SELECT seq, "taxID_a_0" AS corrected, sample || '_reprofiled' AS part FROM calls""")
+
+@query(f"""WITH {_CALLS} SELECT seq, "taxID_a_0" AS corrected, sample || '_reprofiled.csv' AS file FROM calls""")
 def reprofiled_files(spark, d):
     path = new_path(spark)
     K.write_reprofiled(I.calls(spark, d).select("sample", "seq", F.col("taxID_a_0").alias("corrected")), path)
-    return spark.read.csv(path, header=True, inferSchema=False).select("seq", "corrected", "part")
+    return spark.read.csv(path, header=True).select("seq", "corrected", F.col("_metadata.file_name").alias("file"))
 
 
 @query(f"""WITH {_CALLS} SELECT seq, "taxID_a_0" AS taxid FROM calls""")
@@ -229,7 +243,8 @@ def abundance_files(spark, d):
     path = new_path(spark)
     samples = [r["sample"] for r in I.calls(spark, d).select("sample").distinct().orderBy("sample").collect()]  # the columns of the files
     K.write_abundance(_abundance(spark, d), samples, path)
-    wide = spark.read.csv(path, header=True).select("annotator", "taxid", *(F.col(f"N_{s}").cast("long").alias(s) for s in samples))
+    annotator = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
+    wide = spark.read.csv(path, header=True).select(annotator.alias("annotator"), "taxid", *(F.col(f"N_{s}").cast("long").alias(s) for s in samples))
     return wide.unpivot(["annotator", "taxid"], samples, "sample", "n").where("n > 0")
 
 
@@ -312,12 +327,29 @@ def feature_files(spark, d):
     return T.read_features(spark, path).select(F.col("read_id").cast("string").alias("read_id"), "length", "gc")
 
 
-@query("SELECT s_suppkey::varchar AS sample, '/r/' || s_suppkey || '_R1.fastq.gz' AS r1, CASE WHEN s_suppkey % 2 = 0 THEN '/r/' || s_suppkey || '_R2.fastq.gz' END AS r2 FROM supplier WHERE s_suppkey % 5 <> 0")
+def _name_in(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+@query("SELECT s_suppkey::varchar AS sample, s_suppkey || '_R1.fastq' AS r1, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey || '_R2.fastq' END AS r2 FROM supplier WHERE s_suppkey % 5 <> 0")
 def fastq_catalogue(spark, d):
-    s = I.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
-    path = lambda end: F.concat(F.lit("/r/"), F.col("k").cast("string"), F.lit(end)).alias("path")
-    files = [s.where("k % 5 <> 0").select(path("_R1.fastq.gz")), s.where("k % 2 = 0").select(path("_R2.fastq.gz")), s.select(path(".txt"))]
-    return T.catalogue_fastq(reduce(DataFrame.unionByName, files)).select("sample", "r1", "r2")
+    """Paired read files that stand in a folder, with other files between them."""
+    s = I.table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("k"), "s_suppkey", F.lit("x").alias("line"))
+    folder = new_path(spark)
+    for part, ending, rows in (("a", "_R1.fastq", s.where("s_suppkey % 5 <> 0")), ("b", "_R2.fastq", s.where("s_suppkey % 2 = 0")), ("c", ".txt", s)):
+        write_named(rows, F.col("k"), ending, ["line"], f"{folder}/{part}", drop=["k", "s_suppkey"])
+    found = T.catalogue_fastq(T.list_files(spark, folder))
+    return found.select("sample", _name_in(F.col("r1")).alias("r1"), _name_in(F.col("r2")).alias("r2"))
+
+
+@query("SELECT p_size::varchar AS taxid, p_size || '.fna' AS file FROM part GROUP BY p_size UNION ALL SELECT '0' || p_size, '0' || p_size || '.faa' FROM part WHERE p_size % 3 = 0 GROUP BY p_size")
+def genome_files(spark, d):
+    """Sequence files that stand in a folder: those whose stem is a number."""
+    sizes = I.table(spark, d, "part").select(F.col("p_size").cast("string").alias("k"), "p_size", F.lit(">x").alias("line")).distinct()
+    folder = new_path(spark)
+    for part, stem, ending, rows in (("a", F.col("k"), ".fna", sizes), ("b", F.concat(F.lit("0"), "k"), ".faa", sizes.where("p_size % 3 = 0")), ("c", F.concat(F.lit("x"), "k"), ".fa", sizes), ("d", F.col("k"), ".csv", sizes)):
+        write_named(rows, stem, ending, ["line"], f"{folder}/{part}", drop=["k", "p_size"])
+    return T.catalogue_genomes(T.list_files(spark, folder)).select("taxid", _name_in(F.col("path")).alias("file"))
 
 
 @query("""SELECT taxid, path FROM (SELECT *, row_number() OVER (PARTITION BY taxid ORDER BY p, path) AS r FROM (
@@ -347,17 +379,18 @@ def sequence_map_files(spark, d):
     return spark.read.csv(path, sep="\t", schema="id string, taxid string, genome string")
 
 
-@query(f"WITH {_LETTERS} SELECT read_id, md5(seq) AS seq_1, md5(reverse(seq)) AS seq_2 FROM letters WHERE seq <> ''")
+@query(f"WITH {_LETTERS} SELECT read_id, md5(seq) AS seq_1, md5(reverse(seq)) AS seq_2, md5('@' || substr(lower(seq), 2)) AS qual_1 FROM letters WHERE seq <> ''")
 def fastq_pairs(spark, d):
-    """Both mates written as FASTQ, read again and put side by side by their place in each pair of files."""
+    """Both mates written as FASTQ, read again in small byte ranges and put side by side by their place in each pair of files; every quality line begins with '@'."""
     reads = I.letters(spark, d).where("seq <> ''")
     both = reads.select("read_id", F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.col("seq").alias("s")), F.struct(F.lit(2).alias("mate"), F.reverse("seq").alias("s")))).alias("m"))
-    rows = both.select("read_id", "m.mate", F.concat_ws("/", "read_id", F.col("m.mate").cast("string")).alias("header"), F.col("m.s").alias("seq"), F.col("m.s").alias("qual"))
+    qual = F.concat(F.lit("@"), F.lower(F.expr("substr(m.s, 2)")))
+    rows = both.select("read_id", "m.mate", F.concat_ws("/", "read_id", F.col("m.mate").cast("string")).alias("header"), F.col("m.s").alias("seq"), qual.alias("qual"))
     path = new_path(spark)
     K.write_fastq(rows.sortWithinPartitions("mate", "read_id"), path)
-    sides = [seqio.read_fastq(spark, f"{path}/mate={m}", m).withColumn("pair", F.regexp_extract("file", r"part-(\d+)", 1)) for m in (1, 2)]
+    sides = [seqio.read_fastq(spark, f"{path}/mate={m}", m, range_bytes=1 << 18).withColumn("pair", F.regexp_extract("file", r"part-(\d+)", 1)) for m in (1, 2)]
     out = seqio.pair_mates(*sides, keys=("pair", "ord"))
-    return out.select(F.regexp_replace("header_1", "/1$", "").alias("read_id"), F.md5("seq_1").alias("seq_1"), F.md5("seq_2").alias("seq_2"))
+    return out.select(F.regexp_replace("header_1", "/1$", "").alias("read_id"), F.md5("seq_1").alias("seq_1"), F.md5("seq_2").alias("seq_2"), F.md5("qual_1").alias("qual_1"))
 
 
 @query(f"WITH {_LETTERS} SELECT read_id, length(seq)::int AS n FROM letters WHERE seq <> ''")

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumkit.sinks.named import write_named
+
 
 def write_votes(wide: DataFrame, path: str) -> None:
-    """Vote tables as CSV, one folder per sample, sorted by read id."""
-    wide.repartition("sample").sortWithinPartitions("sample", "seq").write.mode("overwrite").partitionBy("sample").csv(path, header=True, quote='"', nullValue="")
+    """Vote tables as <sample>.annotation.csv, sorted by read id, without the sample column."""
+    write_named(wide, F.col("sample"), ".annotation.csv", ["seq"], path, drop=["sample"])
 
 
 def safe_file_name(name: Column) -> Column:
@@ -18,20 +20,20 @@ def safe_file_name(name: Column) -> Column:
 
 
 def write_abundance(abundance: DataFrame, samples: Sequence[str], path: str) -> None:
-    """label x sample tables as CSV, one folder per annotator."""
+    """label x sample tables as <annotator>.csv, sorted by label."""
     wide = abundance.groupBy("annotator", "taxid").pivot("sample", list(samples)).sum("n").fillna(0)
-    wide = wide.select(safe_file_name(F.col("annotator")).alias("annotator"), "taxid", *(F.col(f"`{s}`").alias(f"N_{s}") for s in samples))
-    wide.repartition("annotator").sortWithinPartitions("annotator", "taxid").write.mode("overwrite").partitionBy("annotator").csv(path, header=True)
+    wide = wide.select("annotator", "taxid", *(F.col(f"`{s}`").alias(f"N_{s}") for s in samples))
+    write_named(wide, F.col("annotator"), ".csv", ["taxid"], path, drop=["annotator"])
 
 
 def write_pooled(pooled: DataFrame, path: str) -> None:
-    pooled.write.mode("overwrite").csv(path, header=True)
+    """All samples as combined_annotation_table.csv; beyond its number of rows the table goes on in numbered files."""
+    write_named(pooled, F.lit("combined_annotation_table"), ".csv", ["sample", "seq"], path)
 
 
 def write_reprofiled(scored: DataFrame, path: str) -> None:
-    """Corrected votes as CSV in folders <sample>_reprofiled."""
-    named = scored.withColumn("part", F.concat(F.col("sample"), F.lit("_reprofiled")))
-    named.repartition("part").write.mode("overwrite").partitionBy("part").csv(path, header=True)
+    """Corrected votes as <sample>_reprofiled.csv, sorted by read id, without the sample column."""
+    write_named(scored, F.concat(F.coalesce("sample", F.lit("")), F.lit("_reprofiled")), ".csv", ["seq"], path, drop=["sample"])
 
 
 def map_lines(table: DataFrame, key: str, value: str) -> DataFrame:

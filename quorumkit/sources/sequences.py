@@ -5,46 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quorumkit.sources import records
 
-def _places(rows: DataFrame, name: str) -> DataFrame:
-    """Add a row's place in its file (from 0), from the number of rows in the file's blocks before its own.
 
-    Rows have file, block and at (rising inside a block); only one row for each block is ever sorted.
+def _with_places(records: DataFrame, name: str) -> DataFrame:
+    """Replace block and at by a record's place in its file (from 0): its number in its range and the records of all ranges before.
+
+    Only the number of records of each range is added up; records stay where they are read.
     """
-    own = Window.partitionBy("file", "block").orderBy("at")
-    sizes = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = records.groupBy("file", "block").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("file", "block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return rows.withColumn("__i", F.row_number().over(own) - 1).join(starts, ["file", "block"]).withColumn(name, F.col("__start") + F.col("__i")).drop("__start", "__i")
+    return records.join(starts, ["file", "block"]).withColumn(name, F.col("__start") + F.col("at")).drop("__start", "block", "at")
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, contig_no, header, sequence); blank lines go, wrapped sequences are joined.
+def read_fasta(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None) -> DataFrame:
+    """(file, contig_no, header, sequence) of files, folders or patterns; blank lines go, wrapped sequences are joined.
 
-    Records are split at line starts with '>', so a large plain file is read by
-    many tasks; a gzip file is one task.
+    A plain file is read by many tasks, a gzip file by one that streams it.
     """
-    raw = spark.read.option("lineSep", "\n>").text(paths)
-    body = F.regexp_replace(F.regexp_replace("value", "^>", ""), "\r", "")
-    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), body.alias("body")).where(F.trim("body") != "")
-    header = F.trim(F.substring_index("body", "\n", 1))
-    sequence = F.regexp_replace(F.when(F.instr("body", "\n") > 0, F.expr("substring(body, instr(body, '\n') + 1)")).otherwise(""), r"\s", "")
-    return _places(rows, "contig_no").select("file", F.col("contig_no").cast("int").alias("contig_no"), header.alias("header"), sequence.alias("sequence"))
+    rows = _with_places(records.load(spark, records.FastaSource, paths, range_bytes), "contig_no")
+    return rows.select("file", F.col("contig_no").cast("int").alias("contig_no"), "header", "sequence")
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str], mate: int = 1) -> DataFrame:
-    """(file, ord, mate, read_id, header, seq, qual); a truncated last record is dropped.
+def fastq_records(spark: SparkSession, paths: str | list[str], range_bytes: int | None = None) -> DataFrame:
+    """(file, block, at, header, seq, qual): records as they are read, without any exchange; (block, at) orders those of a file."""
+    return records.load(spark, records.FastqSource, paths, range_bytes)
 
-    A quality line may start with '@', so records are groups of four lines by
-    their place in the file and never split at '@'.
-    """
-    raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("line"))
-    numbered = _places(raw, "n").select("file", F.floor(F.col("n") / 4).alias("ord"), (F.col("n") % 4).alias("part"), "line")
-    part = lambda i: F.min(F.when(F.col("part") == i, F.col("line")))
-    records = numbered.groupBy("file", "ord").agg(F.count(F.lit(1)).alias("n"), part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual")).where("n = 4")
-    header = F.regexp_replace("h", "^@", "")
-    read_id = F.regexp_replace(F.substring_index(header, " ", 1), "/[12]$", "")
-    return records.select("file", "ord", F.lit(mate).alias("mate"), read_id.alias("read_id"), header.alias("header"), "seq", "qual")
+
+def read_fastq(spark: SparkSession, paths: str | list[str], mate: int = 1, range_bytes: int | None = None) -> DataFrame:
+    """(file, ord, mate, read_id, header, seq, qual); a truncated last record is dropped."""
+    rows = _with_places(fastq_records(spark, paths, range_bytes), "ord")
+    read_id = F.regexp_replace(F.substring_index("header", " ", 1), "/[12]$", "")
+    return rows.select("file", "ord", F.lit(mate).alias("mate"), read_id.alias("read_id"), "header", "seq", "qual")
 
 
 def pair_mates(r1: DataFrame, r2: DataFrame, keys: tuple[str, ...] = ("ord",)) -> DataFrame:

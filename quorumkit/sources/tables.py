@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quorumkit.functions.labels import canonical_label, coalesce_same_names
 
@@ -61,20 +64,31 @@ def read_features(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_pooled(spark: SparkSession, paths: list[str], sample_position: int = 0) -> DataFrame:
-    """Row-wise union of per-sample vote tables with a ``sample`` column.
+def list_files(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    """(path) of the files below folders whose names match a pattern; none of them is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return reader.load(paths).select("path")
+
+
+def read_pooled(spark: SparkSession, paths: str | list[str], sample_position: int = 0) -> DataFrame | None:
+    """Row-wise union of per-sample vote tables with a ``sample`` column; None without any.
 
-    Pooled tables are skipped, column names normalised, same names coalesced.
-    ``paths`` are files; those with equal headers are read in one scan.
+    ``paths`` are files or folders. Pooled tables are skipped, column names
+    normalised, same names coalesced. One job finds the header of every file,
+    then files with equal headers are one scan, whose columns are known.
     """
+    if not paths:
+        return None
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.where(~F.col("name").startswith("combined_annotation_table") & (F.col("block") == 0)).groupBy("file").agg(F.min_by("value", "at").alias("header"))
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for p in sorted(paths):
-        if not p.rsplit("/", 1)[-1].startswith("combined_annotation_table"):
-            by_header.setdefault(tuple(spark.read.csv(p, header=True).columns), []).append(p)
+    for r in first.orderBy("file").collect():  # a line for each file, as the listing has
+        by_header.setdefault(tuple(next(csv.reader([r["header"]]), ())), []).append(r["file"])
     tokens = F.split("__file", r"\.")
     out = None
-    for group in by_header.values():
-        df = spark.read.csv(group, header=True)
+    for header, group in by_header.items():
+        names = [f"{c}...{i}" if c in header[:i] else c for i, c in enumerate(header)]  # a repeated name, which its ending tells apart
+        df = spark.read.schema(StructType([StructField(c, StringType()) for c in names])).csv(group, header=True)
         df = df.select("*", F.col("_metadata.file_name").alias("__file"))
         df = coalesce_same_names(df).withColumn("sample", F.array_join(F.slice(tokens, 1, sample_position + 1), "_")).drop("__file")
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
