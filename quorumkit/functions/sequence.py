@@ -6,6 +6,8 @@ arrays of code points, one text at a time.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Callable
 from itertools import product
 
@@ -240,18 +242,32 @@ def parts(s: Column, percent: Column | float) -> Column:
 def mutate(s: Column, key: Column, rate: float, seed: int) -> Column:
     """Substitute letters at a rate, never by themselves; a rate of 1 changes exactly one position.
 
-    What happens depends on (key, position, seed) only, so any task gives the same text.
+    A counter-based generator: number k of a text is MD5 of "key/seed/k". Its
+    first 32 bits give the gap to the next place that changes (geometric, so
+    letters between two such places cost nothing), the next 32 the new base among
+    those that differ. Any task gives the same text. A null key counts as empty.
     """
-    letters = F.filter(F.split(s, ""), lambda c: c != "")
-
-    def other(c: Column, draw: Column) -> Column:
-        rest = F.filter(F.array(*map(F.lit, "ACGT")), lambda x: x != F.upper(c))
-        return F.element_at(rest, (F.pmod(draw, F.size(rest)) + 1).cast("int"))
-
-    if rate >= 1:
-        place = F.pmod(F.xxhash64(key, F.lit(seed)), F.greatest(F.length(s), F.lit(1)))
-        changed = F.transform(letters, lambda c, i: F.when(i == place, other(c, F.xxhash64(key, i, F.lit(seed + 1)))).otherwise(c))
-    else:
-        hit = lambda i: F.pmod(F.xxhash64(key, i, F.lit(seed)), F.lit(1_000_000)) < int(rate * 1_000_000)
-        changed = F.transform(letters, lambda c, i: F.when(hit(i), other(c, F.xxhash64(key, i, F.lit(seed + 1)))).otherwise(c))
-    return F.array_join(changed, "")
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        out = []
+        for text, key in zip(texts.to_pylist(), keys.to_pylist()):
+            if not text or rate <= 0:
+                out.append(text)
+                continue
+            letters, at, k = list(text), -1, 0
+            while True:
+                draw = hashlib.md5(f"{key or ''}/{seed}/{k}".encode()).hexdigest()
+                first, second = int(draw[:8], 16), int(draw[8:16], 16)
+                at = first % len(letters) if rate >= 1 else at + 1 + math.floor(math.log((first + 0.5) / 4294967296) / math.log(1 - rate))
+                if at >= len(letters):
+                    break
+                others = [b for b in "ACGT" if b != letters[at].upper()]
+                letters[at] = others[second % len(others)]
+                k += 1
+                if rate >= 1:
+                    break
+            out.append("".join(letters))
+        return pa.array(out, pa.string())
+
+    return run(s, key.cast("string"))

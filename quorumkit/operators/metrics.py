@@ -5,12 +5,16 @@ Votes are long: sample, seq, true, annotator, label.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+import math
+from collections.abc import Sequence
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumkit.functions.labels import is_special
+from quorumkit.operators.ranking import running_sum
+from quorumkit.sinks.shared import materialize
 
 
 def collapse_other(votes: DataFrame, truth: DataFrame | None = None) -> DataFrame:
@@ -99,8 +103,7 @@ def trim_matrix(pairs: DataFrame, row: str, column: str, most: int = 40) -> Data
     out = pairs
     for side in (row, column):
         totals = pairs.groupBy(side).agg(F.sum("freq").alias("__t"))
-        by = Window.orderBy(F.col(side).isin("0", "other"), F.desc("__t"), side)
-        kept = totals.withColumn("__n", F.row_number().over(by)).where(F.col("__n") <= most).select(side)
+        kept = totals.orderBy(F.col(side).isin("0", "other"), F.desc("__t"), side).limit(most).select(side)
         out = out.join(kept, side, "left_semi")
     return out
 
@@ -115,33 +118,118 @@ def truth_counts(wide: DataFrame) -> DataFrame:
     return wide.groupBy("true").agg(F.count(F.lit(1)).alias("n"))
 
 
-def confidence_summary(scored: DataFrame, label: str, confidence: str, show_top: int = 10) -> DataFrame:
-    """Box-plot values of the confidence for the most frequent labels."""
-    q = F.percentile(F.col(confidence), F.array(*map(F.lit, (0.0, 0.25, 0.5, 0.75, 1.0))))
-    out = scored.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"), q.alias("q"))
-    out = out.select("label", "n", *(F.col("q")[i].alias(c) for i, c in enumerate(("low", "q1", "median", "q3", "high"))))
-    return out.orderBy(F.desc("n"), "label").limit(show_top) if show_top else out
-
-
-def label_order(pairs: DataFrame, most: int = 40) -> DataFrame:
-    """(label, place): labels along the first principal axis of the symmetric confusion matrix.
+def confidence_summary(scored: DataFrame, label: str, confidence: str, show_top: int = 10, shares: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+    """Box-plot values (low, q1, median, q3, high) of the confidence for the most frequent labels; 0 shows all.
 
-    The matrix is trimmed to ``most`` labels first, which bounds it. Without
-    variance labels go by their totals; special labels always come last.
+    Exact, between neighbours linearly. A label's rows are numbered in order of
+    their confidence over range partitions, so a label of any size is spread
+    over many tasks and no buffer holds its values. Rows without a confidence
+    count in n and nowhere else; a label that has none gets nulls.
+    """
+    rows = scored.select(F.col(label).alias("label"), F.col(confidence).cast("double").alias("v"))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("m"))
+    top = materialize(counts.orderBy(F.desc("n"), "label").limit(show_top) if show_top else counts)
+    known = top.select(F.col("label").alias("__label"), "m")
+    same = F.col("label").eqNullSafe(F.col("__label"))
+    ranked = running_sum(rows.where("v IS NOT NULL").join(known.drop("m"), same, "left_semi"), ["label"], ["v"], name="at").join(known, same)
+    names = ("low", "q1", "median", "q3", "high")
+    place = [(F.col("m") - 1) * F.lit(float(p)) for p in shares]
+    values = [(F.max(F.when(F.col("at") == F.floor(h), F.col("v"))), F.max(F.when(F.col("at") == F.ceil(h), F.col("v"))), F.max(h - F.floor(h))) for h in place]
+    found = ranked.groupBy("__label").agg(*((a + (b - a) * w).alias(c) for c, (a, b, w) in zip(names, values)))
+    out = top.join(found, F.col("label").eqNullSafe(F.col("__label")), "left").select("label", "n", *names)
+    return out.orderBy(F.desc("n"), "label") if show_top else out
+
+
+#: Labels up to which the whole matrix (128 KB) is solved at once; more take the distributed way to the same axis.
+SMALL_MATRIX = 128
+#: Steps of the distributed way at most, and the residual at which it ends.
+MOST_STEPS, RESIDUAL = 300, 1e-9
+
+
+def _principal_axis(cells: DataFrame, labels: DataFrame, n: int) -> DataFrame:
+    """(label, score) along the first principal axis of a symmetric sparse matrix (x, y, f), columns centred implicitly.
+
+    Lanczos steps on the product of the centred matrix with itself: a step is
+    two joins of the cells with a vector; vectors stay tables, only their inner
+    products come to the driver.
+    """
+    sums = cells.groupBy(F.col("x").alias("label")).agg(F.sum("f").alias("t"))
+    start = F.pmod(F.xxhash64("label"), F.lit(1 << 20)) / float(1 << 20) - 0.5
+    basis = materialize(labels.join(sums, "label", "left").select("label", (F.coalesce("t", F.lit(0.0)) / n).alias("mean"), F.array(start).alias("q")))
+
+    def times(vector: DataFrame) -> DataFrame:
+        product = cells.join(vector.select(F.col("label").alias("y"), "v"), "y").groupBy(F.col("x").alias("label")).agg(F.sum(F.col("f") * F.col("v")).alias("p"))
+        return basis.select("label", "mean").join(product, "label", "left").select("label", "mean", F.coalesce("p", F.lit(0.0)).alias("p"))
+
+    def total(df: DataFrame, *values: Column) -> list[float]:
+        return [float(v or 0) for v in df.agg(*(F.sum(v) for v in values)).first()]
+
+    def centred(vector: DataFrame) -> DataFrame:
+        """The centred matrix times a vector (label, mean, v)."""
+        shift = total(vector, F.col("mean") * F.col("v"))[0]
+        return times(vector).select("label", "mean", (F.col("p") - F.lit(shift)).alias("v"))
+
+    norms = [math.sqrt(total(basis, F.col("q")[0] * F.col("q")[0])[0])]
+    inner: list[list[float]] = []
+    for step in range(min(n, MOST_STEPS)):
+        now = basis.select("label", "mean", (F.col("q")[step] / norms[step]).alias("v"))
+        half = materialize(centred(now))
+        drift = total(half, F.col("v"))[0]
+        moved = times(half).select("label", (F.col("p") - F.col("mean") * F.lit(drift)).alias("w"))
+        joined = materialize(basis.join(moved, "label"))
+        unit = [F.col("q")[i] / norms[i] for i in range(step + 1)]
+        first = total(joined, *(F.col("w") * u for u in unit))
+        rest = F.col("w") - sum((F.lit(c) * u for c, u in zip(first, unit)), F.lit(0.0))
+        second = total(joined, *(rest * u for u in unit))  # once more, against what rounding left
+        rest = rest - sum((F.lit(c) * u for c, u in zip(second, unit)), F.lit(0.0))
+        basis = materialize(joined.select("label", "mean", F.array_append("q", rest).alias("q")))
+        norms.append(math.sqrt(total(basis, F.col("q")[step + 1] * F.col("q")[step + 1])[0]))
+        inner.append([a + b for a, b in zip(first, second)])
+        matrix = np.zeros((step + 1, step + 1))
+        for i, column in enumerate(inner):
+            matrix[i, i] = column[i]
+            if i:
+                matrix[i, i - 1] = matrix[i - 1, i] = norms[i]
+        value, vectors = np.linalg.eigh(matrix)
+        best = vectors[:, -1]
+        if norms[-1] * abs(best[-1]) <= RESIDUAL * max(value[-1], 1e-300):
+            break
+    axis = sum((F.lit(float(c)) * F.col("q")[i] / norms[i] for i, c in enumerate(best)), F.lit(0.0))
+    return centred(basis.select("label", "mean", axis.alias("v"))).select("label", F.col("v").alias("score"))
+
+
+def label_order(pairs: DataFrame) -> DataFrame:
+    """(label, place): labels along the first principal axis of the symmetric confusion matrix, the diagonal counted once.
+
+    The axis points to the label with the largest score in absolute terms.
+    Without variance labels go by their totals; '0' and 'other' (and other special
+    labels) come last; equal scores go by label. There is no limit on labels.
     """
-    totals = pairs.select(F.col("a").alias("label"), "freq").unionByName(pairs.select(F.col("b").alias("label"), "freq")).groupBy("label").agg(F.sum("freq").alias("t"))
-    top = totals.where(~is_special(F.col("label"))).orderBy(F.desc("t"), "label").limit(most)
-    labels = [r["label"] for r in top.orderBy("label").collect()]  # at most ``most``
-    special = totals.where(is_special(F.col("label"))).select("label", F.lit(0.0).alias("score"), "t")
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "freq").unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "freq"))
-    score = top.select("label", F.lit(0.0).alias("score"), "t")
-    if len(labels) > 1:
-        rows = top.select(F.col("label").alias("x"), "t").join(both.groupBy("x").pivot("y", labels).sum("freq"), "x", "left").fillna(0)
-        mean = rows.agg(*(F.avg(F.col(f"`{c}`")).alias(c) for c in labels)).first()
-        centred = rows.select("x", "t", array_to_vector(F.array(*(F.col(f"`{c}`") - float(mean[c]) for c in labels))).alias("v"))
-        if centred.agg(F.max(F.aggregate(vector_to_array("v"), F.lit(0.0), lambda a, b: a + F.abs(b)))).first()[0] > 0:
-            model = PCA(k=1, inputCol="v", outputCol="p").fit(centred)
-            score = model.transform(centred).select(F.col("x").alias("label"), vector_to_array("p")[0].alias("score"), "t")
-    every = score.withColumn("last", F.lit(False)).unionByName(special.withColumn("last", F.lit(True)))
-    place = F.row_number().over(Window.orderBy("last", "score", F.desc("t"), "label"))
-    return every.select("label", place.alias("place"))
+    spark = pairs.sparkSession
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("freq").cast("double").alias("f"))
+    labels = materialize(both.select(F.col("x").alias("label")).unionByName(both.select(F.col("y").alias("label"))).where("label IS NOT NULL").distinct())
+    core, special = labels.where(~is_special(F.col("label"))), labels.where(is_special(F.col("label")))
+    mirrored = both.where("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "f")
+    plain = ~is_special(F.col("x")) & ~is_special(F.col("y"))
+    cells = materialize(both.unionByName(mirrored).where(plain).groupBy("x", "y").agg(F.sum("f").alias("f")))
+    n = core.count()
+    facts = cells.agg(F.count(F.lit(1)), F.coalesce(F.min("f"), F.lit(0.0)), F.coalesce(F.max("f"), F.lit(0.0))).first()
+    flat = facts[1] == facts[2] and (facts[0] == n * n or facts[2] == 0)
+    if n < 2 or flat:
+        sums = cells.groupBy(F.col("x").alias("label")).agg((-F.sum("f")).alias("score"))
+        scored = core.join(sums, "label", "left").select("label", F.coalesce("score", F.lit(0.0)).alias("score"))
+    elif n <= SMALL_MATRIX:
+        names = sorted(r["label"] for r in core.collect())  # at most SMALL_MATRIX
+        at = {name: i for i, name in enumerate(names)}
+        matrix = np.zeros((n, n))
+        for x, y, f in cells.collect():
+            matrix[at[x], at[y]] = f
+        matrix -= matrix.mean(0)
+        axis = np.linalg.svd(matrix)[2][0]
+        scored = spark.createDataFrame([(name, float(v)) for name, v in zip(names, matrix @ axis)], "label string, score double")
+    else:
+        scored = _principal_axis(cells, core, n)
+    scored = materialize(scored)
+    sign = 1.0 if n < 2 or flat else math.copysign(1.0, scored.agg(F.max_by("score", F.struct(F.round(F.abs("score"), 6), "label"))).first()[0])
+    every = scored.select("label", (F.col("score") * sign).alias("score"), F.lit(False).alias("last")).unionByName(special.select("label", F.lit(0.0).alias("score"), F.lit(True).alias("last")))
+    return running_sum(every, [], ["last", "score", "label"], name="before").select("label", (F.col("before") + 1).cast("int").alias("place"))

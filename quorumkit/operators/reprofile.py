@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -175,16 +174,32 @@ def roc_points(scored: DataFrame, probability: str = "probability", label: str =
     return scored.select(F.col(label).alias("__y"), F.posexplode(vector_to_array(probability)).alias("k", "score")).select("score", (F.col("k") == F.col("__y")).cast("double").alias("label"))
 
 
+def auc_table(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., auc, positives, negatives): the exact area under the ROC curve of (score, label) points.
+
+    The share of pairs in which the positive has the larger score, equal scores
+    counting half: midranks, from running sums over range partitions of the
+    distinct scores. Null without a point of either kind.
+    """
+    keys = list(keys)
+    cells = points.groupBy(*keys, "score").agg(F.sum("label").cast("long").alias("p"), F.sum(1 - F.col("label")).cast("long").alias("n"))
+    below = running_sum(cells, keys, ["score"], F.col("n"), "below")
+    won = F.sum(F.col("p") * (F.col("below") + F.col("n") / 2))
+    positives, negatives = F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
+    return below.groupBy(*keys).agg(F.try_divide(won, positives.cast("double") * negatives).alias("auc"), positives.alias("positives"), negatives.alias("negatives"))
+
+
 def micro_auc(points: DataFrame) -> float:
-    return BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC").evaluate(points)
+    return auc_table(points).first()["auc"]
 
 
-def roc_curve(points: DataFrame, steps: int = 1000) -> DataFrame:
-    """(fpr, tpr) at ``steps`` score levels; the levels bound what a window has to sort."""
-    cells = points.groupBy(F.round(F.col("score") * steps).alias("cell")).agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
-    by = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return cells.select((F.col("cell") / steps).alias("score"), (F.sum("n").over(by) / F.sum("n").over(every)).alias("fpr"), (F.sum("p").over(by) / F.sum("p").over(every)).alias("tpr"))
+def roc_curve(points: DataFrame) -> DataFrame:
+    """(score, fpr, tpr) at every distinct score: the shares of negatives and positives with that score or more."""
+    cells = points.groupBy("score").agg(F.sum("label").cast("long").alias("p"), F.sum(1 - F.col("label")).cast("long").alias("n"))
+    above = running_sum(running_sum(cells, [], [F.desc("score")], F.col("p"), "p_above"), [], [F.desc("score")], F.col("n"), "n_above")
+    p, n = cells.agg(F.sum("p"), F.sum("n")).first()
+    share = lambda x, all_of: (F.try_divide(F.col(f"{x}_above") + F.col(x), F.lit(all_of).cast("double")))
+    return above.select("score", share("n", n).alias("fpr"), share("p", p).alias("tpr"))
 
 
 def reprofile(votes: DataFrame, training: DataFrame, features: DataFrame | None = None, **settings) -> DataFrame | None:

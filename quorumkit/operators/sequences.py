@@ -42,7 +42,7 @@ def split_contigs(contigs: DataFrame, percent: float) -> DataFrame:
 
 
 def mutate_sequences(contigs: DataFrame, rate: float, seed: int = 42) -> DataFrame:
-    return contigs.withColumn("sequence", S.mutate(F.col("sequence"), F.xxhash64("header"), rate, seed))
+    return contigs.withColumn("sequence", S.mutate(F.col("sequence"), F.col("header"), rate, seed))
 
 
 def _frames(contigs: DataFrame, unknown: str = "X") -> DataFrame:
@@ -66,6 +66,38 @@ def open_reading_frames(contigs: DataFrame, min_aa: int = 15) -> DataFrame:
     return numbered.select("file", "taxid", F.col("orf_no").cast("int").alias("orf_no"), "aa")
 
 
+#: Characters of a gram of the substring index.
+GRAM = 4
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct runs of ``size`` characters; a shorter text has none."""
+    last = F.length(text) - size + 1
+    return F.when(last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, size)))).otherwise(F.array().cast("array<string>"))
+
+
+def containing(wanted: DataFrame, part: str, texts: DataFrame, text: str) -> DataFrame:
+    """Rows of ``wanted`` with each row of ``texts`` whose ``text`` contains their ``part``.
+
+    An inverted index instead of a nested loop: texts are found by their grams
+    of ``GRAM`` characters, a part asks for its rarest gram alone, and what comes
+    back is compared in full. Parts shorter than a gram ask for themselves, in
+    an index of that size. Empty and null parts find nothing.
+    """
+    probes = wanted.select(F.col(part).alias("__part")).where("__part <> ''").distinct().withColumn("__size", F.least(F.length("__part"), F.lit(GRAM)))
+    sizes = sorted(r["__size"] for r in probes.select("__size").distinct().collect())  # at most GRAM
+    if not sizes:
+        return wanted.join(texts, F.lit(False))
+    keys = texts.select(F.col(text).alias("__text")).distinct()
+    index = keys.select("__text", F.explode(F.array(*map(F.lit, sizes))).alias("__size")).select("__text", "__size", F.explode(_grams(F.col("__text"), F.col("__size"))).alias("__gram"))
+    asked = probes.select("__part", "__size", F.explode(_grams(F.col("__part"), F.col("__size"))).alias("__gram"))
+    index = index.join(asked.select("__gram").distinct(), "__gram", "left_semi")
+    counts = index.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rare = asked.join(counts, "__gram", "left").groupBy("__part").agg(F.min_by("__gram", F.struct(F.coalesce("__n", F.lit(0)), "__gram")).alias("__gram"))
+    found = rare.join(index.select("__gram", "__text"), "__gram").where(F.contains("__text", "__part")).select("__part", "__text")
+    return wanted.join(found, F.col(part) == F.col("__part")).drop("__part").join(texts, F.col(text) == F.col("__text")).drop("__text")
+
+
 def coding_sequences(features: DataFrame, contigs: DataFrame, min_aa: int = 10) -> DataFrame:
     """Proteins of CDS features: protein_id, aa.
 
@@ -81,7 +113,7 @@ def coding_sequences(features: DataFrame, contigs: DataFrame, min_aa: int = 10)
     exact = cds.join(named.withColumnRenamed("contig", "seqid"), "seqid")
     rest = cds.join(named.select(F.col("contig").alias("seqid")), "seqid", "left_anti")
     wanted = rest.select("seqid").distinct()
-    near = wanted.join(named, F.contains("contig", "seqid")).groupBy("seqid").agg(F.min_by("contig", "contig_no").alias("contig"))
+    near = containing(wanted, "seqid", named, "contig").groupBy("seqid").agg(F.min_by("contig", "contig_no").alias("contig"))
     loose = rest.join(near, "seqid").join(named, "contig").select(*exact.columns)
     whole = rest.join(near, "seqid", "left_anti").select("protein_id").distinct()
     rows = exact.unionByName(loose).join(whole, "protein_id", "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quorumkit.functions import labels as L
 from quorumkit.functions import sequence as S
 from quorumkit.operators import abundance as A
-from quorumkit.operators import allocate, combine, features, metrics, reprofile, sequences, synth, taxonomy
+from quorumkit.operators import allocate, combine, features, metrics, registry, reprofile, sequences, synth, taxonomy
 from quorumkit.plans import inputs as I
 from quorumkit.sinks import tables as K
 from quorumkit.sources import reports, sequences as seqio, tables as T
@@ -151,12 +151,57 @@ def matrix_pivot(spark, d):
     return metrics.pivot_matrix(_counts(spark, d), "true", "pred", ["0", "101", "102"])
 
 
-@query()
+_AXIS = _CV + """, u AS (SELECT a AS x, b AS y, freq AS f FROM cv UNION ALL SELECT b, a, freq FROM cv WHERE a <> b),
+    core AS (SELECT DISTINCT x AS label FROM u WHERE x NOT IN ('0', 'other')),
+    cell AS (SELECT c.label AS x, r.label AS y, coalesce(sum(f), 0)::double AS f FROM core c CROSS JOIN core r LEFT JOIN u ON u.x = c.label AND u.y = r.label GROUP BY ALL),
+    centred AS MATERIALIZED (SELECT x, y, f - avg(f) OVER (PARTITION BY y) AS f FROM cell),
+    col AS (SELECT y, list(f ORDER BY x) AS v FROM centred GROUP BY y),
+    gram AS (SELECT list(row ORDER BY y) AS m FROM (SELECT a.y, list(list_dot_product(a.v, b.v) ORDER BY b.y) AS row FROM col a CROSS JOIN col b GROUP BY a.y)),
+    power(k, m) AS (SELECT 0, m FROM gram UNION ALL SELECT k + 1, list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / list_sum(list_transform(m, lambda z: list_dot_product(z, z))))) FROM power WHERE k < 24),
+    axis AS (SELECT unnest(list_transform(m, lambda r: r[1])) AS w, unnest(range(1, len(m) + 1)) AS i FROM power WHERE k = 24),
+    score AS (SELECT x AS label, sum(f * w) AS s FROM centred JOIN (SELECT label, row_number() OVER (ORDER BY label) AS i FROM core) n ON n.label = y JOIN axis ON axis.i = n.i GROUP BY x),
+    turned AS (SELECT label, s * (SELECT sign(arg_max(s, abs(s))) FROM score) AS s, false AS last FROM score UNION ALL SELECT DISTINCT x, 0.0, true FROM u WHERE x IN ('0', 'other'))"""
+
+
+@query(f"WITH RECURSIVE {_AXIS} SELECT label, row_number() OVER (ORDER BY last, s, label)::int AS place FROM turned")
 def label_order(spark, d):
+    """All labels along the principal axis; SQL finds it by squaring the product matrix again and again."""
     pairs = metrics.cross_validation(I.votes(spark, d)).groupBy("a", "b").agg(F.sum("freq").alias("freq"))
     return metrics.label_order(pairs)
 
 
+@query(
+    f"""WITH {_VOTES}, s AS (SELECT v.annotator, confidence AS score, (v.label = v."true")::int AS y FROM votes v JOIN calls USING (seq)), c AS (SELECT annotator, score, sum(y) AS p, count(*) - sum(y) AS n FROM s GROUP BY ALL),
+    b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY annotator ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)
+    SELECT annotator, round(sum(p * (below + n / 2.0))::double / (sum(p) * sum(n))::double, 6) AS auc, sum(p)::bigint AS positives, sum(n)::bigint AS negatives FROM b GROUP BY annotator"""
+)
+def vote_auc(spark, d):
+    """How well the confidence tells right votes from wrong ones, with many equal scores."""
+    votes = I.calls(spark, d).unpivot(["seq", "true", "confidence"], list(I.ANNOTATORS), "annotator", "label")
+    points = votes.select("annotator", F.col("confidence").alias("score"), (F.col("label") == F.col("true")).cast("double").alias("label"))
+    return reprofile.auc_table(points, ["annotator"]).withColumn("auc", F.round("auc", 6))
+
+
+@query(
+    f"""WITH {_CALLS}, c AS (SELECT l_quantity AS score, sum(("taxID_a_0" = "true")::int) AS p, sum(("taxID_a_0" <> "true")::int) AS n FROM calls GROUP BY ALL)
+    SELECT score, round(sum(n) OVER (ORDER BY score DESC)::double / (SELECT sum(n) FROM c), 6) AS fpr, round(sum(p) OVER (ORDER BY score DESC)::double / (SELECT sum(p) FROM c), 6) AS tpr FROM c"""
+)
+def vote_roc(spark, d):
+    points = I.calls(spark, d).select(F.col("l_quantity").alias("score"), (F.col("taxID_a_0") == F.col("true")).cast("double").alias("label"))
+    return reprofile.roc_curve(points).select("score", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+
+
+@query(
+    """WITH w AS (SELECT DISTINCT substr(c_name, length(c_name) - c_custkey % 6) AS part FROM customer), t AS (SELECT DISTINCT s_name FROM supplier)
+    SELECT part, count(*) AS n, min(s_name) AS first_name FROM w JOIN t ON contains(s_name, part) GROUP BY part"""
+)
+def substring_index(spark, d):
+    """Names that contain parts of one to six letters."""
+    c = I.table(spark, d, "customer").select(F.expr("substr(c_name, cast(length(c_name) - c_custkey % 6 AS int))").alias("part")).distinct()
+    found = sequences.containing(c, "part", I.table(spark, d, "supplier").select("s_name").distinct(), "s_name")
+    return found.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("s_name").alias("first_name"))
+
+
 # reports and combination ----------------------------------------------------
 
 
@@ -519,9 +564,46 @@ def fasta_lines(spark, d):
     return K.fasta_lines(I.contigs(spark, d))
 
 
-@query()
+_DRAW = "('0x' || substr(md5({header} || '/42/' || {k}), {at}, 8))::bigint"
+_JUMP = "1 + floor(ln((" + _DRAW + " + 0.5) / 4294967296) / ln(1 - 0.02))::bigint"
+
+
+@query(
+    f"""WITH RECURSIVE {_CONTIGS}, hit AS (SELECT header, sequence, 0::bigint AS k, 0::bigint AS before, {_JUMP.format(header='header', k=0, at=1)} AS spot FROM contigs
+        UNION ALL SELECT header, sequence, k + 1, spot, spot + {_JUMP.format(header='header', k='(k + 1)', at=1)} FROM hit WHERE spot <= length(sequence)),
+    new AS (SELECT *, replace('ACGT', substr(sequence, spot, 1), '') AS others FROM hit WHERE spot <= length(sequence)),
+    part AS (SELECT header, k, spot, substr(sequence, before + 1, spot - before - 1) || substr(others, ({_DRAW.format(header='header', k='k', at=9)} % length(others) + 1)::int, 1) AS p FROM new),
+    all_parts AS (SELECT header, string_agg(p, '' ORDER BY k) AS p, max(spot) AS last FROM part GROUP BY header)
+    SELECT c.header, md5(coalesce(p, '') || substr(sequence, coalesce(last, 0) + 1)) AS sequence_md5 FROM contigs c LEFT JOIN all_parts a ON a.header = c.header"""
+)
 def mutated_sequences(spark, d):
-    return sequences.mutate_sequences(I.contigs(spark, d), 0.02).select("header", "sequence")
+    return sequences.mutate_sequences(I.contigs(spark, d), 0.02).select("header", F.md5("sequence").alias("sequence_md5"))
+
+
+class _Pieces:
+    """An emitter that numbers the pieces of all rows of its partition."""
+
+    def __init__(self):
+        self.n = self.letters = 0
+
+    def rows(self, row):
+        for at in range(0, len(row["sequence"]), 1000):
+            piece = row["sequence"][at : at + 1000]
+            self.n, self.letters = self.n + 1, self.letters + len(piece)
+            yield row["header"], self.n, len(piece)
+
+    def finish(self):
+        yield None, self.n + 1, self.letters
+
+
+@query(
+    f"""WITH {_CONTIGS}, p AS (SELECT file, header, contig_no, ofs, length(substr(sequence, ofs + 1, 1000)) AS length FROM (SELECT *, unnest(range(0, length(sequence), 1000)) AS ofs FROM contigs))
+    SELECT file, header, row_number() OVER (PARTITION BY file ORDER BY contig_no, ofs)::bigint AS piece, length::bigint AS length FROM p UNION ALL SELECT file, NULL, count(*) + 1, sum(length)::bigint FROM p GROUP BY file"""
+)
+def emitted_pieces(spark, d):
+    """A user's stateful emitter as a table function over partitions."""
+    registry.register_emitter(spark, "contig_pieces", _Pieces, "header string, piece bigint, length bigint")
+    return spark.sql("SELECT file, header, piece, length FROM contig_pieces(TABLE(SELECT * FROM {contigs}) PARTITION BY file ORDER BY (contig_no), 'file')", contigs=I.contigs(spark, d))
 
 
 @query("SELECT doc_id::varchar AS read_id, row_number() OVER (ORDER BY doc_id::varchar) AS place FROM documents")

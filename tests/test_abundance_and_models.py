@@ -219,7 +219,7 @@ def test_a_folder_of_votes_is_reprofiled(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text("\n".join(lines))
     files = [str(tmp_path / f"{n}.csv") for n in ("s1", "s2")]
     out = reprofile.reprofile_directory(spark, files, files, str(tmp_path / "out"), trees=3, rounds=2)
-    assert sorted(p.name for p in (tmp_path / "out").glob("part=*")) == ["part=s1_reprofiled", "part=s2_reprofiled"]
+    assert sorted(p.name for p in (tmp_path / "out").glob("*.csv")) == ["s1_reprofiled.csv", "s2_reprofiled.csv"]
     got = {(r["sample"], r["seq"]): r["corrected"] for r in out.collect()}
     assert got["s1", "r3"] == "101" and got["s2", "u1"] == "0" and len(got) == 122
     assert reprofile.reprofile_directory(spark, [], files, str(tmp_path / "none")) is None and not (tmp_path / "none").exists()
