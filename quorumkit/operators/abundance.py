@@ -107,6 +107,12 @@ def observed_samples(votes: DataFrame, n_samples: int | None = None) -> int:
     return max(1, votes.select(F.countDistinct("sample")).first()[0])
 
 
+def sample_number(votes: DataFrame, n_samples: int | None = None) -> DataFrame:
+    """One row with the same number as a table (n)."""
+    asked = int(n_samples) if n_samples and n_samples > 0 else 0
+    return votes.agg(F.when(F.lit(asked > 0), F.lit(asked).cast("long")).otherwise(F.greatest(F.countDistinct("sample"), F.lit(1))).alias("n"))
+
+
 def label_pairs(abundance: DataFrame) -> DataFrame:
     """annotator, a, b, x, y, sample for all ordered pairs of labels, with zeros filled in.
 

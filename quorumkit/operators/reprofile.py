@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorumkit.functions.labels import all_unclassified, fill_votes, label_number, tool_name
+from quorumkit.operators.boosting import StumpBooster, StumpBoosterModel
 from quorumkit.operators.ranking import running_sum
-from quorumkit.sinks.shared import shared_dir
 from quorumkit.sinks.tables import write_reprofiled
 from quorumkit.sources.tables import read_pooled
 
-TREES, ROUNDS, SEED = 100, 100, 42
-#: Rounds of boosting between writes of the weights to the checkpoint folder.
-CUT_EVERY = 10
+#: Depth is the most that Spark's trees can have.
+TREES, ROUNDS, SEED, DEPTH = 100, 100, 42, 30
 
 
 def feature_columns(columns: Sequence[str]) -> list[str]:
@@ -44,62 +42,9 @@ def assemble(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
 
 
-@dataclass
-class BoostedStumps:
-    """Multi-class AdaBoost over decision stumps (SAMME)."""
-
-    stumps: list[tuple[DecisionTreeClassificationModel, float]] = field(default_factory=list)
-    classes: int = 2
-
-    def transform(self, rows: DataFrame) -> DataFrame:
-        """Adds prediction and probability (an array): normalised sums of the stumps' weights."""
-        votes = F.array(*([F.lit(0.0)] * self.classes))
-        out, columns = rows, []
-        for i, (stump, alpha) in enumerate(self.stumps):
-            stump = stump.copy().setPredictionCol(f"__p{i}").setRawPredictionCol("").setProbabilityCol("")
-            out = stump.transform(out)
-            columns.append(F.struct(F.col(f"__p{i}").alias("c"), F.lit(alpha).alias("a")))
-        if columns:
-            each = F.array(*columns)
-            votes = F.transform(F.sequence(F.lit(0), F.lit(self.classes - 1)), lambda k: F.aggregate(F.filter(each, lambda s: s["c"] == k), F.lit(0.0), lambda t, s: t + s["a"]))
-        total = F.aggregate(F.col("__v"), F.lit(0.0), lambda a, b: a + b)
-        out = out.withColumn("__v", votes).withColumn("scores", F.when(total > 0, F.transform("__v", lambda x: x / total)).otherwise(F.col("__v")))
-        best = (F.array_position("scores", F.array_max("scores")) - 1).cast("double")
-        return out.withColumn("prediction", best).drop("__v", *(f"__p{i}" for i in range(len(self.stumps))))
-
-
-def fit_boosted(rows: DataFrame, classes: int, rounds: int = ROUNDS) -> BoostedStumps:
-    """SAMME: each round fits a stump to the weighted rows and raises the weight of its errors.
-
-    Stops when a stump makes no error or is no better than guessing. The
-    weights' lineage is cut every few rounds by a checkpoint.
-    """
-    n = rows.count()
-    model = BoostedStumps(classes=classes)
-    if not n or classes < 2:
-        return model
-    work = rows.select("features", "label").withColumn("w", F.lit(1.0 / n))
-    if not rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
-    work = work.persist()
-    for i in range(rounds):
-        stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=SEED).fit(work)
-        miss = (F.col("prediction") != F.col("label")).cast("double")
-        scored = stump.transform(work).select("features", "label", "w", miss.alias("miss"))
-        error = scored.agg(F.sum(F.col("w") * F.col("miss")) / F.sum("w")).first()[0]
-        if error >= 1 - 1 / classes:
-            break
-        alpha = math.log((1 - max(error, 1e-10)) / max(error, 1e-10)) + math.log(classes - 1)
-        model.stumps.append((stump, alpha))
-        if error <= 0:
-            break
-        total = 1 - error + error * math.exp(alpha)  # weights sum to one before
-        grown = scored.select("features", "label", (F.col("w") * F.exp(F.lit(alpha) * F.col("miss")) / total).alias("w"))
-        before, work = work, grown.checkpoint() if i % CUT_EVERY == CUT_EVERY - 1 else grown.persist()
-        work.count()  # from the rows before, which are then let go
-        before.unpersist()
-    work.unpersist()
-    return model
+def fit_boosted(rows: DataFrame, rounds: int = ROUNDS) -> StumpBoosterModel:
+    """SAMME over stumps; rows have features and label."""
+    return StumpBooster(rounds=rounds).fit(rows)
 
 
 @dataclass
@@ -115,17 +60,16 @@ class Reprofiler:
     def score(self, rows: DataFrame) -> DataFrame:
         """Adds model_label and model_confidence (the largest class probability)."""
         out = self.model.transform(assemble(rows, self.features))
-        share = F.col("scores") if isinstance(self.model, BoostedStumps) else vector_to_array("probability")
-        names = F.array(*map(F.lit, self.labels.labels))
-        out = out.withColumns({"model_label": F.get(names, F.col("prediction").cast("int")), "model_confidence": F.array_max(share)})
-        return out.drop("features", "rawPrediction", "probability", "prediction", "scores", "indexed")
+        out = IndexToString(inputCol="prediction", outputCol="model_label", labels=[*self.labels.labels, "0"]).transform(out)
+        return out.withColumn("model_confidence", F.array_max(vector_to_array("probability"))).drop("features", "rawPrediction", "probability", "prediction", "indexed")
 
 
-def train(rows: DataFrame, trees: int = TREES, rounds: int = ROUNDS, test_share: float = 0.2, seed: int = SEED, max_bins: int = 128) -> Reprofiler | None:
+def train(rows: DataFrame, trees: int = TREES, rounds: int = ROUNDS, test_share: float = 0.2, seed: int = SEED, depth: int = DEPTH) -> Reprofiler | None:
     """Random forest and boosted stumps on votes and features; the more accurate one on the hold-out.
 
     A tie goes to the forest. No row with a truth gives None. Label columns are
-    numbers; maxBins keeps their values apart up to ``max_bins`` of them.
+    numbers; there are as many bins as the largest number of values of one of
+    them, so different labels never fall into one bin.
     """
     known = rows.where(F.col("true").isNotNull() & (F.col("true") != ""))
     features = feature_columns(rows.columns)
@@ -135,8 +79,11 @@ def train(rows: DataFrame, trees: int = TREES, rounds: int = ROUNDS, test_share:
     labels = StringIndexer(inputCol="true", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(known)
     ready = labels.transform(assemble(split, features)).select("features", "label", "is_test").persist()
     fit, test = ready.where("NOT is_test"), ready.where("is_test")
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=12, maxBins=max_bins, seed=seed).fit(fit)
-    boosted = fit_boosted(fit, len(labels.labels), rounds)
+    votes = [c for c in features if tool_name(c)]
+    counts = known.agg(*(F.countDistinct(F.col(f"`{c}`")) for c in votes)).first() if votes else []
+    bins = max([32, *(int(c) + 1 for c in counts)])
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed).fit(fit)
+    boosted = StumpBooster(rounds=rounds, maxBins=bins).fit(fit)
     accuracy = {}
     for name, m in (("RandomForest", forest), ("AdaBoost", boosted)):
         accuracy[name] = m.transform(test).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] or 0.0
@@ -228,14 +175,8 @@ def reprofile_directory(spark: SparkSession, votes: Sequence[str], training: Seq
 def save_model(model: Reprofiler, path: str) -> None:
     """Write a re-profiler of either kind to a folder."""
     spark = SparkSession.active()
-    boosted = isinstance(model.model, BoostedStumps)
     facts = {"name": model.name, "features": model.features, "accuracy": model.accuracy}
-    if boosted:
-        facts |= {"classes": model.model.classes, "weights": [a for _, a in model.model.stumps]}
-        for i, (stump, _) in enumerate(model.model.stumps):
-            stump.write().overwrite().save(f"{path}/stump-{i}")
-    else:
-        model.model.write().overwrite().save(f"{path}/forest")
+    model.model.write().overwrite().save(f"{path}/model")
     model.labels.write().overwrite().save(f"{path}/labels")
     spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
 
@@ -243,9 +184,6 @@ def save_model(model: Reprofiler, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> Reprofiler:
     """A saved re-profiler, ready for ``apply_reprofiler``."""
     facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
-    if "weights" in facts:
-        stumps = [(DecisionTreeClassificationModel.load(f"{path}/stump-{i}"), a) for i, a in enumerate(facts["weights"])]
-        model = BoostedStumps(stumps, facts["classes"])
-    else:
-        model = RandomForestClassificationModel.load(f"{path}/forest")
+    kind = StumpBoosterModel if facts["name"] == "AdaBoost" else RandomForestClassificationModel
+    model = kind.load(f"{path}/model")
     return Reprofiler(facts["name"], model, StringIndexerModel.load(f"{path}/labels"), facts["features"], facts["accuracy"])

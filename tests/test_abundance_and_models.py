@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quorumkit.functions import sequence as S
@@ -147,10 +148,10 @@ def test_reprofiler_learns_and_overrides(spark, training):
 
 def test_boosting_separates_three_classes(spark, training):
     ready = reprofile.assemble(training, ["taxid_a", "taxid_b"]).withColumn("label", (F.col("true").cast("int") - 7).cast("double"))
-    boosted = reprofile.fit_boosted(ready, 3, rounds=12)
+    boosted = reprofile.fit_boosted(ready, rounds=12)
     got = boosted.transform(ready)
     assert got.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] > 0.85
-    assert got.where(F.abs(F.aggregate("scores", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
+    assert got.where(F.abs(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
 
 
 def test_split_is_stratified_and_stable(spark, training):
@@ -205,7 +206,7 @@ def test_registry(spark):
 def test_saved_models_of_both_kinds_give_the_same_labels(spark, tmp_path):
     rows = spark.createDataFrame([(f"r{i}", str(100 + i % 3), str(100 + (i % 3 if i % 5 else (i + 1) % 3)), "50", str(100 + i % 3)) for i in range(240)], "seq string, taxID_a_0 string, taxID_b_0 string, length string, true string")
     forest = reprofile.train(rows, trees=5, rounds=3)
-    boosted = reprofile.Reprofiler("AdaBoost", reprofile.fit_boosted(forest.labels.transform(reprofile.assemble(rows, forest.features)), 3, 3), forest.labels, forest.features, {})
+    boosted = reprofile.Reprofiler("AdaBoost", reprofile.fit_boosted(forest.labels.transform(reprofile.assemble(rows, forest.features)), 3), forest.labels, forest.features, {})
     for name, model in (("forest", forest), ("boosted", boosted)):
         reprofile.save_model(model, str(tmp_path / name))
         again = reprofile.load_model(spark, str(tmp_path / name))

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quorumkit.plans import catalogue, files  # noqa: F401
+from quorumkit.plans import catalogue, files, learning  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SLOW = {"reprofiled", "composition_clusters", "composition_classes"}
