@@ -4,8 +4,9 @@ Sixty-four minima of hashed shingles make sixteen bands of four; two texts with
 a Jaccard similarity of 0.8 agree on at least one band in all but two of ten
 thousand cases. Bands only propose: every link is decided on the whole shingle
 sets. Texts that are in one component already are not compared again, so copies
-of one text cost one comparison each with the first of their bucket, and only
-buckets that still hold several components compare all of these.
+of one text cost one comparison each with the first of their bucket, and buckets
+that still hold several components compare those of their rows that share one of
+their rarest shingles, which loses none.
 """
 
 from __future__ import annotations
@@ -89,32 +90,85 @@ def alike(common: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -
     return common >= similarity * (a + b - common) - 1e-9
 
 
+class _Prefixes:
+    """An index of the rows of a bucket by their rarest shingles.
+
+    With all shingles in one order, two sets of similarity t share a shingle
+    among the first size - ceil(t * size) + 1 of each. Rarest first, so what all
+    rows of a bucket share is looked up by none that has enough of its own.
+    """
+
+    def __init__(self, roots: np.ndarray, sizes: np.ndarray, flat: np.ndarray, similarity: float):
+        token, count = np.unique(flat, return_inverse=True, return_counts=True)[1:]
+        place = np.empty(len(count), np.int64)
+        place[np.argsort(count, kind="stable")] = np.arange(len(count))
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((place[token], owner))
+        rank = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        length = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+        first = rank < length[owner]  # owner is the same before and after the sorting
+        self.token, self.row = place[token[order]][first], owner[first]
+        self.ends = np.cumsum(np.bincount(self.row, minlength=len(sizes)))
+        # postings in the order of token, root and row, so a row's own component is one stretch to leave out
+        self.base = int(roots.max()) + 1
+        key = self.token * self.base + roots[self.row]
+        by = np.argsort(key, kind="stable")
+        self.key, self.posted = key[by], self.row[by]
+
+    def partners(self, i: int, root: int) -> Iterator[np.ndarray]:
+        """For each of the first shingles of row i the rows of other roots that have it among theirs, rarest shingle first."""
+        mine = self.token[(self.ends[i - 1] if i else 0) : self.ends[i]]
+        low, high = np.searchsorted(self.key, mine * self.base), np.searchsorted(self.key, (mine + 1) * self.base)
+        own, after = np.searchsorted(self.key, mine * self.base + root), np.searchsorted(self.key, mine * self.base + root, "right")
+        for a, b, c, d in zip(low.tolist(), own.tolist(), after.tolist(), high.tolist()):
+            if b - a + d - c:
+                yield np.concatenate([self.posted[a:b], self.posted[c:d]])
+
+
 def link_sets(roots: np.ndarray, sizes: np.ndarray, flat: np.ndarray, similarity: float, chunk: np.ndarray) -> list[tuple[int, int]]:
     """Spanning links (row, row) of one bucket between rows of different roots.
 
-    ``flat`` holds the rows' shingles one after the other. Rows of one chunk are
-    compared with each other only if the bucket holds no second chunk.
+    ``flat`` holds the rows' distinct shingles one after the other. Rows of one
+    chunk are compared with each other only if the bucket holds no second chunk.
+    A row is compared with those alone that share one of its rarest shingles.
     """
     comp = np.unique(roots, return_inverse=True)[1]
-    ends = np.cumsum(sizes)
-    order = np.argsort(flat, kind="stable")
-    values, owners = flat[order], np.repeat(np.arange(len(sizes)), sizes)[order]
-    crossed, links = len(np.unique(chunk)) > 1, []
+    members = {c: np.flatnonzero(comp == c) for c in range(comp.max() + 1)} if len(comp) else {}
+    if len(members) < 2:
+        return []
+    index, fixed = _Prefixes(comp, sizes, flat, similarity), comp.copy()
+    starts, crossed, links = np.cumsum(sizes) - sizes, len(np.unique(chunk)) > 1, []
+    met = np.full(len(sizes), -1)
+
+    def near(i: int, some: np.ndarray) -> np.ndarray:
+        mine, n = np.sort(flat[starts[i] : starts[i] + sizes[i]]), sizes[some]
+        theirs = flat[np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        common = np.add.reduceat((mine[at] == theirs).astype(np.int64), np.cumsum(n) - n)
+        return some[alike(common, sizes[i], n, similarity)]
+
     for i in range(len(sizes)):
-        if (comp == comp[0]).all():
+        if len(members) < 2:
             break
-        mine = flat[ends[i] - sizes[i] : ends[i]]
-        low = np.searchsorted(values, mine)
-        count = np.searchsorted(values, mine, side="right") - low
-        rows = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        common = np.bincount(owners[rows], minlength=len(sizes))
-        near = alike(common, sizes[i], sizes, similarity) & (comp != comp[i]) & (common > 0)
-        if crossed:
-            near &= chunk != chunk[i]
-        for j in np.flatnonzero(near):
-            if comp[j] != comp[i]:
-                comp[comp == comp[j]] = comp[i]
-                links.append((i, int(j)))
+        for rows in index.partners(i, int(fixed[i])):
+            some = rows[(rows < i) & (met[rows] != i) & (comp[rows] != comp[i])]
+            if crossed:
+                some = some[chunk[some] != chunk[i]]
+            some = some[(sizes[some] >= similarity * sizes[i] - 1e-9) & (sizes[i] >= similarity * sizes[some] - 1e-9)]
+            # one of each component first, as a link settles all of its rows; then the rows of components without one
+            first = np.zeros(len(some), bool)
+            first[np.unique(comp[some], return_index=True)[1]] = True
+            for part in (some[first], some[~first]):
+                part = part[comp[part] != comp[i]]
+                if not len(part):
+                    continue
+                met[part] = i
+                for j in near(i, part).tolist():
+                    if comp[j] != comp[i]:
+                        small, large = sorted((int(comp[i]), int(comp[j])), key=lambda c: len(members[c]))
+                        comp[members[small]] = large
+                        members[large] = np.concatenate([members[large], members.pop(small)])
+                        links.append((i, j))
     return links
 
 

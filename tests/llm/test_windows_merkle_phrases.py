@@ -233,3 +233,74 @@ def test_products_beyond_64_bits(spark):
     a, n, left, right = 4_000_000_000_000, 20_000_000_000_001, 5_000_000_000_003, 6_000_000_000_007
     counts = spark.createDataFrame([(a, n, left, right)], "a long, n long, l long, r long")
     assert counts.select(collocation.exact_score()).first()[0] == 1000 * a * n // (left * right)
+
+
+# earlier operators ----------------------------------------------------------
+
+
+def test_buckets_link_as_all_pairs_would():
+    """Spanning links of a bucket against all pairs, for random roots, chunks and similarities."""
+    from quorumkit.llm.resemblance import link_sets
+
+    def classes(n, edges):
+        own = list(range(n))
+        for a, b in edges:
+            x, y = own[a], own[b]
+            own = [x if c == y else c for c in own]
+        return [own.index(c) for c in own]
+
+    for seed in range(200):
+        r = np.random.default_rng(seed)
+        n = int(r.integers(1, 30))
+        rows = [r.permutation(np.unique(r.integers(-7, 7, r.integers(1, 12)))) for _ in range(n)]
+        roots, chunk, similarity = r.integers(0, n, n), r.integers(0, r.integers(1, 3), n), [0.5, 0.8][seed % 2]
+        got = link_sets(roots, np.array([len(x) for x in rows]), np.concatenate(rows), similarity, chunk)
+        crossed = len(set(chunk)) > 1
+        pairs = [(i, j) for i in range(n) for j in range(i)]
+        near = {(i, j) for i, j in pairs if len(np.intersect1d(rows[i], rows[j])) >= similarity * len(np.union1d(rows[i], rows[j])) - 1e-9 and (not crossed or chunk[i] != chunk[j])}
+        same = [(i, j) for i, j in pairs if roots[i] == roots[j]]
+        assert classes(n, [*same, *got]) == classes(n, [*same, *near])
+        assert {(max(e), min(e)) for e in got} <= near
+
+
+def test_shared_boilerplate_is_never_compared():
+    """10,000 rows that share 140 of 200 shingles: no links, in seconds."""
+    import time
+
+    from quorumkit.llm.resemblance import link_sets
+
+    r = np.random.default_rng(1)
+    shared, n = r.integers(-(1 << 62), 1 << 62, 140), 10_000
+    flat = np.concatenate([np.concatenate([shared, r.integers(-(1 << 62), 1 << 62, 60)]) for _ in range(n)])
+    began = time.time()
+    assert link_sets(np.arange(n), np.full(n, 200), flat, 0.8, np.zeros(n, int)) == []
+    assert time.time() - began < 30
+
+
+def test_nearest_of_tiny_and_huge_vectors(spark):
+    """Components of any finite size take part, and scores are those of the directions."""
+    from quorumkit.llm import ann
+
+    r = np.random.default_rng(2)
+    base = r.normal(size=(40, 8))
+    rows = [(i, (base[i] * scale).tolist()) for i, scale in zip(range(40), [1.0, 1e200, 1e-200, 1e-160, 5e-310, 1e300] * 7)]
+    rows[0] = (0, base[1].tolist())
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in ann.nearest(frame, 5, 50).orderBy("rank").collect()]
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    cosine = unit @ unit[1]
+    cosine[0] = -2
+    assert [g[2] for g in got] == np.argsort(-cosine)[:5].tolist() and got[0][2] == 1 and abs(got[0][3] - 1) < 1e-12
+    assert np.allclose([g[3] for g in got], np.sort(cosine)[::-1][:5], atol=1e-6)
+
+
+def test_one_id_with_two_recordings_keeps_both(spark):
+    """Classes are told apart by their fingerprints, not by their names."""
+    from quorumkit.llm import chroma
+
+    r = np.random.default_rng(3)
+    a, b = (r.integers(0, 255, 6000).astype(np.uint8).tobytes() for _ in range(2))
+    apart = chroma.search_recordings(spark.createDataFrame([(50, bytearray(a)), (100, bytearray(b)), (5, bytearray(a)), (6, bytearray(b))], "rec_id long, media binary"), 5, 50)
+    shared = chroma.search_recordings(spark.createDataFrame([(50, bytearray(a)), (100, bytearray(b)), (5, bytearray(a)), (5, bytearray(b))], "rec_id long, media binary"), 5, 50)
+    assert {(x.query_id, x.match_id) for x in apart.where("bit_error = 0").collect()} == {(50, 5), (100, 6)}
+    assert {(x.query_id, x.match_id) for x in shared.where("bit_error = 0").collect()} == {(50, 5), (100, 5)}
