@@ -128,6 +128,9 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     repeated rows are candidates of their own. Fewer candidates than k give all.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
+    # a power of two near the largest component: cosines stay as they are, and no square leaves the range of doubles
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform("v", F.abs)))))
+    rows = rows.withColumn("scale", scale).select("vec_id", F.transform("v", lambda x: x / F.col("scale")).alias("v"))
     rows = materialize(rows.withColumn("m", F.monotonically_increasing_id()))
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(31)), "vec_id").limit(SAMPLE_ROWS).select("v").toArrow().to_pandas()["v"]
     width = int(sample.map(len).mode().iloc[0]) if len(sample) else 1
