@@ -162,7 +162,8 @@ def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> Dat
 
     recordings: rec_id (long) and media (binary). Queries are rows whose rec_id
     is divisible by ``every``. Equal fingerprints form one class, named by its
-    smallest rec_id; queries and candidates are classes, and a query's own class
+    smallest rec_id (two classes may share a name where one id has two different
+    recordings; both are candidates and queries); queries and candidates are classes, and a query's own class
     is its first match at offset 0 whenever the class has another member.
     Returns query_id, rank, match_id (a class), class_size, frame_offset, votes,
     overlap and bit_error, best first: fewest bit errors, longest overlap,
@@ -172,16 +173,17 @@ def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> Dat
     prints = recordings.where(F.col("rec_id").isNotNull()).select("rec_id", fingerprints(F.col("media")).alias("print")).where(F.size("print") > 0)
     prints = prints.withColumns({"h1": F.xxhash64("print"), "h2": F.hash("print")})
     rows = materialize(prints)
-    classes = materialize(rows.groupBy("h1", "h2").agg(F.min("rec_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.when(F.col("rec_id") % every == 0, F.col("rec_id"))).alias("query_id")))
-    of_class = rows.join(classes.select("h1", "h2", F.col("class_id").alias("rec_id"), "class_size", "query_id"), ["h1", "h2", "rec_id"]).dropDuplicates(["rec_id"])
-    of_class = materialize(of_class.select(F.col("rec_id").alias("class_id"), "print", "class_size", "query_id"))
+    classes = rows.groupBy("h1", "h2").agg(F.min("rec_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.when(F.col("rec_id") % every == 0, F.col("rec_id"))).alias("query_id"))
+    classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()))
+    of_class = rows.join(classes.select("h1", "h2", F.col("class_id").alias("rec_id"), "class_size", "query_id", "cls"), ["h1", "h2", "rec_id"]).dropDuplicates(["h1", "h2"])
+    of_class = materialize(of_class.select("cls", F.col("rec_id").alias("class_id"), "print", "class_size", "query_id"))
     total, n_queries = of_class.agg(F.count(F.lit(1)), F.count("query_id")).first()
     n_query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
     n_record_blocks = max(1, min(shuffle_partitions(rows.sparkSession), -(-total // 8192)), -(-total // RECORD_BLOCK))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = of_class.where(F.col("query_id").isNotNull()).select("class_id", "print", block("class_id", n_query_blocks).alias("qb"), every_block(n_record_blocks).alias("rb"))
-    right = of_class.select("class_id", "class_size", "print", block("class_id", n_record_blocks).alias("rb"), every_block(n_query_blocks).alias("qb"))
+    left = of_class.where(F.col("query_id").isNotNull()).select("cls", "print", block("cls", n_query_blocks).alias("qb"), every_block(n_record_blocks).alias("rb"))
+    right = of_class.select("cls", "class_id", "class_size", "print", block("cls", n_record_blocks).alias("rb"), every_block(n_query_blocks).alias("qb"))
 
     def match(queries: pa.Table, block: pa.Table) -> pa.Table:
         found = []
@@ -193,18 +195,18 @@ def search_recordings(recordings: DataFrame, k: int = 5, every: int = 50) -> Dat
             place = np.arange(len(flat)) - begins[record]
             order = np.argsort(flat, kind="stable")
             values, records, places = flat[order], record[order], place[order]
-            ids, sizes = block.column("class_id").to_numpy(), block.column("class_size").to_numpy()
-            for q, own in zip(queries.column("class_id").to_pylist(), queries.column("print")):
+            classes, ids, sizes = (block.column(c).to_numpy() for c in ("cls", "class_id", "class_size"))
+            for q, own in zip(queries.column("cls").to_pylist(), queries.column("print")):
                 got = alignments(own.values.to_numpy().view(np.uint32), values, records, places, begins, flat)
-                got = [(q, int(ids[r]), int(sizes[r]), o, c, n, e) for r, o, c, n, e in got if ids[r] != q or sizes[r] > 1]
+                got = [(q, int(ids[r]), int(sizes[r]), o, c, n, e) for r, o, c, n, e in got if classes[r] != q or sizes[r] > 1]
                 found += sorted(got, key=lambda x: (x[6], -x[5], x[1]))[:k]
-        names = ["class_id", "match_id", "class_size", "frame_offset", "votes", "overlap", "bit_error"]
+        names = ["cls", "match_id", "class_size", "frame_offset", "votes", "overlap", "bit_error"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         frame = pd.DataFrame(found, columns=names)
         return pa.Table.from_pandas(frame, pa.schema(list(zip(names, kinds))), preserve_index=False) if found else pa.schema(list(zip(names, kinds))).empty_table()
 
-    tops = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInArrow(match, "class_id long, match_id long, class_size long, frame_offset long, votes long, overlap long, bit_error double")
-    place = F.row_number().over(Window.partitionBy("class_id").orderBy("bit_error", F.desc("overlap"), "match_id"))
+    tops = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInArrow(match, "cls long, match_id long, class_size long, frame_offset long, votes long, overlap long, bit_error double")
+    place = F.row_number().over(Window.partitionBy("cls").orderBy("bit_error", F.desc("overlap"), "match_id"))
     tops = tops.withColumn("rank", place).where(F.col("rank") <= k)
-    asked = rows.where(F.col("rec_id") % every == 0).join(classes.select("h1", "h2", "class_id"), ["h1", "h2"]).select(F.col("rec_id").alias("query_id"), "class_id")
-    return asked.join(tops, "class_id").select("query_id", "rank", "match_id", "class_size", "frame_offset", "votes", "overlap", "bit_error")
+    asked = rows.where(F.col("rec_id") % every == 0).join(classes.select("h1", "h2", "cls"), ["h1", "h2"]).select(F.col("rec_id").alias("query_id"), "cls")
+    return asked.join(tops, "cls").select("query_id", "rank", "match_id", "class_size", "frame_offset", "votes", "overlap", "bit_error")
