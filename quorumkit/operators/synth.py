@@ -10,14 +10,15 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumkit.operators import abundance as A
+from quorumkit.operators import forests
+from quorumkit.operators.ranking import running_sum
 from quorumkit.sinks.shared import materialize
 
 MODES = {"direct": "direct", "preserve": "direct", "bootstrap": "bootstrap", "vae": "vae", "fa": "vae", "glm": "glm", "glm_python": "glm"}
@@ -185,128 +186,108 @@ def cluster_labels(corr: np.ndarray, min_size: int = 2, max_size: int = 100) ->
     return np.unique(own, return_inverse=True)[1]
 
 
-class PairModel:
-    """Fits of every ordered pair of rows of a small matrix: weights, presence and prediction."""
-
-    def __init__(self, values: np.ndarray):
-        on = values > 0
-        both = (on[:, None, :] & on[None, :, :]).astype(float)
-        n = both.sum(2)
-        with np.errstate(all="ignore"):
-            self.prob = np.where(on.sum(1)[:, None] > 0, n / on.sum(1)[:, None], 0.0)
-            sx, sy = (both * values[:, None, :]).sum(2), (both * values[None, :, :]).sum(2)
-            sxx, syy = (both * values[:, None, :] ** 2).sum(2), (both * values[None, :, :] ** 2).sum(2)
-            sxy = (both * values[:, None, :] * values[None, :, :]).sum(2)
-            vx, vy, cov = sxx - sx**2 / n, syy - sy**2 / n, sxy - sx * sy / n
-            flat = vx <= 1e-9 * np.maximum(sxx, 1)
-            x, y = sx / n, sy / n
-            slope = np.where(flat, x * y / (1 + x**2), cov / vx)
-            base = np.where(flat, y / (1 + x**2), y - slope * x)
-            r2 = np.where(flat | (vy <= 1e-12), 0.0, cov**2 / (vx * vy))
-            self.slope = np.where(n == 0, 0.0, np.where(n == 1, sx / sy, slope))
-            self.base = np.where(n <= 1, 0.0, base)
-            self.r2 = np.maximum(np.where(n <= 1, 0.0, r2), 1e-5)
-        np.fill_diagonal(self.prob, 1.0)
-        np.fill_diagonal(self.r2, 1.0)
-
-    def tree(self) -> list[list[tuple[int, float, float]]]:
-        """Neighbours (row, base, slope) of each row in the maximum spanning forest of the fits' weights."""
-        n = len(self.r2)
-        first, second = np.triu_indices(n, 1)
-        order = np.argsort(-np.maximum(self.r2, self.r2.T)[first, second], kind="stable")
-        group, near = np.arange(n), [[] for _ in range(n)]
-        for i, j in zip(first[order].tolist(), second[order].tolist()):
-            if group[i] != group[j]:
-                group[group == group[j]] = group[i]
-                near[i].append((j, float(self.base[i, j]), float(self.slope[i, j])))
-                near[j].append((i, float(self.base[j, i]), float(self.slope[j, i])))
-        return near
-
-
-@dataclass
-class PairTree:
-    """How the rows of a matrix follow from each other: presence and a spanning tree of pairwise fits."""
-
-    presence: np.ndarray  #: share of the samples with row i that have row j
-    near: list[list[tuple[int, float, float]]]
-
-    @classmethod
-    def of(cls, values: np.ndarray) -> "PairTree":
-        pairs = PairModel(values)
-        return cls(pairs.prob, pairs.tree())
-
-    def present(self, start: int, rng: np.random.Generator) -> np.ndarray:
-        """Rows that are there together with ``start``: their probability beats one drawn from all of them."""
-        known = self.presence[self.presence > 0]
-        there = self.presence[start] > (rng.choice(known, len(self.presence)) if known.size else 1.0)
-        there[start] = True
-        return there
-
-    def spread(self, start: int, level: float, rng: np.random.Generator, noise: float) -> np.ndarray:
-        """Expected value of each row, going out from ``start`` along the tree, with noise on every step."""
-        out = np.full(len(self.near), np.nan)
-        out[start], todo = max(0.0, level), [start]
-        for i in todo:
-            for j, base, slope in self.near[i]:
-                if np.isnan(out[j]):
-                    out[j] = max(0.0, (base + slope * out[i]) * rng.normal(1.0, noise))
-                    todo.append(j)
-        return np.nan_to_num(out)
-
-
-@dataclass
-class ClusterForest:
-    """Clusters of labels, a tree over the clusters' means and one over the labels of each cluster."""
-
-    values: np.ndarray
-    members: list[np.ndarray]
-    between: PairTree
-    within: list[PairTree]
-
-    @classmethod
-    def of(cls, values: np.ndarray, min_size: int, max_size: int) -> "ClusterForest":
-        values = np.maximum(values, 0)
-        corr = np.ones((len(values),) * 2)
-        if min(values.shape) > 1:
-            with np.errstate(all="ignore"):
-                corr = np.nan_to_num(np.corrcoef(np.log1p(values)))
-            np.fill_diagonal(corr, 1.0)
-        own = cluster_labels(corr, min_size, max_size)
-        members = [np.flatnonzero(own == c) for c in range(own.max() + 1)]
-        return cls(values, members, PairTree.of(np.stack([values[m].mean(0) for m in members])), [PairTree.of(values[m]) for m in members])
-
-    def sample(self, rng: np.random.Generator, noise: float) -> np.ndarray:
-        """One synthetic sample: presence of all clusters at once, their levels along the tree, then each one's labels likewise."""
-        out = np.zeros(len(self.values))
-        seen = np.flatnonzero(self.values.any(axis=1))
-        if not seen.size:
-            return out
-        start = int(rng.choice(seen))
-        home = next(c for c, m in enumerate(self.members) if start in m)
-        level = float(rng.choice(self.values[start][self.values[start] > 0]))
-        means = np.array([self.values[m].mean() for m in self.members])
-        expected = self.between.spread(home, level * means[home] / self.values[start].mean(), rng, noise)
-        for c in np.flatnonzero(self.between.present(home, rng)).tolist():
-            m = self.members[c]
-            ever = np.flatnonzero(self.values[m].any(axis=1))
-            if not ever.size:
-                continue
-            first = int(np.flatnonzero(m == start)[0]) if c == home else int(rng.choice(ever))
-            here = level if c == home else expected[c] * self.values[m[first]].mean() / means[c]
-            out[m] = np.where(self.within[c].present(first, rng), self.within[c].spread(first, here, rng, noise), 0.0)
-        return out
+def _lot(*parts: str | Column | int) -> Column:
+    """A number in [0, 1) from the hash of names and numbers."""
+    return F.pmod(F.xxhash64(*(F.lit(p) if isinstance(p, int) else p for p in parts)), F.lit(1 << 52)) / float(1 << 52)
+
+
+def _against_known(rows: DataFrame, known: DataFrame, keys: list[str], lot: Column) -> DataFrame:
+    """Add ``bar``: one of the known probabilities (keys, prob) of a row's keys, chosen by ``lot``; 1 where none is known."""
+    numbered = running_sum(known.where("prob > 0").select(*keys, F.round("prob", 12).alias("prob")), keys, ["prob"], name="at")
+    counts = numbered.groupBy(*keys).agg(F.count(F.lit(1)).alias("many"))
+    asked = rows.join(counts, keys, "left").withColumn("at", F.floor(lot * F.col("many")))
+    return asked.join(numbered.withColumnRenamed("prob", "bar"), [*keys, "at"], "left").withColumn("bar", F.coalesce("bar", F.lit(1.0))).drop("at", "many")
+
+
+def _both_ways(forest: DataFrame, fits: DataFrame, keys: list[str]) -> DataFrame:
+    """Directed edges (keys, a, b, base, slope) of a forest whose group is the struct of the keys."""
+    ways = forest.select("g.*", "a", "b").unionByName(forest.select("g.*", F.col("b").alias("a"), F.col("a").alias("b")))
+    return ways.join(fits.select(*keys, "a", "b", F.col("intercept").alias("base"), "slope"), [*keys, "a", "b"])
+
+
+def _walk(tree: DataFrame, starts: DataFrame, keys: list[str], noise: float, seed: int) -> DataFrame:
+    """(keys, name, node, value): values of the nodes of a tree, going out from a start along fits, with noise on every step.
+
+    starts: keys, name, start and level. A task walks the tree of one sample:
+    as many edges as the sample gets values.
+    """
+
+    def go(frame: pd.DataFrame) -> pd.DataFrame:
+        own = tuple(frame[k].iloc[0] for k in [*keys, "name"])
+        rng, near = _rng(seed, *own), {}
+        for e in frame.dropna(subset=["a"]).sort_values(["a", "b"]).itertuples():
+            near.setdefault(e.a, []).append((e.b, e.base, e.slope))
+        start = frame["start"].iloc[0]
+        value, todo = {start: max(0.0, float(frame["level"].iloc[0]))}, [start]
+        for at in todo:
+            for node, base, slope in near.get(at, ()):
+                if node not in value:
+                    value[node] = max(0.0, (base + slope * value[at]) * rng.normal(1.0, noise))
+                    todo.append(node)
+        return pd.DataFrame({**{k: v for k, v in zip([*keys, "name"], own)}, "node": list(value), "value": list(value.values())})
+
+    schema = ", ".join(f"{k} string" for k in [*keys, "name"]) + ", node string, value double"
+    return starts.join(tree, keys, "left").groupBy(*keys, "name").applyInPandas(go, schema)
 
 
 def glm(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None = 1000, rescale: bool = False, **own) -> DataFrame:
     """Profiles that spread over spanning trees of pairwise regressions of clustered labels.
 
-    The filter comes first: it bounds the labels whose pairs one task fits, once for each annotator.
+    Pairs, clusters and trees are tables over all annotators at once. A sample
+    starts at one of the observed labels with one of its observed counts; which
+    clusters, and which labels of a cluster, come with it is drawn against the
+    known co-occurrence probabilities; counts follow the regressions along the
+    tree of cluster means, then along each cluster's tree. The filter comes
+    first: it bounds the pairs. Lots are hashes of names, so results do not
+    depend on how rows are dealt out.
     """
     s = settings(**own)
+    seed, noise = s["seed"], s["noise"]
     kept = A.filter_labels(A.complete(abundance), s["threshold"], n_reads, rescale)
-    fit = lambda values: ClusterForest.of(values, s["min_cluster"], s["max_cluster"])
-    draw = lambda model, rng, place: model.sample(rng, s["noise"])
-    return finish(_fit_and_draw(kept, synthetic_samples(abundance, n_samples), fit, draw, s["seed"]), n_reads, rescale)
+    kept = materialize(kept.select("annotator", "sample", "taxid", F.greatest(F.col("n").cast("double"), F.lit(0.0)).alias("n")))
+    names = synthetic_samples(abundance, n_samples).select("annotator", "name")
+    pairs = materialize(A.pair_statistics(kept).withColumns({"r2": F.round("r2", 9), "corr": F.round("corr", 9)}))
+    seen = kept.groupBy("annotator", "taxid").agg(F.avg("n").alias("mean"), F.max("n").alias("top"))
+    far = pairs.where("a < b").select(F.col("annotator").alias("g"), "a", "b", (1 - F.abs("corr")).alias("d"))
+    linked = forests.average_linkage(seen.select(F.col("annotator").alias("g"), F.col("taxid").alias("node")), far, s["min_cluster"], s["max_cluster"])
+    labels = materialize(seen.join(linked.select(F.col("g").alias("annotator"), F.col("node").alias("taxid"), "cluster"), ["annotator", "taxid"]))
+    clusters = labels.groupBy("annotator", "cluster").agg(F.avg("mean").alias("cmean"))
+    means = kept.join(labels.select("annotator", "taxid", "cluster"), ["annotator", "taxid"]).groupBy("annotator", "sample", "cluster").agg(F.avg("n").alias("n"))
+    between = materialize(A.pair_statistics(means.withColumnRenamed("cluster", "taxid")).withColumn("r2", F.round("r2", 9)))
+    of = lambda side: labels.select("annotator", F.col("taxid").alias(side), F.col("cluster").alias(f"c{side}"))
+    within = materialize(pairs.join(of("a"), ["annotator", "a"]).join(of("b"), ["annotator", "b"]).where("ca = cb").withColumnRenamed("ca", "cluster").drop("cb"))
+    trees = [_both_ways(forests.spanning_forest(fits.select(F.struct(*keys).alias("g"), "a", "b", F.col("r2").alias("w"))), fits, keys) for fits, keys in ((between, ["annotator"]), (within, ["annotator", "cluster"]))]
+
+    def one_of(rows: DataFrame, by: list[str], salt: int, *values: str) -> DataFrame:
+        """One row for each ``by`` and name, by lot."""
+        return rows.groupBy(*by, "name").agg(F.min(F.struct(F.xxhash64(F.lit(seed), F.lit(salt), *by, "name", values[0]).alias("lot"), *values)).alias("one")).select(*by, "name", *(f"one.{v}" for v in values))
+
+    ever = labels.where("top > 0")
+    start = one_of(names.join(ever, "annotator"), ["annotator"], 1, "taxid", "cluster", "mean")
+    levels = one_of(start.select("annotator", "name", "taxid").join(kept.where("n > 0"), ["annotator", "taxid"]), ["annotator"], 2, "sample", "n")
+    root = start.join(levels.select("annotator", "name", F.col("n").alias("level")), ["annotator", "name"]).withColumnsRenamed({"taxid": "start", "cluster": "home"})
+    root = materialize(root.join(clusters.withColumnRenamed("cluster", "home"), ["annotator", "home"]))
+    expected = _walk(trees[0], root.select("annotator", "name", F.col("home").alias("start"), (F.col("level") * F.col("cmean") / F.col("mean")).alias("level")), ["annotator"], noise, seed)
+
+    def drawn(rows: DataFrame, fits: DataFrame, alone: DataFrame, keys: list[str], first: str, node: str, salt: int) -> DataFrame:
+        """Rows whose node is the first one or more probable beside it than a known probability that is drawn."""
+        prob = fits.select(*keys, F.col("a").alias(first), F.col("b").alias(node), "prob")
+        known = fits.select(*keys, "prob").unionByName(alone.select(*keys, F.lit(1.0).alias("prob")))
+        asked = _against_known(rows.join(prob, [*keys, first, node], "left"), known, keys, _lot(seed, salt, *keys, "name", node))
+        return asked.where((F.col(first) == F.col(node)) | (F.round(F.coalesce("prob", F.lit(0.0)), 12) > F.col("bar"))).drop("prob", "bar")
+
+    there = drawn(root.select("annotator", "name", "home", "start", "mean", "level").join(clusters, "annotator"), between, clusters, ["annotator"], "home", "cluster", 3)
+    there = materialize(there.join(expected.withColumnRenamed("node", "cluster"), ["annotator", "name", "cluster"], "left"))
+    chosen = one_of(there.select("annotator", "name", "cluster").join(ever, ["annotator", "cluster"]), ["annotator", "cluster"], 4, "taxid", "mean").withColumnsRenamed({"taxid": "some", "mean": "some_mean"})
+    at_home = F.col("home") == F.col("cluster")
+    begin = there.join(chosen, ["annotator", "name", "cluster"]).select("annotator", "cluster", "name", F.when(at_home, F.col("start")).otherwise(F.col("some")).alias("start"), F.when(at_home, F.col("level")).otherwise(F.coalesce("value", F.lit(0.0)) * F.col("some_mean") / F.col("cmean")).alias("level"))
+    begin = materialize(begin)
+    values = _walk(trees[1], begin, ["annotator", "cluster"], noise, seed + 1).withColumnRenamed("node", "taxid")
+    present = drawn(begin.select("annotator", "cluster", "name", "start").join(labels.select("annotator", "cluster", "taxid"), ["annotator", "cluster"]), within, labels, ["annotator", "cluster"], "start", "taxid", 5)
+    counts = present.join(values, ["annotator", "cluster", "name", "taxid"]).select("annotator", "name", "taxid", F.col("value").alias("n"))
+    every = names.join(labels.select("annotator", "taxid"), "annotator").join(counts, ["annotator", "name", "taxid"], "left")
+    profile = materialize(every.select("annotator", F.col("name").alias("sample"), "taxid", F.round(F.coalesce("n", F.lit(0.0)), 6).alias("n")))
+    return finish(profile, n_reads, rescale)
 
 
 def regenerate(abundance: DataFrame, mode: str = "direct", n_samples: int | None = None, n_reads: int | None = None, rescale: bool = False, **own) -> DataFrame:

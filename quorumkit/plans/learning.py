@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from quorumkit.functions import labels as L
 from quorumkit.functions import sequence as S
 from quorumkit.operators import abundance as A
-from quorumkit.operators import boosting, features, reprofile, sequences, synth
+from quorumkit.operators import boosting, features, forests, metrics, reprofile, sequences, synth
 from quorumkit.plans import inputs as I
-from quorumkit.plans.catalogue import _ABUNDANCE, _CALLS, _CONTIGS, _FRAMES, _NODES, _VOTED, ORACLE_SQL, _abundance, query
+from quorumkit.plans.catalogue import _ABUNDANCE, _CALLS, _CONTIGS, _CV, _FRAMES, _NODES, _VOTED, ORACLE_SQL, _abundance, query
 from quorumkit.sinks import tables as K
 from quorumkit.sinks.shared import new_path
 
@@ -177,6 +177,18 @@ def regenerated_by_name(spark, d):
     return out
 
 
+@query(
+    f"""WITH RECURSIVE {_CV}, e AS (SELECT least(a, b) AS a, greatest(a, b) AS b, max(freq) AS w FROM (SELECT a, b, sum(freq) AS freq FROM cv WHERE a <> b GROUP BY ALL) GROUP BY 1, 2),
+    r AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY w DESC, a, b) AS k FROM e),
+    reach(k, node) AS (SELECT k, a FROM r UNION SELECT reach.k, CASE WHEN r.a = reach.node THEN r.b ELSE r.a END FROM reach JOIN r ON r.k < reach.k AND (r.a = reach.node OR r.b = reach.node))
+    SELECT a, b, w::bigint AS w FROM r WHERE NOT EXISTS (SELECT 1 FROM reach WHERE reach.k = r.k AND reach.node = r.b)"""
+)
+def label_forest(spark, d):
+    """The maximum spanning forest of labels by how often they are confused; in SQL the edges whose ends no heavier edges join."""
+    pairs = metrics.cross_validation(I.votes(spark, d)).groupBy("a", "b").agg(F.sum("freq").alias("w"))
+    return forests.spanning_forest(pairs.select(F.lit("all").alias("g"), "a", "b", "w")).select("a", "b", "w")
+
+
 @query(f"WITH {_CALLS} SELECT 'observed' AS how, count(DISTINCT sample) AS n FROM calls UNION ALL SELECT 'asked', 7")
 def numbers_of_samples(spark, d):
     """How many samples a run makes, as tables."""
