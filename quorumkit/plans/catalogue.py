@@ -171,7 +171,7 @@ def label_order(spark, d):
 
 
 @query(
-    f"""WITH {_VOTES}, s AS (SELECT v.annotator, confidence AS score, (v.label = v."true")::int AS y FROM votes v JOIN calls USING (seq)), c AS (SELECT annotator, score, sum(y) AS p, count(*) - sum(y) AS n FROM s GROUP BY ALL),
+    f"""WITH {_CALLS}, s AS (SELECT annotator, confidence AS score, (label = "true")::int AS y FROM calls UNPIVOT (label FOR annotator IN ("taxID_a_0", "taxID_b_0", "taxID_c_0"))), c AS (SELECT annotator, score, sum(y) AS p, count(*) - sum(y) AS n FROM s GROUP BY ALL),
     b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY annotator ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)
     SELECT annotator, round(sum(p * (below + n / 2.0))::double / (sum(p) * sum(n))::double, 6) AS auc, sum(p)::bigint AS positives, sum(n)::bigint AS negatives FROM b GROUP BY annotator"""
 )

@@ -79,7 +79,7 @@ def reprofiled_checks(spark, d):
     right = F.avg((F.col("corrected") == F.col("true")).cast("double")) > 0.5
     zero = (F.col("corrected") == "0") & (F.col("corrected_confidence") == 0)
     sure = agreed & (F.size(votes) > 1) & (F.col("corrected_confidence") == 1)
-    return out.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), count(zero).alias("zero"), count(agreed).alias("agreed"), count(sure).alias("sure"), count(~F.array_contains(known, F.col("corrected"))).alias("strangers"), right.alias("accurate"))
+    return out.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), count(zero).alias("zero"), count(agreed).alias("agreed"), count(sure).alias("sure"), count(~F.array_contains(known, F.col("corrected")) & ~agreed).alias("strangers"), right.alias("accurate"))
 
 
 @query(f"""WITH {_CALLS} SELECT kind, count(*) AS n, 0::bigint AS differ FROM calls, (VALUES ('AdaBoost'), ('RandomForest')) k(kind) GROUP BY kind""")
@@ -93,8 +93,9 @@ def saved_reprofilers(spark, d):
     for kind, learnt in both.items():
         model, path = reprofile.Reprofiler(kind, learnt, forest.labels, forest.features, {}), new_path(spark)
         reprofile.save_model(model, path)
-        pick = lambda m, name: reprofile.apply_reprofiler(rows, m).select("seq", F.struct("corrected", F.round("corrected_confidence", 9)).alias(name))
-        got = pick(model, "a").join(pick(reprofile.load_model(spark, path), "b"), "seq").groupBy(F.lit(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("a") != F.col("b")).cast("long")).alias("differ"))
+        pick = lambda m, sign: reprofile.apply_reprofiler(rows, m).select("seq", "corrected", F.round("corrected_confidence", 9).alias("sure"), F.lit(sign).alias("sign"))
+        both_sides = pick(model, 1).unionByName(pick(reprofile.load_model(spark, path), -1)).groupBy("seq", "corrected", "sure").agg(F.sum("sign").alias("left"), F.sum(F.greatest("sign", F.lit(0))).alias("n"))
+        got = both_sides.groupBy(F.lit(kind).alias("kind")).agg(F.sum("n").alias("n"), F.sum(F.abs("left")).alias("differ"))
         out = got if out is None else out.unionByName(got)
     return out
 
