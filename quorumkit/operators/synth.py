@@ -8,8 +8,8 @@ deals the groups out.
 from __future__ import annotations
 
 import hashlib
-import pickle
-from collections.abc import Callable, Iterator, Mapping
+import math
+from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumkit.operators import abundance as A
-from quorumkit.operators import forests
+from quorumkit.operators import factors, forests
 from quorumkit.operators.ranking import running_sum
 from quorumkit.sinks.shared import materialize
 
@@ -97,71 +97,26 @@ def bootstrap(abundance: DataFrame, n_samples: int | None = None, n_reads: int |
     return finish(A.filter_labels(synthetic, s["threshold"], n_reads, rescale), n_reads, rescale)
 
 
-def factor_analysis(x: np.ndarray, k: int, steps: int = 200, tol: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean, loadings, scores) of samples x labels by expectation maximisation."""
-    mean, n = x.mean(0), len(x)
-    c = x - mean
-    noise, last, tiny = c.var(0) + 1e-12, -np.inf, 1e-12
-    for _ in range(steps):
-        root = np.sqrt(noise) + tiny
-        _, sv, vt = np.linalg.svd(c / (root * np.sqrt(n)), full_matrices=False)
-        kept = sv[:k] ** 2
-        load = np.sqrt(np.maximum(kept - 1, 0))[:, None] * vt[:k] * root
-        ll = -0.5 * n * (np.log(np.maximum(kept, tiny)).sum() + (sv[k:] ** 2).sum() + np.log(noise + tiny).sum())
-        if ll - last < tol:
-            break
-        last = ll
-        noise = np.maximum(c.var(0) - (load**2).sum(0), tiny)
-    weighted = load / noise
-    scores = c @ weighted.T @ np.linalg.inv(np.eye(len(load)) + weighted @ load.T)
-    return mean, load, scores
-
-
-def _fit_and_draw(kept: DataFrame, names: DataFrame, fit: Callable[[np.ndarray], object], draw: Callable[[object, np.random.Generator, int], np.ndarray], seed: int) -> DataFrame:
-    """Fit one model for each annotator, then draw its synthetic samples, each by itself.
-
-    ``fit`` gets the (labels, samples) matrix of an annotator, labels and samples
-    in order; its result travels as one small binary value.
-    """
-
-    def learn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        matrix = pdf.pivot_table(index="taxid", columns="sample", values="n", aggfunc="sum", fill_value=0.0).sort_index().sort_index(axis=1)
-        return pd.DataFrame({"annotator": [key[0]], "labels": [matrix.index.tolist()], "model": [pickle.dumps(fit(matrix.to_numpy(float)))]})
-
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples():
-                n = draw(pickle.loads(r.model), _rng(seed, r.annotator, r.name), r.place)
-                yield pd.DataFrame({"annotator": r.annotator, "sample": r.name, "taxid": list(r.labels), "n": n})
-
-    values = kept.select("annotator", "sample", "taxid", F.col("n").cast("double").alias("n"))
-    models = materialize(values.groupBy("annotator").applyInPandas(learn, "annotator string, labels array<string>, model binary"))
-    return names.select("annotator", "name", "place").join(models, "annotator").mapInPandas(each, _SCHEMA)
-
-
 def vae(abundance: DataFrame, n_samples: int | None = None, n_reads: int | None = 1000, rescale: bool = False, **own) -> DataFrame:
     """Profiles decoded from random scores of a factor analysis of log counts.
 
-    With fewer than two labels or samples the observed columns are cycled.
+    With fewer than two labels or samples the observed columns are cycled. The
+    model is a table of labels; scores are hashes of names turned into normal
+    numbers, so results do not depend on how rows are dealt out.
     """
     s = settings(**own)
     kept = A.filter_labels(A.complete(abundance), s["threshold"], n_reads, rescale)
-
-    def fit(values: np.ndarray):
-        if min(values.shape) < 2:
-            return values, None, None
-        x = np.log1p(values).T
-        mean, load, scores = factor_analysis(x, max(1, min(s["latent"], x.shape[0] - 1, x.shape[1] - 1)))
-        spread = scores.std(0)
-        return mean, load, np.where(spread == 0, 1.0, spread)
-
-    def draw(model, rng: np.random.Generator, place: int) -> np.ndarray:
-        mean, load, spread = model
-        if load is None:
-            return mean[:, place % mean.shape[1]]
-        return np.expm1(np.maximum(mean + (rng.normal(size=len(load)) * spread) @ load, 0))
-
-    return finish(_fit_and_draw(kept, synthetic_samples(abundance, n_samples), fit, draw, s["seed"]), n_reads, rescale)
+    kept = materialize(kept.select("annotator", "sample", "taxid", F.col("n").cast("double").alias("n")))
+    names = synthetic_samples(abundance, n_samples)
+    model = materialize(factors.factor_model(kept.select("annotator", "sample", "taxid", F.log1p(F.greatest("n", F.lit(0.0))).alias("x")), s["latent"]))
+    score = lambda i: F.when(F.get("spread", F.lit(i)) > 0, F.get("spread", F.lit(i))).otherwise(1.0) * _normal(s["seed"], i, "annotator", "name")
+    spreads = model.groupBy("annotator").agg(F.first("spread").alias("spread"))
+    drawn = names.select("annotator", "name").join(spreads, "annotator").select("annotator", "name", *(score(i).alias(f"z{i}") for i in range(s["latent"])))
+    level = sum((F.coalesce(F.get("load", F.lit(i)) * F.col(f"z{i}"), F.lit(0.0)) for i in range(s["latent"])), F.col("mean"))
+    decoded = model.drop("spread", "own").join(drawn, "annotator").select("annotator", F.col("name").alias("sample"), "taxid", F.round(F.expm1(F.greatest(level, F.lit(0.0))), 6).alias("n"))
+    thin = names.join(spreads, "annotator", "left_anti").select("annotator", "name", F.col("source").alias("sample"))
+    cycled = thin.join(kept, ["annotator", "sample"]).select("annotator", F.col("name").alias("sample"), "taxid", "n")
+    return finish(decoded.unionByName(cycled), n_reads, rescale)
 
 
 def cluster_labels(corr: np.ndarray, min_size: int = 2, max_size: int = 100) -> np.ndarray:
@@ -191,6 +146,11 @@ def _lot(*parts: str | Column | int) -> Column:
     return F.pmod(F.xxhash64(*(F.lit(p) if isinstance(p, int) else p for p in parts)), F.lit(1 << 52)) / float(1 << 52)
 
 
+def _normal(*parts: str | Column | int) -> Column:
+    """A normally distributed number from the hash of names and numbers."""
+    return F.sqrt(-2 * F.log(1 - _lot(0, *parts))) * F.cos(2 * math.pi * _lot(1, *parts))
+
+
 def _against_known(rows: DataFrame, known: DataFrame, keys: list[str], lot: Column) -> DataFrame:
     """Add ``bar``: one of the known probabilities (keys, prob) of a row's keys, chosen by ``lot``; 1 where none is known."""
     numbered = running_sum(known.where("prob > 0").select(*keys, F.round("prob", 12).alias("prob")), keys, ["prob"], name="at")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from quorumkit.functions import labels as L
 from quorumkit.functions import sequence as S
 from quorumkit.operators import abundance as A
-from quorumkit.operators import boosting, features, forests, metrics, reprofile, sequences, synth
+from quorumkit.operators import boosting, factors, features, forests, metrics, reprofile, sequences, synth
 from quorumkit.plans import inputs as I
-from quorumkit.plans.catalogue import _ABUNDANCE, _CALLS, _CONTIGS, _CV, _FRAMES, _NODES, _VOTED, ORACLE_SQL, _abundance, query
+from quorumkit.plans.catalogue import _ABUNDANCE, _CALLS, _CONTIGS, _CV, _FRAMES, _NODES, _PAIRS, _VOTED, ORACLE_SQL, _abundance, query
 from quorumkit.sinks import tables as K
 from quorumkit.sinks.shared import new_path
 
@@ -195,3 +195,18 @@ def numbers_of_samples(spark, d):
     """How many samples a run makes, as tables."""
     calls = I.calls(spark, d)
     return A.sample_number(calls).select(F.lit("observed").alias("how"), "n").unionByName(A.sample_number(calls, 7).select(F.lit("asked").alias("how"), "n"))
+
+
+@query(
+    f"""WITH {_PAIRS}
+    SELECT how, taxid, round(avg(ln(1 + n)), 4) AS mean, round(var_pop(ln(1 + n)), 4) AS variance, 2::bigint AS factors FROM g, (VALUES ('one task'), ('grouped sums')) h(how) GROUP BY ALL"""
+)
+def factor_parts(spark, d):
+    """Whatever a factor model finds, a label's loadings and its own rest add up to its variance; fitted in one task and by grouped sums (at any step, so few are taken)."""
+    values = A.complete(I.events_abundance(spark, d)).select("annotator", "sample", "taxid", F.log1p(F.col("n").cast("double")).alias("x"))
+    out = None
+    for how, cells in (("one task", factors.SMALL_CELLS), ("grouped sums", 0)):
+        parts = F.aggregate(F.transform("load", lambda v: v * v), F.col("own"), lambda s, v: s + v)
+        got = factors.factor_model(values, 2, cells, 0.1).select(F.lit(how).alias("how"), "taxid", F.round("mean", 4).alias("mean"), F.round(parts, 4).alias("variance"), F.size("load").cast("long").alias("factors"))
+        out = got if out is None else out.unionByName(got)
+    return out
