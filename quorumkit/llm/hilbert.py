@@ -96,10 +96,12 @@ def hilbert_shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
     """Cut all documents into ``n_shards`` runs of the curve with equal row counts.
 
     Dimensions are size in bytes, language and source. Law ``rows``: counts
-    differ by one at most. Ties on the curve are broken by the text's hash and
-    length, so equal texts of one source lie side by side, then by doc_id (null
-    first). A null text has no bytes (size 1, CRC 0); repeated rows are rows of
-    their own; an empty table gives no rows; other columns are not carried.
+    differ by one at most. Rows with equal texts (hash, CRC and length) are a
+    group: all have the place on the curve of the group's least cells, and ties
+    go by the text before the doc_id (null first), so groups stay whole but for
+    those that a shard's border meets. A null text has no bytes (size 1, CRC 0)
+    and is grouped with empty ones; repeated rows are rows of their own; an
+    empty table gives no rows; other columns are not carried.
     Returns doc_id, size, text_crc32, law, shard, slot, grown_shard and the curve index.
     """
     text = text_or_empty().cast("binary")
@@ -107,11 +109,16 @@ def hilbert_shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        quantise_label(F.col("lang")).alias("__lang"),
-        quantise_label(F.col("source")).alias("__source"),
+        F.xxhash64(text).alias("__hash"),
+        F.struct(quantise_label(F.col("lang")).alias("lang"), quantise_label(F.col("source")).alias("source")).alias("__at"),
     )
-    rows = with_curve(rows, [F.col("__lang"), F.col("__source"), quantise_number(F.col("size"))]).drop("__lang", "__source")
-    ranked = global_rank(rows, ["curve", "text_crc32", "size", "doc_id"])
+    same = ["__hash", "text_crc32", "size"]
+    rows = materialize(rows)
+    # only groups of several rows are sent back, one row each; the rows here have no texts
+    groups = rows.groupBy(*same).agg(F.min("__at").alias("__least"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    rows = rows.join(groups, same, "left").withColumn("__at", F.coalesce("__least", "__at"))
+    rows = with_curve(rows, [F.col("__at.lang"), F.col("__at.source"), quantise_number(F.col("size"))]).drop("__at", "__least")
+    ranked = global_rank(rows, ["curve", *same, "doc_id"])
     # the first (total mod n) shards take one row more
     small, more = F.floor(F.col("__total") / n_shards), F.col("__total") % n_shards
     head = more * (small + 1)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 import re
 from collections import Counter
 
@@ -260,6 +261,28 @@ def test_shards_are_even_and_prune(spark, data):
     assert {r["shard"] for r in rows if r["size"] >= 50_000} <= kept
 
 
+def test_shards_against_a_plain_sort(spark, data):
+    df = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang", "source")
+    copies = [(9000 + i, f"copy {i % 3}" if i % 5 else "", ("en", "de", None)[i % 3], f"s{i % 7}") for i in range(150)]
+    df = df.unionByName(spark.createDataFrame([*copies, (None, None, None, None), (7, "long " * 60_000, "en", "a")], df.schema))
+    plain = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), hilbert.quantise_label(F.col("lang")).alias("l"), hilbert.quantise_label(F.col("source")).alias("s"))
+    plain = plain.select("*", F.xxhash64(F.col("text").cast("binary")).alias("h"), hilbert.quantise_number(F.octet_length("text") + 1).alias("n")).collect()
+    least = {}
+    for r in plain:
+        least[r["text"]] = min(least.get(r["text"], (r["l"], r["s"])), (r["l"], r["s"]))
+    curve = hilbert.hilbert_index(np.array([(*least[r["text"]], r["n"]) for r in plain]), hilbert.BITS)
+    of = [(int(c), r["h"], zlib.crc32(r["text"].encode()), len(r["text"].encode()) + 1, -1 if r["doc_id"] is None else r["doc_id"]) for c, r in zip(curve, plain)]
+    few, more = divmod(len(of), 16)
+    expected = [(shard, slot) for shard in range(16) for slot in range(few + (shard < more))]
+    got = hilbert.hilbert_shards(df).collect()
+    key = lambda r: (-1 if r["doc_id"] is None else r["doc_id"], r["text_crc32"], r["size"], r["curve"])
+    assert sorted((*key(r), r["shard"], r["slot"]) for r in got) == sorted((d, c, n, at, *place) for (at, _, c, n, d), place in zip(sorted(of), expected))
+    shards = {}
+    for r in got:
+        shards.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
+    assert sum(len(v) > 1 for v in shards.values()) <= 15
+
+
 def nearest_rows(unit, queries, k):
     return [np.argsort(-(unit @ unit[q]) + 9.0 * (np.arange(len(unit)) == q), kind="stable")[:k] for q in queries]
 

@@ -156,16 +156,20 @@ def test_toxicity_on_held_out_rows(spark):
         assert zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2
 
 
-def test_class_models_against_plain_python(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "WORD_DISCOUNT", 0.5)
-    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 1.0)
-    monkeypatch.setattr(toxicity, "SHARED", 1.2)
+@pytest.mark.parametrize("word_discount, pair_discount, share, docs_each, unlabelled, toxic_share", [(0.5, 1.0, 1.2, 60, 0, 0.3), (toxicity.WORD_DISCOUNT, toxicity.PAIR_DISCOUNT, toxicity.SHARED, 400, 2500, 0.05)])
+def test_class_models_against_plain_python(spark, monkeypatch, word_discount, pair_discount, share, docs_each, unlabelled, toxic_share):
+    monkeypatch.setattr(toxicity, "WORD_DISCOUNT", word_discount)
+    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", pair_discount)
+    monkeypatch.setattr(toxicity, "SHARED", share)
     rng = random.Random(8)
-    texts = [(" ".join(rng.choice("the of cat dog You fool, idiot runs".split() if y else "the of cat dog runs home now".split()) for _ in range(rng.randint(1, 9))), y) for y in (0, 1) for _ in range(60)]
-    df = spark.createDataFrame([*texts, ("never labelled words", None)], "text string, y int")
-    model = toxicity.estimate(df, df.where("y IS NOT NULL"), 0.3)
+    ordinary, toxic = "the of cat dog runs home now".split(), "the of cat dog You fool, idiot runs".split()
+    text = lambda words: " ".join(rng.choice(words) for _ in range(rng.randint(1, 9)))
+    texts = [(text(toxic if y else ordinary), y) for y in (0, 1) for _ in range(docs_each)]
+    rest = [("never labelled words", None)] + [(text(ordinary), None) for _ in range(unlabelled)]
+    df = spark.createDataFrame([*texts, *rest], "text string, y int")
+    model = toxicity.estimate(df, df.where("y IS NOT NULL"), toxic_share)
     split = lambda t: [toxicity.bare(w) for w in t.split()]
-    df_all = Counter(w for t, _ in [*texts, ("never labelled words", None)] for w in set(split(t)))
+    df_all = Counter(w for t, _ in [*texts, *rest] for w in set(split(t)))
     mass = sum(df_all.values()) + 0.5 * (len(df_all) + 1)
     shared = {w: (n + 0.5) / mass for w, n in df_all.items()}
     vocabulary = [*df_all, "<any other>"]
@@ -176,15 +180,15 @@ def test_class_models_against_plain_python(spark, monkeypatch):
     for y in (0, 1):
         for (a, _), n in pairs[y].items():
             h[y][a] += n
-    weight = [0.7 / 60, 0.3 / 60]
+    weight = [(1 - toxic_share) / docs_each, toxic_share / docs_each]
 
     def own(y, w):
         total = sum(c[y].values())
-        return max(c[y][w] - 0.5 - 1.2 * total * shared[w], 0) / total
+        return max(c[y][w] - word_discount - share * total * shared[w], 0) / total
 
     def pair_own(y, a, b):
         together = sum(pairs[k][a, b] * weight[k] for k in (0, 1)) / (sum(h[k][a] * weight[k] for k in (0, 1)) or 1)
-        return max(pairs[y][a, b] - 1 - 1.2 * h[y][a] * together, 0) / max(h[y][a], 1)
+        return max(pairs[y][a, b] - pair_discount - share * h[y][a] * together, 0) / max(h[y][a], 1)
 
     def p(y, a, b):
         first = own(y, b) + (1 - sum(own(y, w) for w in vocabulary)) * shared[b]
