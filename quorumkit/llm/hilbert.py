@@ -16,6 +16,8 @@ from .common import materialize, shuffle_partitions, text_or_empty
 
 #: Bits for each dimension of the curve.
 BITS = 8
+#: Places that the rows of one text are dealt over.
+SALTS = 64
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -113,10 +115,12 @@ def hilbert_shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
         F.struct(quantise_label(F.col("lang")).alias("lang"), quantise_label(F.col("source")).alias("source")).alias("__at"),
     )
     same = ["__hash", "text_crc32", "size"]
-    rows = materialize(rows)
-    # only groups of several rows are sent back, one row each; the rows here have no texts
-    groups = rows.groupBy(*same).agg(F.min("__at").alias("__least"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
-    rows = rows.join(groups, same, "left").withColumn("__at", F.coalesce("__least", "__at"))
+    rows = materialize(rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))))
+    # a group of any size meets its least cells in SALTS places; the rows here have no texts
+    parts = rows.groupBy(*same, "__salt").agg(F.min("__at").alias("__least"), F.count(F.lit(1)).alias("__n"))
+    group = Window.partitionBy(*same)
+    parts = parts.withColumns({"__least": F.min("__least").over(group), "__n": F.sum("__n").over(group)}).where("__n > 1").drop("__n")
+    rows = rows.join(parts, [*same, "__salt"], "left").withColumn("__at", F.coalesce("__least", "__at")).drop("__salt")
     rows = with_curve(rows, [F.col("__at.lang"), F.col("__at.source"), quantise_number(F.col("size"))]).drop("__at", "__least")
     ranked = global_rank(rows, ["curve", *same, "doc_id"])
     # the first (total mod n) shards take one row more
