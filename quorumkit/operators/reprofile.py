@@ -92,13 +92,20 @@ def train(rows: DataFrame, trees: int = TREES, rounds: int = ROUNDS, test_share:
     return Reprofiler(best, {"RandomForest": forest, "AdaBoost": boosted}[best], labels, features, accuracy)
 
 
-def consensus(annotators: Sequence[str], label: Column, confidence: Column) -> tuple[Column, Column]:
-    """Unanimous non-zero votes override the model: confidence 1 if there are two or more."""
-    votes = F.filter(F.array(*(label_number(F.col(f"`{a}`")).cast("long") for a in annotators)), lambda v: v > 0)
-    agreed = (F.size(votes) > 0) & (F.array_min(votes) == F.array_max(votes))
-    new = F.when(agreed, F.array_max(votes).cast("string")).otherwise(label)
-    sure = F.when(agreed & (F.size(votes) >= 2), 1.0).otherwise(confidence)
-    return new, sure
+def consensus(rows: DataFrame, annotators: Sequence[str], label: Column, confidence: Column) -> tuple[DataFrame, Column, Column]:
+    """Unanimous non-zero votes override the model: confidence 1 if there are two or more.
+
+    The rows come back with the number of each vote in a column of its own, so
+    that a label is searched for digits once; the two results are over those.
+    """
+    names = [f"__vote{i}" for i in range(len(annotators))]
+    numbered = rows.withColumns({n: F.nullif(label_number(F.col(f"`{a}`")).cast("long"), F.lit(0)) for n, a in zip(names, annotators)})
+    # least and greatest skip nulls and want two columns
+    both = [F.col(n) for n in names] + [F.lit(None).cast("long")] * 2
+    low, high = F.least(*both), F.greatest(*both)
+    cast = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    agreed = high.isNotNull() & (low == high)
+    return numbered, F.when(agreed, high.cast("string")).otherwise(label), F.when(agreed & (cast >= 2), 1.0).otherwise(confidence)
 
 
 def apply_reprofiler(rows: DataFrame, model: Reprofiler, drop_without_truth: bool = False) -> DataFrame:
@@ -108,8 +115,7 @@ def apply_reprofiler(rows: DataFrame, model: Reprofiler, drop_without_truth: boo
     drop_without_truth, rows whose truth is missing get 0 as well.
     """
     annotators = [c for c in rows.columns if tool_name(c)]
-    scored = model.score(rows)
-    label, sure = consensus(annotators, F.col("model_label"), F.col("model_confidence"))
+    scored, label, sure = consensus(model.score(rows), annotators, F.col("model_label"), F.col("model_confidence"))
     none = all_unclassified(annotators)
     if drop_without_truth and "true" in rows.columns:
         none = none | F.col("true").isNull() | (F.col("true") == "")

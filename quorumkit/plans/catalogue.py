@@ -305,8 +305,7 @@ _VOTED = """CASE WHEN "taxID_a_0" = '0' AND "taxID_b_0" = '0' AND "taxID_c_0" =
     CASE WHEN len(votes) = 0 THEN 0.0 WHEN list_min(votes) = list_max(votes) AND len(votes) >= 2 THEN 1.0 ELSE confidence END AS confidence FROM v"""
 )
 def consensus_override(spark, d):
-    rows = I.calls(spark, d)
-    label, sure = reprofile.consensus(I.ANNOTATORS, F.col("taxID_a_0"), F.col("confidence"))
+    rows, label, sure = reprofile.consensus(I.calls(spark, d), I.ANNOTATORS, F.col("taxID_a_0"), F.col("confidence"))
     none = L.all_unclassified(I.ANNOTATORS)
     return rows.select("seq", F.when(none, "0").otherwise(label).alias("corrected"), F.when(none, 0.0).otherwise(sure).alias("confidence"))
 
