@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, release_memory, shuffle_partitions
 from .components import connected_components
+from .lookup import rows_in
 
 BANDS, BAND_ROWS = 16, 4
 #: Shingles of a bucket's chunk; larger buckets are cut, and each pair of chunks is a bucket of its own.
@@ -172,30 +173,41 @@ def link_sets(roots: np.ndarray, sizes: np.ndarray, flat: np.ndarray, similarity
     return links
 
 
-def _mixed(bands: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component, with root and the bucket's first row."""
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (cls, code, root, band) of the buckets that hold more than one component, with the bucket's first row."""
+    several = rows.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    hit = materialize(rows.join(several.select("band"), "band", "left_semi"))
+    first = hit.groupBy("band").agg(F.min(F.struct("root", "cls", "code")).alias("first"))
+    return materialize(hit.join(first, "band"))
+
+
+def _rooted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes with the root of their code's component, or the code itself."""
     of_code = connected_components(edges).withColumnRenamed("node", "code")
-    now = materialize(bands.join(of_code, "code", "left").withColumn("root", F.coalesce("root", "code")))
-    first = now.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min(F.struct("root", "cls", "code")).alias("first"))
-    return materialize(now.join(first.where("least < most").select("band", "first"), "band"))
+    return nodes.join(of_code, "code", "left").withColumn("root", F.coalesce("root", "code"))
 
 
 def resemblance_edges(texts: DataFrame, bands: DataFrame, edges: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """edges (a, b) with those added that join texts of at least that similarity.
 
-    texts: cls and text. bands: cls, code and band, a row for each band of a
-    text; code is the node that a text belongs to. edges: links known before.
-    Texts of one node are never compared; texts without words have no bands.
+    texts: cls and text, where cls is a row number for ``rows_in``. bands: cls,
+    code and bands, a row for each text; code is the node that a text belongs
+    to. edges: links known before. Texts of one node are never compared; texts
+    without words have no bands. Texts are read where they lie; their shingles
+    move only as far as they are compared.
     """
-    rows = _mixed(bands, edges)
-    sets = materialize(texts.join(rows.select("cls").distinct(), "cls", "left_semi").select("cls", shingle_set(F.col("text"), shingle_words).alias("shingles")))
-    pairs = rows.where(F.col("root") != F.col("first.root")).select(F.col("cls").alias("x"), F.col("code").alias("a"), F.col("first.cls").alias("y"), F.col("first.code").alias("b")).distinct()
-    both = pairs.join(sets.select(F.col("cls").alias("x"), F.col("shingles").alias("sx")), "x").join(sets.select(F.col("cls").alias("y"), F.col("shingles").alias("sy")), "y")
+    rows = _mixed(_rooted(bands, edges).select("cls", "code", "root", F.explode("bands").alias("band")))
+    sets = materialize(rows_in(texts, rows.select("cls").distinct(), "cls").select("cls", shingle_set(F.col("text"), shingle_words).alias("shingles")))
+    pairs = rows.where(F.col("root") != F.col("first.root")).select(F.col("cls").alias("x"), F.col("code").alias("a"), F.col("first.cls").alias("y"), F.col("first.code").alias("b"))
+    pairs = materialize(pairs.distinct())
+    first_sets, other_sets = (rows_in(sets, pairs.select(side).distinct(), "cls").select(F.col("cls").alias(side), F.col("shingles").alias(f"s{side}")) for side in "yx")
+    both = pairs.join(other_sets, "x").join(first_sets, "y")
     common = F.size(F.array_intersect("sx", "sy"))
     near = both.where(common >= F.lit(similarity) * (F.size("sx") + F.size("sy") - common) - 1e-9)
     edges = materialize(edges.select("a", "b").unionByName(near.select("a", "b")))
 
-    left = _mixed(rows.select("cls", "code", "band"), edges).select("cls", "code", "band", "root")
+    left = _mixed(_rooted(rows.select("cls", "code", "band"), edges)).select("cls", "code", "band", "root")
+    sets = rows_in(sets, left.select("cls").distinct(), "cls")
     sized = left.join(sets.select("cls", F.size("shingles").alias("n")), "cls")
     cuts = sized.groupBy("band").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")

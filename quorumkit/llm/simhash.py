@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, release_memory, shuffle_partitions
 from .components import connected_components
+from .lookup import rows_in
 from .resemblance import Minima, resemblance_edges, shingle_hashes, words_of
 
 #: Children of a node of the index.
@@ -244,21 +245,20 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4, s
     which so few bits would not reach. The row with the smallest doc_id stays
     (ids that are null come last); of rows with the same id, the first as
     written. Null and empty texts form one group. Equal sequences of words are
-    one class before anything is compared; texts move once for the classes whose
-    shingles are compared, and once in the last join.
+    one class before anything is compared; no text is shuffled, rows are looked
+    up by their numbers where they were written.
     """
     rows = materialize(docs.withColumns({"__sketch": sketch(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
     prints = rows.select("__sketch.code", "__sketch.h1", "__sketch.h2", F.col("__row").alias("row"), "doc_id")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
     classes = materialize(prints.groupBy("h1", "h2").agg(F.min("row").alias("cls"), F.min("code").alias("code"), best))
-    one_each = rows.select(F.col("__row").alias("cls"), "__sketch.code", "__sketch.bands").join(classes.select("cls"), "cls", "left_semi")
-    bands = one_each.select("cls", "code", F.explode("bands").alias("band"))
+    bands = rows_in(rows.select(F.col("__row").alias("cls"), "__sketch.code", "__sketch.bands"), classes.select("cls"), "cls")
     texts = rows.select(F.col("__row").alias("cls"), F.col("text").cast("string").alias("text"))
     edges = materialize(near_code_edges(materialize(classes.select("code").distinct()), radius))
     edges = resemblance_edges(texts, bands, edges, shingle_words, similarity)
     rooted = classes.join(connected_components(edges).withColumnRenamed("node", "code"), "code", "left")
     first = rooted.groupBy(F.coalesce("root", "code")).agg(F.min("best").alias("best"))
-    return rows.join(first.select(F.col("best.row").alias("__row")), "__row", "left_semi").drop("__sketch", "__row")
+    return rows_in(rows, first.select("best.row"), "__row").drop("__sketch", "__row")
 
 
 def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:

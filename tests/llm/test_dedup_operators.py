@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quorumkit.llm import ann, chroma, components, hilbert, licenses, resemblance, simhash, suffix_dedup
+from quorumkit.llm import ann, chroma, common, components, hilbert, licenses, lookup, resemblance, simhash, suffix_dedup
 
 
 def find(parent, i):
@@ -120,6 +120,19 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((r["doc_id"] or -1, r["code"]) for r in got.collect()) == [(-1, "z"), (1, "y"), (4, "z")]
 
 
+def test_rows_are_found_by_their_numbers(spark):
+    numbered = common.materialize(spark.range(0, 1000, numPartitions=7).select(F.monotonically_increasing_id().alias("row"), F.col("id").alias("x"), F.lit("t").alias("number")))
+    every = {r["x"]: r["row"] for r in numbered.collect()}
+    for some in ([], [3], range(0, 1000, 3), range(1000)):
+        wanted = spark.createDataFrame([(every[i],) for i in some] + [(every[i],) for i in some[:5]] + [(None,), (-1,), (1 << 50,)], "w long")
+        got = lookup.rows_in(numbered, wanted, "row")
+        assert got.columns == numbered.columns and sorted(r["x"] for r in got.collect()) == sorted(some)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    odd = spark.createDataFrame([(None, 1), (5, 2), (5, 3), (-7, 4), ((3 << 33) + 5, 5)], "row long, x int")
+    assert sorted(r["x"] for r in lookup.rows_in(odd, spark.createDataFrame([(5,), (-7,), (None,)], "row long"), "row").collect()) == [2, 3, 4]
+    assert lookup.rows_in(odd.where("false"), odd.select("row"), "row").count() == 0
+
+
 @pytest.mark.parametrize("chunk", [1_000_000, 500])
 def test_every_pair_of_similar_shingles_is_in_one_group(spark, monkeypatch, chunk):
     monkeypatch.setattr(resemblance, "CHUNK_SHINGLES", chunk)
