@@ -3,13 +3,33 @@
 from __future__ import annotations
 
 import ctypes
+import time
 from collections.abc import Callable, Hashable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumkit.sinks.shared import materialize, shared_dir  # noqa: F401  (used by the operators)
+from quorumkit.sinks import shared
+from quorumkit.sinks.shared import shared_dir  # noqa: F401  (used by the operators)
+
+#: Seconds between two requests to drop shuffle files.
+RELEASE_SECONDS = 3
+_released = [0.0]
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once and return it read back; the shuffle files of earlier writes are given back.
+
+    Spark deletes the files of a shuffle when the driver collects the plan that
+    owned it, which a driver with memory to spare may put off beyond the end of
+    a pipeline. Written tables need no shuffle, so the collection is asked for here.
+    """
+    out = shared.materialize(df)
+    if time.monotonic() - _released[0] >= RELEASE_SECONDS:
+        df.sparkSession.sparkContext._jvm.System.gc()
+        _released[0] = time.monotonic()
+    return out
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
