@@ -148,8 +148,8 @@ def vote_files(spark, d):
     """Vote files by their names, and the order of the reads in each."""
     path = new_path(spark)
     K.write_votes(I.calls(spark, d).select("sample", "seq", "taxID_a_0", F.nullif("length", F.lit("7")).alias("length")), path)
-    lines = spark.read.csv(path, header=True).select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"), "seq", F.col("taxID_a_0").alias("label"), "length")
-    return running_sum(lines, ["file"], ["at"], name="before").select("file", (F.col("before") + 1).alias("place"), "seq", "label", "length")
+    lines = spark.read.csv(path, header=True).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "seq", F.col("taxID_a_0").alias("label"), "length")
+    return running_sum(lines, ["file"], ["block", "at"], name="before").select("file", (F.col("before") + 1).alias("place"), "seq", "label", "length")
 
 
 @query(f"""WITH {_CALLS} SELECT 'combined_annotation_table.csv' AS file, sample, seq, CASE WHEN l_linenumber % 2 = 0 THEN 'a, "b"' ELSE "taxID_a_0" END AS label FROM calls""")

@@ -103,3 +103,19 @@ def test_files_are_listed(spark, tmp_path):
         (tmp_path / name).write_text("x")
     assert sorted(r.path.rsplit("/", 1)[1] for r in T.list_files(spark, str(tmp_path)).collect()) == ["562.fna", "7_R1.fq", "7_R2.fq", "9.txt", "x.fna"]
     assert [r.taxid for r in T.catalogue_genomes(T.list_files(spark, str(tmp_path), "*.fna")).collect()] == ["562"]
+
+
+@pytest.mark.parametrize("at_places", [True, False])
+def test_a_large_name_is_one_file_in_order(spark, tmp_path, monkeypatch, at_places):
+    """Pieces of several tasks, copied to their places or, where a file system has none, as a stream."""
+    if not at_places:
+        monkeypatch.setattr(named.arrow_fs, "LocalFileSystem", type("Other", (), {}))
+        monkeypatch.setattr(named, "file_system", lambda path: (records.arrow_fs.FileSystem.from_uri("file://" + path)[0], path))
+    rows = spark.range(0, 6_000, 1, 5).select(F.when(F.col("id") % 10 < 8, "hot").otherwise("b").alias("sample"), F.lpad(F.col("id").cast("string"), 6, "0").alias("seq"), F.when(F.col("id") % 2 == 0, 'a,"b"').alias("x"))
+    named.write_named(rows.unionByName(rows.where("seq = '000000'").withColumn("x", F.lit("Z"))), F.col("sample"), ".csv", ["seq"], str(tmp_path / "out"), drop=["sample"])
+    files = {p.name: p.read_text().splitlines() for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")}
+    assert set(files) == {"hot.csv", "b.csv"}
+    line = lambda i: f"{i:06d}," + ('"a,""b"""' if i % 2 == 0 else "")
+    assert files["hot.csv"] == ["seq,x", "000000,Z", line(0), *(line(i) for i in range(1, 6_000) if i % 10 < 8)]
+    assert files["b.csv"] == ["seq,x", *(line(i) for i in range(6_000) if i % 10 >= 8)]
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
