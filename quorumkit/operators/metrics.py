@@ -57,13 +57,26 @@ def r2_scores(counts: DataFrame) -> DataFrame:
 def cross_validation(votes: DataFrame) -> DataFrame:
     """annotator_a, annotator_b, a, b, freq of every unordered pair of annotators.
 
-    The votes of one read are joined with each other, as many rows as there are
-    pairs of annotators, and counted map side first.
+    Votes of one read meet in one shuffle. Reads with the same votes are counted
+    once and only then taken apart into pairs.
     """
-    x = votes.select("sample", "seq", F.col("annotator").alias("annotator_a"), F.col("label").alias("a"))
-    y = votes.select("sample", "seq", F.col("annotator").alias("annotator_b"), F.col("label").alias("b"))
-    pairs = x.join(y, ["sample", "seq"]).where("annotator_a < annotator_b")
-    return pairs.groupBy("annotator_a", "annotator_b", "a", "b").agg(F.count(F.lit(1)).alias("freq"))
+    known = votes.where("sample IS NOT NULL AND seq IS NOT NULL AND annotator IS NOT NULL")
+    return _pairs_of_votes(known.select("sample", "seq", F.array(F.struct("annotator", "label")).alias("v")))
+
+
+def cross_validation_of_reads(wide: DataFrame, annotators: Sequence[str]) -> DataFrame:
+    """``cross_validation`` of a table with a row for each read and a column for each annotator: a read is one row of the shuffle, however many annotators there are."""
+    known = wide.where("sample IS NOT NULL AND seq IS NOT NULL")
+    return _pairs_of_votes(known.select("sample", "seq", F.array(*(F.struct(F.lit(a).alias("annotator"), F.col(f"`{a}`").alias("label")) for a in annotators)).alias("v")))
+
+
+def _pairs_of_votes(rows: DataFrame) -> DataFrame:
+    """Pairs from (sample, seq, v), where v holds votes of a read; rows of one read are taken together."""
+    reads = rows.repartition("sample", "seq").groupBy("sample", "seq").agg(F.array_sort(F.flatten(F.collect_list("v"))).alias("v"))
+    kinds = reads.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    first = kinds.select("v", "n", F.explode("v").alias("x"))
+    both = first.select("x", "n", F.explode("v").alias("y")).where("x.annotator < y.annotator")
+    return both.groupBy(F.col("x.annotator").alias("annotator_a"), F.col("y.annotator").alias("annotator_b"), F.col("x.label").alias("a"), F.col("y.label").alias("b")).agg(F.sum("n").alias("freq"))
 
 
 def top_labels(pairs: DataFrame, show_top: int) -> DataFrame:
@@ -206,6 +219,7 @@ def label_order(pairs: DataFrame) -> DataFrame:
     labels) come last; equal scores go by label. There is no limit on labels.
     """
     spark = pairs.sparkSession
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.sum("freq").alias("freq")))  # read several times; a row for each pair of labels
     both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("freq").cast("double").alias("f"))
     labels = materialize(both.select(F.col("x").alias("label")).unionByName(both.select(F.col("y").alias("label"))).where("label IS NOT NULL").distinct())
     core, special = labels.where(~is_special(F.col("label"))), labels.where(is_special(F.col("label")))
