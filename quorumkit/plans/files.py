@@ -19,7 +19,7 @@ from quorumkit.operators.ranking import running_sum
 from quorumkit.plans.catalogue import _CALLS, _CODONS, _CONTIGS, _GENOMES, _LETTERS, _NODES, _VOTES, _abundance, _genomes, query
 from quorumkit.sinks import tables as K
 from quorumkit.sinks.named import write_named
-from quorumkit.sinks.shared import new_path
+from quorumkit.sinks.shared import materialize, new_path
 from quorumkit.sources import reports, sequences as seqio, tables as T
 
 
@@ -66,7 +66,8 @@ def joined(*columns: str | Column, by: str = "\t") -> Column:
 )
 def reports_from_files(spark, d):
     """Reports of five tools as files <sample>_<n>.<tool>.out, and a folder that does not exist."""
-    calls = I.calls(spark, d)
+    calls = materialize(I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "length", "l_linenumber", "l_suppkey"))  # every tool's report starts from it
+    broken = materialize(calls.select("sample", F.lit("C").alias("value")).distinct())  # too few fields
     marker = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("x|M"), F.col("l_suppkey").cast("string"), F.lit("-c"), F.col("l_linenumber").cast("string"), F.lit("|y"))).otherwise(F.col("taxID_a_0"))
     lines = {
         "kraken": joined(F.lit("C"), "seq", "taxID_a_0", F.concat("length", F.lit("|9")), F.lit("k:1")),
@@ -78,7 +79,6 @@ def reports_from_files(spark, d):
     folders = []
     for tool, value in lines.items():
         path = new_path(spark)
-        broken = calls.limit(0).select("sample", F.lit("").alias("value")).unionByName(calls.select("sample", F.lit("C").alias("value")).distinct())  # too few fields
         calls.select("sample", value.alias("value")).unionByName(broken).write.partitionBy("sample").text(path)
         folders.append(rename_files(spark, path, lambda sample, i, tool=tool: f"{sample}_{i}.{tool}.out"))
     none = reports.read_reports(spark, f"{folders[0]}/none/*.out")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,9 +101,9 @@ def read_reports(spark: SparkSession, paths: str | list[str], n_tokens: int = 1)
     file = F.col("_metadata.file_name")
     named = raw.select("value", file.alias("file"), F.monotonically_increasing_id().alias("line_no"))
     named = named.withColumns({"tool": tool_of_file(F.col("file")), "sample": sample_of_file(F.col("file"), n_tokens)}).where(F.col("tool").isNotNull())
-    files = named.select("sample", "tool", "file").distinct()
-    from pyspark.sql import Window
-
+    every = F.element_at(F.split("path", "/"), -1)
+    listed = spark.read.format("binaryFile").load(paths).select("path").select(every.alias("file")).distinct()  # names alone; no file is opened
+    files = listed.select(sample_of_file(F.col("file"), n_tokens).alias("sample"), tool_of_file(F.col("file")).alias("tool"), "file").where("tool IS NOT NULL")
     runs = files.withColumn("run_idx", F.row_number().over(Window.partitionBy("sample", "tool").orderBy("file")) - 1)
     return parse_reports(named.join(runs.select("file", "run_idx"), "file"))
 
