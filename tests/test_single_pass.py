@@ -4,7 +4,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quorumkit.operators import metrics
+from quorumkit.operators import metrics, reprofile
 from quorumkit.operators.boosting import StumpBooster, bin_limits, cells_of
 
 
@@ -52,3 +52,14 @@ def test_votes_are_counted_before_they_are_rolled_up(spark, data):
         plan = entry.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
         below = plan[plan.index("Join LeftOuter") :]
         assert below.index("Aggregate") < below.index("Expand" if "Expand" in below else "Join Inner")
+
+
+def test_the_reprofiler_reads_its_rows_once_and_weighs_cells(spark):
+    rows = spark.range(300).selectExpr("cast(id AS string) AS seq", "cast(1 + id % 3 AS string) AS true", "cast(1 + id % 3 AS string) AS taxID_a_0", "cast(id % 2 AS double) AS x")
+    x, seen = counted(spark, F.col("x"))
+    model = reprofile.train(rows.withColumn("x", x), trees=3, rounds=3, depth=3)
+    assert seen.value == 300 and model.accuracy["RandomForest"] == 1.0
+    cells = spark.createDataFrame([(0.0, 0.0, 60), (1.0, 1.0, 30), (0.0, 1.0, 10)], "a double, label double, n long")
+    each = cells.select("a", "label", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    ready = lambda df: VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    assert StumpBooster(rounds=3, weightCol="n").fit(ready(cells)).stumps == StumpBooster(rounds=3).fit(ready(each)).stumps
