@@ -119,3 +119,14 @@ def test_a_large_name_is_one_file_in_order(spark, tmp_path, monkeypatch, at_plac
     assert files["hot.csv"] == ["seq,x", "000000,Z", line(0), *(line(i) for i in range(1, 6_000) if i % 10 < 8)]
     assert files["b.csv"] == ["seq,x", *(line(i) for i in range(6_000) if i % 10 >= 8)]
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
+
+
+def test_many_small_ranges_are_read_by_a_bounded_number_of_tasks(tmp_path, monkeypatch):
+    path = tmp_path / "a.fastq"
+    path.write_text(fastq_text(300, 5))
+    monkeypatch.setattr(records, "MOST_TASKS", 7)
+    reader = records.FastqReader({"path": str(path), "rangebytes": "50"})
+    parts = reader.partitions()
+    rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert len(parts) <= 7 and [r["header"] for r in rows] == [f"r{i}/1 x" for i in range(300)]
+    assert {r["block"] % 50 for r in rows} == {0} and len({(r["block"], r["at"]) for r in rows}) == 300
