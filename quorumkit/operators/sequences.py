@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quorumkit.functions import sequence as S
 from quorumkit.operators.ranking import running_sum
+from quorumkit.sinks.shared import materialize
 
 #: Fixed value: unknown bases between the contigs of one genome.
 SPACER = 500
@@ -62,6 +63,7 @@ def open_reading_frames(contigs: DataFrame, min_aa: int = 15) -> DataFrame:
     """Stretches between stops of all six frames, without X, of at least ``min_aa``; numbered per file."""
     pieces = _frames(contigs).select("file", "taxid", "contig_no", "strand", "frame", F.posexplode(F.split("aa", r"\*")).alias("k", "raw"))
     kept = pieces.withColumn("aa", F.replace("raw", F.lit("X"), F.lit(""))).where(F.length("aa") >= min_aa)
+    kept = materialize(kept)  # ranges are drawn from it first
     numbered = running_sum(kept, ["file"], ["contig_no", F.desc("strand"), "frame", "k"], name="orf_no")
     return numbered.select("file", "taxid", F.col("orf_no").cast("int").alias("orf_no"), "aa")
 

@@ -413,7 +413,7 @@ _CDS = _CONTIGS + f""", ex AS (SELECT contig_no, taxid, contig_no % 2 AS minus,
 
 def _coding(spark: SparkSession, d: str) -> DataFrame:
     """Coding sequences of two parts each, from feature lines of a file; one in fifty seqids is only part of a contig's id."""
-    contigs = I.contigs(spark, d).where(F.length("sequence") >= 300).withColumn("header", F.concat(F.lit("ctg_"), F.col("contig_no").cast("string"), F.lit("_end more")))
+    contigs = materialize(I.contigs(spark, d).where(F.length("sequence") >= 300).withColumn("header", F.concat(F.lit("ctg_"), F.col("contig_no").cast("string"), F.lit("_end more"))))
     strand = F.when(F.col("contig_no") % 2 == 0, "+").otherwise("-")
     name = F.col("contig_no").cast("string")
     seqid = F.when(F.col("contig_no") % 50 == 0, F.concat(F.lit("_"), name, F.lit("_"))).otherwise(F.concat(F.lit("ctg_"), name, F.lit("_end")))

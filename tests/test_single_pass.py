@@ -63,3 +63,20 @@ def test_the_reprofiler_reads_its_rows_once_and_weighs_cells(spark):
     each = cells.select("a", "label", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
     ready = lambda df: VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
     assert StumpBooster(rounds=3, weightCol="n").fit(ready(cells)).stumps == StumpBooster(rounds=3).fit(ready(each)).stumps
+
+
+def test_sequences_are_derived_from_their_texts_once(spark, data):
+    """The final plan starts from what was written, not from the documents."""
+    for name in ("coding_proteins", "protein_library", "open_reading_frames"):
+        assert "regexp_replace(text" not in entry.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_texts_move_once_for_the_removal_of_repeats(spark):
+    from quorumkit.llm import suffix_dedup
+
+    docs = spark.createDataFrame([(1, "a" * 500), (2, "é" * 300 + "b"), (3, None)], "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(docs, 400)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join LeftOuter") :].splitlines()[1]
+    assert "data#" not in below and "row#" in below
+    assert [(r["doc_id"], r["n_bytes"]) for r in out.orderBy("doc_id").collect()] == [(1, 500), (2, 601), (3, 0)]
