@@ -1,10 +1,12 @@
 """What is read several times is computed once, and votes are counted before they meet other tables."""
 
+import random
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quorumkit.operators import metrics, reprofile
+from quorumkit.operators import boosting, metrics, reprofile
 from quorumkit.operators.boosting import StumpBooster, bin_limits, cells_of
 
 
@@ -80,3 +82,16 @@ def test_texts_move_once_for_the_removal_of_repeats(spark):
     below = plan[plan.index("Join LeftOuter") :].splitlines()[1]
     assert "data#" not in below and "row#" in below
     assert [(r["doc_id"], r["n_bytes"]) for r in out.orderBy("doc_id").collect()] == [(1, 500), (2, 601), (3, 0)]
+
+
+def test_best_stump_is_the_first_of_all_choices_in_few_jobs(spark):
+    rng = random.Random(8)
+    rows = [(f, b, float(y), rng.choice([0.25, 0.5, 1.0])) for f in range(3) for b in range(5) for y in range(4) if rng.random() < 0.7] + [(3, 0, 0.0, 2.0)]
+    histogram = spark.createDataFrame(rows, "feature int, bin int, label double, w double").localCheckpoint()
+    wanted = boosting.stump_choices(histogram).orderBy("impurity", "feature", "bin").first()
+    spark.sparkContext.setJobGroup("stump", "stump")
+    got = boosting.best_stump(histogram).first()
+    spark.sparkContext.setJobGroup("", "")
+    assert got.asDict() == wanted.asDict()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("stump")) <= 3
+    assert boosting.best_stump(histogram.where("feature = 3")).first() is None
