@@ -135,7 +135,7 @@ def truth_by_pattern(spark, d):
 )
 def pooled_votes(spark, d):
     """Per-sample vote files of two headers, read as one table; a pooled file among them is skipped."""
-    calls = I.calls(spark, d)
+    calls = materialize(I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "l_linenumber"))  # three writers start from it
     folders = [new_path(spark) for _ in range(3)]
     for folder, column, rest in zip(folders, "bc", (0, 1)):
         K.write_votes(calls.where(F.col("l_linenumber") % 2 == rest).select("sample", "seq", "taxID_a_0", f"taxID_{column}_0"), folder)

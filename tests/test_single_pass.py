@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quorumkit.operators import boosting, metrics, reprofile
+from quorumkit.plans import catalogue, files
 from quorumkit.operators.boosting import StumpBooster, bin_limits, cells_of
 
 
@@ -95,3 +96,17 @@ def test_best_stump_is_the_first_of_all_choices_in_few_jobs(spark):
     assert got.asDict() == wanted.asDict()
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("stump")) <= 3
     assert boosting.best_stump(histogram.where("feature = 3")).first() is None
+
+
+def test_votes_for_three_writers_are_derived_once(spark, monkeypatch):
+    x, seen = counted(spark, F.col("id").cast("double"))
+    rows = spark.range(40).select(F.lit("s").alias("sample"), F.col("id").cast("string").alias("seq"), x.cast("string").alias("taxID_a_0"), F.lit("1").alias("taxID_b_0"), F.lit("2").alias("taxID_c_0"), (F.col("id") % 4).alias("l_linenumber"))
+    monkeypatch.setattr(files.I, "calls", lambda spark, d: rows)
+    assert files.pooled_votes(spark, "").count() == 40 and seen.value == 40
+
+
+def test_profiles_are_counted_once_for_all_steps(spark, monkeypatch):
+    x, seen = counted(spark, F.col("id").cast("double"))
+    rows = spark.range(30).select(F.col("id").cast("string").alias("header"), F.concat(F.repeat(F.lit("ACGGT"), (x % 7 + 2).cast("int")), F.repeat(F.lit("TGA"), (F.col("id") % 5).cast("int"))).alias("sequence"))
+    monkeypatch.setattr(catalogue.I, "contigs", lambda spark, d: rows)
+    assert catalogue.composition_clusters(spark, "").count() == 30 and seen.value == 30
