@@ -130,3 +130,11 @@ def test_many_small_ranges_are_read_by_a_bounded_number_of_tasks(tmp_path, monke
     rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
     assert len(parts) <= 7 and [r["header"] for r in rows] == [f"r{i}/1 x" for i in range(300)]
     assert {r["block"] % 50 for r in rows} == {0} and len({(r["block"], r["at"]) for r in rows}) == 300
+
+
+def test_many_small_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    listed = []
+    monkeypatch.setattr(named, "materialize", lambda df, real=named.materialize: listed.append(real(df)) or listed[-1])
+    named.write_named(spark.range(60).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("line")), F.col("k"), ".txt", ["line"], str(tmp_path / "out"), drop=["k"])
+    assert len(list((tmp_path / "out").glob("*.txt"))) == 60
+    assert listed[0].select("part").distinct().count() >= 3
