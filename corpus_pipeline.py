@@ -7,11 +7,13 @@ their predecessor kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumkit.llm import packing, quality, queries, simhash, suffix_dedup, toxicity
-from quorumkit.llm.common import materialize, read_table
+from quorumkit.llm.common import bound_batches, materialize, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Word shingles of the near-duplicate stage; near duplicates differ in so few bits, or their shingles are that similar.
@@ -20,6 +22,19 @@ STAGE_SHINGLE_WORDS, STAGE_MAX_BITS, STAGE_SIMILARITY = 5, 4, 0.8
 STAGE_SPAN = 200
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    """The stage, with texts on their way to Python workers in small batches."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold. Labels of held-out rows are not learnt here either."""
     model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
@@ -54,11 +69,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("quality classifier", drop_low_quality),
-    ("SimHash near-dedup", drop_near_duplicates),
-    ("suffix-array dedup", drop_repeated_passages),
-    ("best-fit packing", pack),
+    ("toxicity", _bounded(drop_toxic)),
+    ("quality classifier", _bounded(drop_low_quality)),
+    ("SimHash near-dedup", _bounded(drop_near_duplicates)),
+    ("suffix-array dedup", _bounded(drop_repeated_passages)),
+    ("best-fit packing", _bounded(pack)),
 ]
 
 #: No stage but the last could be said in SQL, and that one not wholly; tests compare with brute force.

@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import worker_bpe
-from .common import materialize, release_memory
+from .bpe import WordBpe, worker_bpe
+from .common import bound_batches, materialize, release_memory
 from .ragged import Ragged, slices
 
+#: Bytes of text that are encoded at once; the arrays of a slice take about twenty times as much.
+SLICE_BYTES = 1 << 20
 #: Pieces in one group, which one task packs; about 3 MB of lengths.
 GROUP_PIECES = 40_000
 #: Bins that a group with a gap of g gives up: GIVE_UP * (g + 1), the emptiest first.
@@ -52,6 +54,12 @@ def _cut_pieces(ids: Ragged, capacity: int, end_id: int, with_ids: bool) -> pa.A
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.StructArray.from_arrays(columns, fields=list(_PIECE)))
 
 
+def _pieces_of(coder: WordBpe, texts: pa.Array, capacity: int, end_id: int, with_ids: bool) -> pa.Array:
+    """The pieces of each text, slice by slice."""
+    chunks = [_cut_pieces(coder.encode(part), capacity, end_id, with_ids) for part in slices(texts, SLICE_BYTES)]
+    return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(_PIECE))
+
+
 def token_pieces(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """Cut each document's ids (plus ``end_id``) into pieces of at most ``capacity``.
 
@@ -62,10 +70,9 @@ def token_pieces(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id:
 
     @F.arrow_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long,ids:binary>>")
     def cut(texts: pa.Array) -> pa.Array:
-        coder = worker_bpe(vocab_path)
-        chunks = [_cut_pieces(coder.encode(part), capacity, end_id, with_ids) for part in slices(texts)]
+        out = _pieces_of(worker_bpe(vocab_path), texts, capacity, end_id, with_ids)
         release_memory()
-        return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(_PIECE))
+        return out
 
     out = docs.select("doc_id", F.explode(cut(F.col("text").cast("string"))).alias("p"))
     return out.select("doc_id", *(f"p.{c}" for c in ("piece", "start", "length", "ids_crc32", "ids")[: 5 if with_ids else 4]))
@@ -165,4 +172,5 @@ def best_fit_pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
 def pack_documents(docs: DataFrame, vocab_path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """Pieces of all documents with their sequence and place there."""
+    bound_batches(docs.sparkSession)
     return best_fit_pack(token_pieces(docs, vocab_path, capacity, end_id), capacity)

@@ -1,8 +1,13 @@
 """The pipeline's stages, one after the other, against what each must keep."""
 
+import random
+import tracemalloc
+
+import pyarrow as pa
+
 import corpus_pipeline
-from quorumkit.llm import queries
-from quorumkit.llm.common import materialize
+from quorumkit.llm import bpe, packing, queries
+from quorumkit.llm.common import BATCH_BYTES, materialize
 
 from .test_dedup_operators import brute_components, brute_rest, reference_print, reference_shingles
 
@@ -62,3 +67,42 @@ def test_stages_take_odd_rows_and_no_rows(spark, tmp_path):
             if name == "suffix-array dedup":
                 assert all(passage[5:-5] not in (r["text"] or "") for r in docs.collect())
         assert (docs.count() > 0) == bool(data)
+
+
+def test_texts_reach_workers_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    rows = spark.range(3000).selectExpr("id as doc_id", "repeat('some words ', 400) as text").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES[-2:]:
+            spark.conf.unset(key)
+            stage(spark, rows.limit(0).selectExpr("doc_id", "text", "text as lang", "text as source", "doc_id as n_chars"), BASE)
+            got = rows.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r["n"] for r in got) == 3000 and max(r["size"] for r in got) < BATCH_BYTES + 10_000, name
+        spark.conf.set(key, 1 << 20)
+        packing.pack_documents(rows.limit(0), queries.VOCAB_PATH)
+        assert spark.conf.get(key) == str(1 << 20)  # a session's own limit stays
+    finally:
+        spark.conf.unset(key)
+
+
+def test_encoding_of_a_batch_takes_bounded_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 11))) for _ in range(20_000)]
+    texts = pa.array([" ".join(rng.choices(words, k=300)) for _ in range(1700)])
+    assert 3 << 20 < texts.nbytes < 4 << 20
+    coder = bpe.worker_bpe(queries.VOCAB_PATH)
+    tracemalloc.start()
+    try:
+        got = packing._pieces_of(coder, texts, 4096, 1, True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20
+    whole = packing._cut_pieces(coder.encode(texts), 4096, 1, True)
+    assert got.equals(whole)
