@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumkit.llm import packing, quality, queries, simhash, suffix_dedup, toxicity
-from quorumkit.llm.common import bound_batches, materialize, read_table
+from quorumkit.llm.common import bound_batches, materialize, read_table, scratch
+from quorumkit.sinks.shared import delete_path, new_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Word shingles of the near-duplicate stage; near duplicates differ in so few bits, or their shingles are that similar.
@@ -81,10 +82,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written to the shared folder and read again."""
-    docs = read_table(spark, sf_dir, "documents").select(*COLUMNS)
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs)
-    return docs
+    """All stages in order, each written to the shared folder and read again.
+
+    Once a stage's result is stored, its own tables and its input, if an
+    earlier stage wrote it, are deleted.
+    """
+    docs, before = read_table(spark, sf_dir, "documents").select(*COLUMNS), None
+    *stages, (_, last) = STAGES
+    for _, stage in stages:
+        path = new_path(spark)
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), path)
+        if before:
+            delete_path(spark, before)
+        before = path
+    return last(spark, docs, sf_dir)

@@ -34,15 +34,16 @@ def _numbers(path: str, stretch: int) -> np.ndarray:
     return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
 
 
-def rows_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+def rows_in(rows: DataFrame, wanted: DataFrame, key: str, path: str | None = None) -> DataFrame:
     """Rows of which column ``key``, a row number, is one of the single column of ``wanted``.
 
     Repeated numbers in ``wanted`` count once and its nulls not at all; a null
     key is never in it. The result is the same for any longs, but the memory of
     a task is bounded (by the numbers of one writing task) and its reads are few
-    only for rows that lie as they were written.
+    only for rows that lie as they were written. The numbers are written to
+    ``path`` or a new path, and the result reads them there.
     """
-    spark, path = rows.sparkSession, new_path(rows.sparkSession)
+    spark, path = rows.sparkSession, path or new_path(rows.sparkSession)
     number = F.col(wanted.columns[0]).cast("long")
     listed = wanted.select(number.alias("number"), F.shiftright(number, STRETCH_BITS).alias("stretch")).where("number is not null")
     dealt = listed.repartition(shuffle_partitions(spark), "stretch").sortWithinPartitions("stretch")

@@ -22,7 +22,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release_memory, shuffle_partitions
+from quorumkit.sinks.shared import new_path
+
+from .common import materialize, release_memory, scratch, shuffle_partitions
 from .components import connected_components
 from .lookup import rows_in
 from .resemblance import Minima, resemblance_edges, shingle_hashes, words_of
@@ -249,16 +251,18 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4, s
     up by their numbers where they were written.
     """
     rows = materialize(docs.withColumns({"__sketch": sketch(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
-    prints = rows.select("__sketch.code", "__sketch.h1", "__sketch.h2", F.col("__row").alias("row"), "doc_id")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
-    classes = materialize(prints.groupBy("h1", "h2").agg(F.min("row").alias("cls"), F.min("code").alias("code"), best))
-    bands = rows_in(rows.select(F.col("__row").alias("cls"), "__sketch.code", "__sketch.bands"), classes.select("cls"), "cls")
-    texts = rows.select(F.col("__row").alias("cls"), F.col("text").cast("string").alias("text"))
-    edges = materialize(near_code_edges(materialize(classes.select("code").distinct()), radius))
-    edges = resemblance_edges(texts, bands, edges, shingle_words, similarity)
-    rooted = classes.join(connected_components(edges).withColumnRenamed("node", "code"), "code", "left")
-    first = rooted.groupBy(F.coalesce("root", "code")).agg(F.min("best").alias("best"))
-    return rows_in(rows, first.select("best.row"), "__row").drop("__sketch", "__row")
+    numbers = new_path(docs.sparkSession)
+    with scratch(docs.sparkSession):  # the result reads the rows and the numbers alone
+        prints = rows.select("__sketch.code", "__sketch.h1", "__sketch.h2", F.col("__row").alias("row"), "doc_id")
+        best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
+        classes = materialize(prints.groupBy("h1", "h2").agg(F.min("row").alias("cls"), F.min("code").alias("code"), best))
+        bands = rows_in(rows.select(F.col("__row").alias("cls"), "__sketch.code", "__sketch.bands"), classes.select("cls"), "cls")
+        texts = rows.select(F.col("__row").alias("cls"), F.col("text").cast("string").alias("text"))
+        edges = materialize(near_code_edges(materialize(classes.select("code").distinct()), radius))
+        edges = resemblance_edges(texts, bands, edges, shingle_words, similarity)
+        rooted = classes.join(connected_components(edges).withColumnRenamed("node", "code"), "code", "left")
+        first = rooted.groupBy(F.coalesce("root", "code")).agg(F.min("best").alias("best"))
+        return rows_in(rows, first.select("best.row"), "__row", numbers).drop("__sketch", "__row")
 
 
 def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:

@@ -2,12 +2,15 @@
 
 import random
 import tracemalloc
+from pathlib import Path
 
 import pyarrow as pa
+import pytest
 
 import corpus_pipeline
 from quorumkit.llm import bpe, packing, queries
 from quorumkit.llm.common import BATCH_BYTES, materialize
+from quorumkit.sinks.shared import new_path, run_folder, scratch
 
 from .test_dedup_operators import brute_components, brute_rest, reference_print, reference_shingles
 
@@ -106,3 +109,41 @@ def test_encoding_of_a_batch_takes_bounded_memory():
     assert peak < 40 << 20
     whole = packing._cut_pieces(coder.encode(texts), 4096, 1, True)
     assert got.equals(whole)
+
+
+def left_by(spark, run):
+    """What ``run`` returns, and the columns of the tables that it leaves in the shared folder (of files of numbers: their folder)."""
+    here = Path(run_folder(spark).removeprefix("file:"))
+    there = {p.name for p in here.glob("*")}
+    out = run()
+    return out, [spark.read.parquet(str(p)).columns for p in here.glob("*") if p.name not in there]
+
+
+def test_tables_that_nothing_reads_are_deleted(spark):
+    docs = spark.read.parquet(f"{BASE}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    clean, left = left_by(spark, lambda: stages["toxicity"](spark, docs, BASE))
+    assert left == [] and clean.count() > 0
+    single, left = left_by(spark, lambda: stages["SimHash near-dedup"](spark, docs, BASE))
+    assert sorted(left) == [[*docs.columns, "__sketch", "__row"], ["number", "stretch"]] and single.count() > 0
+    packed, left = left_by(spark, lambda: corpus_pipeline.run(spark, BASE))
+    assert [c for c in left if "text" in c] == [docs.columns] and packed.count() > 0
+
+
+def test_scratch_is_deleted_also_after_an_error(spark):
+    path = new_path(spark)
+    with scratch(spark):
+        with scratch(spark):
+            inner = Path(new_path(spark).removeprefix("file:")).parent
+            materialize(spark.range(3))
+            kept = materialize(spark.range(5), path)
+            assert any(inner.iterdir())
+        assert not inner.exists() and kept.count() == 5
+        outer = materialize(spark.range(2))
+        assert outer.count() == 2
+    assert not inner.parent.exists() and kept.count() == 5
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        inner = Path(new_path(spark).removeprefix("file:")).parent
+        materialize(spark.range(3))
+        raise ZeroDivisionError
+    assert not inner.exists() and Path(new_path(spark)).parent == Path(run_folder(spark))
