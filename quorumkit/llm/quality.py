@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release_memory
+from .common import TEXT_CODEC, materialize, release_memory
 from .logit import fit_logistic
 
 #: Labelled rows that the document classifier is fitted on, at most; the first in hash order.
@@ -144,7 +144,7 @@ def with_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column,
     weights = fit_classifier(docs, labels)
     kept = [c for c in (docs.columns if keep is None else keep) if c != name]
     row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row")
-    scored = materialize(docs.select(row, host.cast("string").alias("host"), path.cast("string").alias("path"), evidence(F.col("text"), weights).alias("own")))
+    scored = materialize(docs.select(row, host.cast("string").alias("host"), path.cast("string").alias("path"), evidence(F.col("text"), weights).alias("own")), compression=TEXT_CODEC)
     sites = materialize(site_posteriors(scored.select("host", "path", (1 / (1 + F.exp(-F.col("own")))).alias("p")))).withColumnsRenamed({"host": "h", "path": "q"})
     small = sites.count() <= MAX_BROADCAST_SITES
     same = F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quorumkit.sinks.shared import new_path
 
-from .common import materialize, release_memory, scratch, shuffle_partitions
+from .common import TEXT_CODEC, materialize, release_memory, scratch, shuffle_partitions
 from .components import connected_components
 from .lookup import rows_in
 from .resemblance import Minima, resemblance_edges, shingle_hashes, words_of
@@ -250,7 +250,7 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, radius: int = 4, s
     one class before anything is compared; no text is shuffled, rows are looked
     up by their numbers where they were written.
     """
-    rows = materialize(docs.withColumns({"__sketch": sketch(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}))
+    rows = materialize(docs.withColumns({"__sketch": sketch(F.col("text").cast("string"), shingle_words), "__row": F.monotonically_increasing_id()}), compression=TEXT_CODEC)
     numbers = new_path(docs.sparkSession)
     with scratch(docs.sparkSession):  # the result reads the rows and the numbers alone
         prints = rows.select("__sketch.code", "__sketch.h1", "__sketch.h2", F.col("__row").alias("row"), "doc_id")

@@ -6,9 +6,10 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quorumkit.llm import bpe, packing, queries
+from quorumkit.llm import bpe, packing, quality, queries, simhash
 from quorumkit.llm.common import BATCH_BYTES, materialize
 from quorumkit.sinks.shared import new_path, run_folder, scratch
 
@@ -147,3 +148,14 @@ def test_scratch_is_deleted_also_after_an_error(spark):
         materialize(spark.range(3))
         raise ZeroDivisionError
     assert not inner.exists() and Path(new_path(spark)).parent == Path(run_folder(spark))
+
+
+def test_copies_of_texts_are_compressed_well(spark):
+    docs = spark.createDataFrame([(i, f"some words of number {i} and a few more of them", "en", "a", 40) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    here = Path(run_folder(spark).removeprefix("file:"))
+    for run in (lambda: simhash.keep_one_of_each(docs), lambda: quality.with_quality(docs, labels, F.col("source"), F.col("source"))):
+        there = {p.name for p in here.glob("*")}
+        assert run().count() > 0
+        copies = [f.name for p in here.glob("*") if p.name not in there and {"text", "row"} & set(spark.read.parquet(str(p)).columns) for f in p.glob("part-*")]
+        assert copies and all(f.endswith(".zstd.parquet") for f in copies)
