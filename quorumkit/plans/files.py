@@ -19,7 +19,7 @@ from quorumkit.operators.ranking import running_sum
 from quorumkit.plans.catalogue import _CALLS, _CODONS, _CONTIGS, _GENOMES, _LETTERS, _NODES, _VOTES, _abundance, _genomes, query
 from quorumkit.sinks import tables as K
 from quorumkit.sinks.named import write_named
-from quorumkit.sinks.shared import materialize, new_path
+from quorumkit.sinks.shared import LEAN_WRITES, delete_path, materialize, new_path, settings
 from quorumkit.sources import reports, sequences as seqio, tables as T
 
 
@@ -65,9 +65,7 @@ def joined(*columns: str | Column, by: str = "\t") -> Column:
     UNION ALL SELECT sample, 'mytool', seq, "taxID_b_0", CASE WHEN l_linenumber % 3 = 0 THEN length END FROM calls"""
 )
 def reports_from_files(spark, d):
-    """Reports of five tools as files <sample>_<n>.<tool>.out, and a folder that does not exist."""
-    calls = materialize(I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "length", "l_linenumber", "l_suppkey"))  # every tool's report starts from it
-    broken = materialize(calls.select("sample", F.lit("C").alias("value")).distinct())  # too few fields
+    """Reports of five tools as files <sample>_<n>.<tool>.out, gzipped but for one tool, and a folder that does not exist."""
     marker = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("x|M"), F.col("l_suppkey").cast("string"), F.lit("-c"), F.col("l_linenumber").cast("string"), F.lit("|y"))).otherwise(F.col("taxID_a_0"))
     lines = {
         "kraken": joined(F.lit("C"), "seq", "taxID_a_0", F.concat("length", F.lit("|9")), F.lit("k:1")),
@@ -76,11 +74,15 @@ def reports_from_files(spark, d):
         "mp4": joined("seq", marker),
         "custom_mytool": joined("seq", "taxID_b_0", F.when(F.col("l_linenumber") % 3 == 0, F.col("length"))),
     }
-    folders = []
-    for tool, value in lines.items():
-        path = new_path(spark)
-        calls.select("sample", value.alias("value")).unionByName(broken).write.partitionBy("sample").text(path)
-        folders.append(rename_files(spark, path, lambda sample, i, tool=tool: f"{sample}_{i}.{tool}.out"))
+    derived, folders = new_path(spark), []
+    with settings(spark, LEAN_WRITES):
+        calls = materialize(I.calls(spark, d).select("sample", "seq", *I.ANNOTATORS, "length", "l_linenumber", "l_suppkey"), f"{derived}/calls", compression="zstd")  # every tool's report starts from it
+        broken = materialize(calls.select("sample", F.lit("C").alias("value")).distinct(), f"{derived}/broken")  # too few fields
+        for tool, value in lines.items():
+            path, (end, codec) = new_path(spark), ("", "none") if tool == "custom_mytool" else (".gz", "gzip")
+            calls.select("sample", value.alias("value")).unionByName(broken).write.partitionBy("sample").option("zlib.compress.level", "BEST_SPEED").text(path, compression=codec)
+            folders.append(rename_files(spark, path, lambda sample, i, tool=tool, end=end: f"{sample}_{i}.{tool}.out{end}"))
+    delete_path(spark, derived)
     none = reports.read_reports(spark, f"{folders[0]}/none/*.out")
     return reports.read_reports(spark, folders).unionByName(none).select("sample", "tool", "seq", "taxid", "length")
 

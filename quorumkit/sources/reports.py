@@ -55,8 +55,8 @@ def register_parser(tool: str, parser: Parser) -> None:
 
 
 def tool_of_file(name: Column) -> Column:
-    """Tool in ``*.<tool>.out``; custom_ goes and aliases are folded; other names give null."""
-    found = F.regexp_extract(name, r"\.([^./]+)\.out$", 1)
+    """Tool in ``*.<tool>.out``, also with ``.gz``; custom_ goes and aliases are folded; other names give null."""
+    found = F.regexp_extract(name, r"\.([^./]+)\.out(?:\.gz)?$", 1)
     bare = F.regexp_replace(found, "^custom_", "")
     aliases = F.create_map(*(F.lit(x) for pair in TOOL_ALIASES.items() for x in pair))
     folded = F.when(found.startswith("custom_"), bare).otherwise(F.coalesce(F.try_element_at(aliases, bare), bare))
@@ -65,18 +65,26 @@ def tool_of_file(name: Column) -> Column:
 
 def sample_of_file(name: Column, n_tokens: int = 1) -> Column:
     """First n tokens between underscores; names with fewer are taken whole, up to the tool."""
-    stem = F.regexp_replace(name, r"\.[^.]+\.out$", "")
+    stem = F.regexp_replace(name, r"\.[^.]+\.out(?:\.gz)?$", "")
     tokens = F.split(stem, "_")
     return F.when(F.size(tokens) < n_tokens, stem).otherwise(F.array_join(F.slice(tokens, 1, n_tokens), "_"))
 
 
+def _fields_of(value: Column) -> Column:
+    return F.split(F.rtrim(value, F.lit("\r")), "\t")
+
+
 def parse_reports(lines: DataFrame) -> DataFrame:
     """Long report table from lines (sample, tool, run_idx, line_no, value).
 
     Carriage returns go; blank lines, lines with too few fields and lines
     without a read id are dropped. The tool decides how a line is read.
     """
-    fields = F.split(F.rtrim(F.col("value"), F.lit("\r")), "\t")
+    return _parse(lines.withColumn("fields", _fields_of(F.col("value"))))
+
+
+def _parse(lines: DataFrame) -> DataFrame:
+    fields = F.col("fields")
     parsed = {tool: parse(fields) for tool, parse in PARSERS.items()}
     other = parse_custom(fields)
 
@@ -98,14 +106,12 @@ def read_reports(spark: SparkSession, paths: str | list[str], n_tokens: int = 1)
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return spark.createDataFrame([], REPORT)
-    file = F.col("_metadata.file_name")
-    named = raw.select("value", file.alias("file"), F.monotonically_increasing_id().alias("line_no"))
-    named = named.withColumns({"tool": tool_of_file(F.col("file")), "sample": sample_of_file(F.col("file"), n_tokens)}).where(F.col("tool").isNotNull())
+    lines = raw.select(_fields_of(F.col("value")).alias("fields"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line_no"))
     every = F.element_at(F.split("path", "/"), -1)
     listed = spark.read.format("binaryFile").load(paths).select("path").select(every.alias("file")).distinct()  # names alone; no file is opened
     files = listed.select(sample_of_file(F.col("file"), n_tokens).alias("sample"), tool_of_file(F.col("file")).alias("tool"), "file").where("tool IS NOT NULL")
     runs = files.withColumn("run_idx", F.row_number().over(Window.partitionBy("sample", "tool").orderBy("file")) - 1)
-    return parse_reports(named.join(runs.select("file", "run_idx"), "file"))
+    return _parse(lines.join(F.broadcast(runs), "file"))  # a row for each file, which the driver lists anyway; lines stay where they are read
 
 
 def read_sam(lines: DataFrame) -> DataFrame:

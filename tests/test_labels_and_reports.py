@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,33 @@ def test_missing_reports_and_tool_names(spark, tmp_path):
     assert col(spark, ["a_b_c.kaiju.out", "a.kaiju.out"], lambda c: reports.sample_of_file(c, 2)) == ["a_b", "a"]
 
 
+def test_gzipped_reports_are_read_beside_plain_ones(spark, tmp_path):
+    write(tmp_path / "s1_a.kaiju.out", "C\tr1\t5\r\nC\tshort\n\n")
+    with gzip.open(tmp_path / "s1_b.kaiju.out.gz", "wt") as f:
+        f.write("C\tr2\t6\nU\t\t7\n")
+    with gzip.open(tmp_path / "s2_a.custom_mytool.out.gz", "wt") as f:
+        f.write("r3\t8\t90\n")
+    write(tmp_path / "s2_a.out", "r4\t8\n")
+    got = reports.read_reports(spark, str(tmp_path)).select("sample", "tool", "run_idx", "seq", "taxid", "length").collect()
+    assert sorted(map(tuple, got)) == [("s1", "kaiju", 0, "r1", "5", None), ("s1", "kaiju", 1, "r2", "6", None), ("s2", "mytool", 0, "r3", "8", "90")]
+    assert col(spark, ["a.b.out.gz", "a.out.gz", "a.b.out.zip", "a.out"], reports.tool_of_file) == ["b", None, None, None]
+
+
+def test_lines_of_reports_stay_where_they_are_read(spark, tmp_path):
+    write(tmp_path / "s1_a.kaiju.out", "C\tr1\t5\n")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the reports were large
+    try:
+        report = reports.read_reports(spark, str(tmp_path))
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert report.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    above = plan[: plan.index("FileScan text")].splitlines()
+    assert not any("Exchange" in line for line in above)
+
+
 def test_sam_centrifuge_markers_and_contigs(spark):
     sam = spark.createDataFrame([("@SQ\tx",), ("r1\t0\tc1\t5",), ("r2\t0\t*\t0",), ("r3\t0\tc2\t1",)], ["value"])
     contigs = spark.createDataFrame([("c1", "562"), ("c2", "0")], ["contig", "taxid"])

@@ -1,6 +1,9 @@
 """What is read several times is computed once, and votes are counted before they meet other tables."""
 
 import random
+import re
+import time
+import uuid
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ import __spark_entry__ as entry
 from quorumkit.operators import boosting, metrics, reprofile
 from quorumkit.plans import catalogue, files
 from quorumkit.operators.boosting import StumpBooster, bin_limits, cells_of
+from quorumkit.sinks.shared import LEAN_WRITES, settings
 
 
 def counted(spark, column):
@@ -110,3 +114,25 @@ def test_profiles_are_counted_once_for_all_steps(spark, monkeypatch):
     rows = spark.range(30).select(F.col("id").cast("string").alias("header"), F.concat(F.repeat(F.lit("ACGGT"), (x % 7 + 2).cast("int")), F.repeat(F.lit("TGA"), (F.col("id") % 5).cast("int"))).alias("sequence"))
     monkeypatch.setattr(catalogue.I, "contigs", lambda spark, d: rows)
     assert catalogue.composition_clusters(spark, "").count() == 30 and seen.value == 30
+
+
+def test_reports_leave_only_their_files(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "new_path", lambda spark: str(tmp_path / uuid.uuid4().hex))
+    n = files.reports_from_files(spark, data).count()
+    assert n == 5 * files.I.calls(spark, data).count()
+    names = [p.name for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith((".", "_"))]
+    assert all(re.fullmatch(r"[A-Z]_\d+\.\w+\.out(\.gz)?", name) for name in names)
+    assert {name.split(".", 1)[1] for name in names} == {"kraken.out.gz", "krakenu.out.gz", "kaiju.out.gz", "mp4.out.gz", "custom_mytool.out"}
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark, tmp_path):
+    before = {k: spark.conf.get(k) for k in LEAN_WRITES}
+    blocks = lambda: {str(b) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if str(b).startswith("shuffle")}
+    there = blocks()
+    with settings(spark, LEAN_WRITES):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "out"))
+    for _ in range(100):  # files are deleted in the background
+        if blocks() <= there:
+            break
+        time.sleep(0.1)
+    assert blocks() <= there and {k: spark.conf.get(k) for k in LEAN_WRITES} == before
